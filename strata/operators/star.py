@@ -8,9 +8,10 @@ Scale notes
   moves its top rows, never its whole history.
 * ``activity_stats`` is a plain ``groupBy().agg()`` with partial (map-side)
   aggregation, so a hot key is summed before it is shuffled.
-* ``lookup_join`` broadcasts the dimension only after a row-count check
-  proves it small; otherwise it is an ordinary join that Spark/AQE plan by
-  size (and AQE splits skewed partitions).
+* ``lookup_join`` leaves the strategy to Spark's size check (broadcast
+  under the threshold, sort-merge above it, AQE re-plans on real sizes); an
+  explicit broadcast is given only after a bounded row count proves the
+  dimension within a caller-given bound.
 * ``enrich`` collapses a one-to-many right side to one row per key *before*
   joining, so the join cannot fan out.
 """
@@ -105,10 +106,19 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Join a lookup dimension (J4); broadcast it only if its size is proven small."""
-    right = F.broadcast(dim) if rows_at_most(dim, max_broadcast_rows) else dim
-    return df.join(right, on, how)
+                max_broadcast_rows: int | None = None) -> DataFrame:
+    """Join a lookup dimension.
+
+    Default: no hint.  Spark broadcasts the dimension only if its estimated
+    size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans
+    on the real shuffle sizes; otherwise it is a sort-merge join.  That check
+    costs no job.  With ``max_broadcast_rows`` the caller asks for a broadcast
+    beyond the threshold: the dimension is counted (a bounded scan) and the
+    hint is given only if the count is within the bound.
+    """
+    if max_broadcast_rows is not None and rows_at_most(dim, max_broadcast_rows):
+        dim = F.broadcast(dim)
+    return df.join(dim, on, how)
 
 
 def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

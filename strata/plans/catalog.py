@@ -392,8 +392,9 @@ def join_lookup(spark, d):
     c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
-    j = S.lookup_join(c, n, c["c_nationkey"] == n["n_nationkey"], "left")
-    j = S.lookup_join(j, r, j["n_regionkey"] == r["r_regionkey"], "left")
+    bound = S.DEFAULT_MAX_BROADCAST_ROWS
+    j = S.lookup_join(c, n, c["c_nationkey"] == n["n_nationkey"], "left", max_broadcast_rows=bound)
+    j = S.lookup_join(j, r, j["n_regionkey"] == r["r_regionkey"], "left", max_broadcast_rows=bound)
     return j.select("c_custkey", "c_name", "n_name", "r_name")
 
 
