@@ -520,7 +520,7 @@ def agg_by_band(spark, d):
         "line_count": F.count(F.lit(1)),
         "total_qty": F.sum("l_quantity"),
         "avg_qty": F.round(F.avg("l_quantity"), 1)})
-    return out.orderBy("p_size")
+    return out
 
 
 @query("agg_having_topk", _with(_FACT_CTE, f"""
