@@ -36,13 +36,34 @@ def top_k(df: DataFrame, k: int, order_by: Sequence[ColumnOrName],
     return out.select(*[_c(c) for c in columns]) if columns is not None else out
 
 
-def cap_rows(df: DataFrame, n: int, order_by: Sequence[ColumnOrName]) -> DataFrame:
+def cap_rows(df: DataFrame, n: int, order_by: Sequence[ColumnOrName] = (),
+             key: str | None = None, accuracy: int = 1_000_000) -> DataFrame:
     """Deterministic version of the reference's unordered ``limit(n)`` (O1).
 
-    ``order_by`` must be a total order (e.g. a unique id), so every run keeps
-    the same ``n`` rows.
+    The kept rows are the first ``n`` under a total order, the same on every
+    run.  Two forms:
+
+    * ``order_by``: ``orderBy().limit(n)`` (TakeOrderedAndProject).  Each task
+      keeps n rows, and the final merge reads n x tasks rows in one task, so
+      this suits small n.
+    * ``key`` (one unique, non-null, orderable column, ascending): a threshold
+      ``t`` is taken from ``percentile_approx``.  Its rank error is at most
+      N / accuracy, and the target rank carries that margin, so
+      ``key <= t`` is guaranteed to hold at least the first n rows.  The
+      filter (pushed to the scan) leaves about n + 2N/accuracy rows for the
+      top-n, whatever the number of tasks.  The count and the percentile are
+      single-number aggregations.
     """
-    return df.orderBy(*[_c(o) for o in order_by]).limit(n)
+    if key is None:
+        return df.orderBy(*[_c(o) for o in order_by]).limit(n)
+    k = F.col(key)
+    total = df.count()
+    if total <= n:
+        return df
+    margin = total // accuracy + 1
+    q = min(1.0, (n + margin) / total)
+    t = df.agg(F.percentile_approx(k, q, accuracy).alias("t")).first()["t"]
+    return df.filter(k <= F.lit(t)).orderBy(k.asc()).limit(n)
 
 
 def hash_sample(df: DataFrame, key: ColumnOrName, fraction: float, seed: int = 42) -> DataFrame:

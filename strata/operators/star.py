@@ -138,6 +138,12 @@ def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return joined.select(*[_c(c) for c in columns])
 
 
-def missing_keys(required: DataFrame, existing: DataFrame, on) -> DataFrame:
-    """Rows of ``required`` without a match in ``existing`` (J6, J7): anti-join."""
-    return required.join(existing, on, "left_anti")
+def missing_keys(required: DataFrame, existing: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows of ``required`` without a match in ``existing`` (J6, J7): anti-join.
+
+    The existing side is reduced to its distinct keys first: the partial
+    aggregate collapses a hot key inside each map task, so the anti-join's
+    shuffle carries one row per key and task, not every duplicate.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    return required.join(existing.select(*keys).distinct(), keys, "left_anti")

@@ -583,7 +583,7 @@ SELECT * FROM events ORDER BY event_id LIMIT 50000
 def capped_rows(spark, d):
     """The reference capped a source at 50,000 rows with an unordered limit (O1);
     here the cap keeps the first 50,000 rows in id order, the same rows on every run."""
-    return A.cap_rows(table(spark, d, "events"), 50_000, [F.col("event_id").asc()])
+    return A.cap_rows(table(spark, d, "events"), 50_000, key="event_id")
 
 
 @query("table_counts", "\nUNION ALL\n".join(

@@ -41,3 +41,11 @@ def test_table_counts_total(spark):
     out = {r.table_name: r.row_count for r in A.table_counts(
         {"a": spark.range(3), "b": spark.range(5)}).collect()}
     assert out == {"a": 3, "b": 5, "TOTAL": 8}
+
+
+def test_cap_rows_by_key_equals_plain_top_n(spark):
+    df = spark.range(0, 200000, 3).withColumnRenamed("id", "k").repartition(11)
+    fast = sorted(r.k for r in A.cap_rows(df, 5000, key="k", accuracy=1000).collect())
+    plain = sorted(r.k for r in A.cap_rows(df, 5000, ["k"]).collect())
+    assert fast == plain == list(range(0, 15000, 3))
+    assert A.cap_rows(df, 10**9, key="k").count() == df.count()

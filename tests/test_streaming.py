@@ -21,3 +21,15 @@ def test_only_new_files_are_ingested(spark, tmp_dir):
     rows = spark.read.parquet(target).collect()
     assert sorted(r.id for r in rows) == [1, 2, 3]
     assert {os.path.basename(r._source_file) for r in rows} == {"a.csv", "b.CSV"}
+
+
+def test_batch_landing_skips_loaded_files(spark, tmp_dir):
+    from strata.sinks.landing import land_new_files
+    landing, target = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "bronze")
+    _write(landing, "a.csv", [(1, "x"), (2, "y")])
+    open(os.path.join(landing, "empty.csv"), "w").close()
+    assert land_new_files(spark, landing, target, SCHEMA) == 2
+    assert land_new_files(spark, landing, target, SCHEMA) == 0
+    _write(os.path.join(landing, "sub"), "b.CSV", [(3, "z")])
+    assert land_new_files(spark, landing, target, SCHEMA) == 1
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
