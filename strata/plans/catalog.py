@@ -27,6 +27,7 @@ from strata.operators import quality as Q
 from strata.operators import star as S
 from strata.plans import gold as G
 from strata.plans import mapping as M
+from strata.plans.rules import rule_specs, rules_for
 from strata.session import scratch_path
 from strata.sinks.files import write_csv, write_parquet
 from strata.sinks.publish import publish, read_published
@@ -472,7 +473,7 @@ def value_fact(spark, d):
 SELECT position, round(avg(latest_market_value)) AS avg_market_value,
        round(max(latest_market_value)) AS max_market_value,
        count(player_id) AS player_count,
-       {_round_text('avg(overall_rating)', 1)} AS avg_rating,
+       {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating,
        {_round_text('avg(total_goals)', 1)} AS avg_goals
 FROM fact WHERE position IS NOT NULL GROUP BY position
 """))
@@ -484,7 +485,7 @@ def agg_by_segment(spark, d):
 SELECT competition_name, league_country, round(avg(latest_market_value)) AS avg_market_value,
        round(max(latest_market_value)) AS max_market_value,
        count(player_id) AS player_count,
-       {_round_text('avg(overall_rating)', 1)} AS avg_rating
+       {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
 FROM fact WHERE competition_name IS NOT NULL GROUP BY competition_name, league_country
 """))
 def agg_two_keys(spark, d):
@@ -494,7 +495,7 @@ def agg_two_keys(spark, d):
 @query("agg_by_age", _with(_FACT_CTE, f"""
 SELECT age, round(avg(latest_market_value)) AS avg_market_value,
        count(player_id) AS player_count,
-       {_round_text('avg(overall_rating)', 1)} AS avg_rating
+       {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
 FROM fact WHERE age BETWEEN {G.AGE_BAND[0]} AND {G.AGE_BAND[1]} GROUP BY age
 """))
 def agg_by_age(spark, d):
@@ -526,7 +527,7 @@ def agg_by_band(spark, d):
 @query("agg_having_topk", _with(_FACT_CTE, f"""
 SELECT nationality, round(avg(latest_market_value)) AS avg_market_value,
        count(player_id) AS player_count,
-       {_round_text('avg(overall_rating)', 1)} AS avg_rating
+       {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
 FROM fact WHERE nationality IS NOT NULL GROUP BY nationality
 HAVING count(player_id) >= {G.MIN_PLAYERS_PER_NATIONALITY}
 ORDER BY avg_market_value DESC, nationality LIMIT 10
@@ -560,7 +561,7 @@ def bucket_case(spark, d):
 , agg AS (
   SELECT nationality, round(avg(latest_market_value)) AS avg_market_value,
          count(player_id) AS player_count,
-         {_round_text('avg(overall_rating)', 1)} AS avg_rating
+         {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
   FROM fact WHERE nationality IS NOT NULL GROUP BY nationality
   HAVING count(player_id) >= {G.MIN_PLAYERS_PER_NATIONALITY})
 SELECT nationality, player_count,
@@ -575,6 +576,93 @@ def top_groups_formatted(spark, d):
                            keep=["nationality", "player_count"])
 
 
+# ============================================================ factor queries
+
+@query("factor_age_top8", _with(_FACT_CTE, f"""
+, agg AS (
+  SELECT age, round(avg(latest_market_value)) AS avg_market_value,
+         count(player_id) AS player_count
+  FROM fact WHERE age BETWEEN {G.AGE_BAND[0]} AND {G.AGE_BAND[1]} GROUP BY age)
+SELECT age, player_count,
+       format('{{:,}}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
+FROM agg ORDER BY avg_market_value DESC, age LIMIT 8
+""".replace("\n, agg AS", ",\nagg AS", 1)))
+def factor_age_top8(spark, d):
+    """At which age is the value highest: top 8 ages of the age table."""
+    return G.formatted_top(G.agg_value_by_age(_fact(spark, d)), 8, "avg_market_value", "age",
+                           keep=["age", "player_count"])
+
+
+@query("factor_league_top8", _with(_FACT_CTE, f"""
+, agg AS (
+  SELECT competition_name, league_country, round(avg(latest_market_value)) AS avg_market_value,
+         count(player_id) AS player_count,
+         {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
+  FROM fact WHERE competition_name IS NOT NULL GROUP BY competition_name, league_country)
+SELECT competition_name, league_country, player_count, avg_fifa_rating,
+       format('{{:,}}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
+FROM agg ORDER BY avg_market_value DESC, competition_name, league_country LIMIT 8
+""".replace("\n, agg AS", ",\nagg AS", 1)))
+def factor_league_top8(spark, d):
+    """Which league has the most valuable players: top 8 of the league table."""
+    agg = G.agg_value_by_league(_fact(spark, d))
+    top = A.top_k(agg, 8, [F.col("avg_market_value").desc()],
+                  [F.col("competition_name").asc(), F.col("league_country").asc()])
+    return top.select("competition_name", "league_country", "player_count", "avg_fifa_rating",
+                      X.format_amount("avg_market_value").alias("avg_market_value_fmt"))
+
+
+@query("top10_players", _with(_FACT_CTE, """
+SELECT player_name, position, nationality, age,
+       format('{:,}', CAST(round(latest_market_value) AS BIGINT)) || ' EUR'
+         AS latest_market_value_fmt,
+       competition_name, overall_rating
+FROM fact ORDER BY latest_market_value DESC, player_id LIMIT 10
+"""))
+def top10_players(spark, d):
+    """The ten most valuable players, value shown with thousands separators."""
+    top = A.top_k(_fact(spark, d), 10, [F.col("latest_market_value").desc()],
+                  [F.col("player_id").asc()])
+    return top.select("player_name", "position", "nationality", "age",
+                      X.format_amount("latest_market_value").alias("latest_market_value_fmt"),
+                      "competition_name", "overall_rating")
+
+
+def _spec_predicate(kind: str, cols: tuple, params: tuple) -> str:
+    c = cols[0]
+    return {
+        "not_null": lambda: f"{c} IS NOT NULL",
+        "max_length": lambda: f"length({c}) <= {params[0]}",
+        "between": lambda: f"{c} BETWEEN {params[0]} AND {params[1]}",
+        "strictly_between": lambda: f"({c} > {params[0]} AND {c} < {params[1]})",
+        "positive": lambda: f"({c} > 0 AND NOT isnan({c}))",
+        "non_negative": lambda: f"{c} >= 0",
+    }[kind]()
+
+
+def _fact_rules_sql() -> str:
+    parts = []
+    for name, kind, cols, params in rule_specs("fact_player_value"):
+        if kind == "unique":
+            parts.append(f"SELECT 'fact_player_value' AS table_name, '{name}' AS rule, "
+                         f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS violations FROM "
+                         f"(SELECT count(*) AS n FROM fact GROUP BY {', '.join(cols)} "
+                         f"HAVING count(*) > 1)")
+        else:
+            parts.append(f"SELECT 'fact_player_value' AS table_name, '{name}' AS rule, "
+                         f"CAST(SUM(CASE WHEN NOT COALESCE({_spec_predicate(kind, cols, params)}, "
+                         f"TRUE) THEN 1 ELSE 0 END) AS BIGINT) AS violations FROM fact")
+    return _with(_FACT_CTE, "\nUNION ALL\n".join(parts))
+
+
+@query("fact_rules_report", _fact_rules_sql())
+def fact_rules_report(spark, d):
+    """The gold fact's table rules (C2, C3, C5, C7, C8, C10) counted in one pass."""
+    fact = _fact(spark, d)
+    return Q.violation_report(fact, rules_for("fact_player_value", fact.columns),
+                              table="fact_player_value")
+
+
 # ============================================================ caps, counts, rules
 
 @query("capped_rows", """
@@ -662,7 +750,7 @@ def constraint_report(spark, d):
 SELECT position, round(avg(latest_market_value)) AS avg_market_value,
        round(max(latest_market_value)) AS max_market_value,
        count(player_id) AS player_count,
-       {_round_text('avg(overall_rating)', 1)} AS avg_rating,
+       {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating,
        {_round_text('avg(total_goals)', 1)} AS avg_goals
 FROM fact WHERE position IS NOT NULL GROUP BY position
 """))

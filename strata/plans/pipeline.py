@@ -22,8 +22,9 @@ from strata.functions.scalar import (clean_code, clean_text, is_positive, to_dat
                                      to_float, to_int, years_between)
 from strata.operators.aggregate import table_counts
 from strata.operators.clean import dedupe, fill_nulls, require_not_null, total_order
-from strata.operators.quality import presence_report
+from strata.operators.quality import presence_report, violation_report
 from strata.plans import gold as G
+from strata.plans.rules import rules_for
 from strata.sinks.files import write_parquet
 from strata.sinks.publish import Published, publish, read_published
 from strata.sources.files import read_csv
@@ -62,6 +63,9 @@ class PipelineConfig:
     as_of: _dt.date = _dt.date(2026, 1, 1)
     raw_files: Mapping[str, str] = field(default_factory=lambda: dict(RAW_FILES))
     rating_cap: int | None = None      # the reference capped ratings at 50,000 rows
+    # gold rules (C1-C10): "report" publishes a violation report next to the
+    # tables, "raise" also refuses any table that breaks a rule, "off" skips both
+    rules: str = "report"
 
 
 # ================================================================ silver
@@ -209,19 +213,21 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
     appearances, ratings = s("appearances"), s("fifa_players")
 
     out: dict[str, Published] = {}
-    dim = G.dim_player(players, ratings)
-    out["dim_player"] = publish(dim, f"{gold}/dim_player")
-    out["dim_club"] = publish(clubs.select("club_id", "club_name", "domestic_competition_id",
-                                           "squad_size", "average_age", "total_market_value"),
-                              f"{gold}/dim_club")
-    out["dim_competition"] = publish(competitions.select("competition_id", "competition_name",
-                                                         "country_name", "type"),
-                                     f"{gold}/dim_competition")
+
+    def put(name, df):
+        rules = rules_for(name, df.columns) if cfg.rules == "raise" else None
+        out[name] = publish(df, f"{gold}/{name}", rules=rules)
+
+    put("dim_player", G.dim_player(players, ratings))
+    put("dim_club", clubs.select("club_id", "club_name", "domestic_competition_id",
+                                 "squad_size", "average_age", "total_market_value"))
+    put("dim_competition", competitions.select("competition_id", "competition_name",
+                                               "country_name", "type"))
     # the fact joins the published dimension, not its lineage
     dim_live = read_published(spark, f"{gold}/dim_player")
     fact = G.fact_player_value(G.latest_valuation(valuations), dim_live,
                                G.player_stats(appearances), competitions)
-    out["fact_player_value"] = publish(fact, f"{gold}/fact_player_value")
+    put("fact_player_value", fact)
     fact_live = read_published(spark, f"{gold}/fact_player_value")
     builders = {
         "agg_value_by_position": G.agg_value_by_position,
@@ -231,7 +237,23 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
         "agg_value_by_nationality": G.agg_value_by_nationality,
     }
     for name, build in builders.items():
-        out[name] = publish(build(fact_live), f"{gold}/{name}")
+        put(name, build(fact_live))
+    if cfg.rules != "off":
+        out["quality_report"] = publish(quality_report(spark, gold), f"{gold}/quality_report")
+    return out
+
+
+def quality_report(spark: SparkSession, gold: str, tables: list[str] = GOLD_TABLES) -> DataFrame:
+    """Violations per (table, rule) over the live gold tables."""
+    parts = []
+    for t in tables:
+        df = read_published(spark, f"{gold.rstrip('/')}/{t}")
+        rules = rules_for(t, df.columns)
+        if rules:
+            parts.append(violation_report(df, rules, table=t))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

@@ -75,12 +75,15 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(f"{target}/_versions/{version}")
 
 
-def publish(df: DataFrame, target: str, min_rows: int = 1,
+def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
             fail_before_commit: bool = False) -> Published:
     """Stage ``df`` as a new version of ``target`` and make it live if it checks out.
 
-    ``fail_before_commit`` simulates a crash between staging and switching
-    (used by tests to show the previous version stays live).
+    ``rules`` (``strata.operators.quality.Rule`` list) are checked on the
+    staged copy -- read back, not recomputed -- and any violation refuses the
+    version, as a database CHECK refuses an insert.  ``fail_before_commit``
+    simulates a crash between staging and switching (used by tests to show
+    the previous version stays live).
     """
     spark = df.sparkSession
     target = target.rstrip("/")
@@ -96,6 +99,15 @@ def publish(df: DataFrame, target: str, min_rows: int = 1,
     if stored != observed:
         _delete(spark, staged)
         raise PublishError(f"{target}: wrote {observed} rows but staged copy has {stored}")
+    if rules:
+        from strata.operators.quality import violation_report
+        # one row per rule: a handful of rows reach the driver
+        broken = [(r["rule"], r["violations"])
+                  for r in violation_report(spark.read.parquet(staged), rules).collect()
+                  if r["violations"] > 0]
+        if broken:
+            _delete(spark, staged)
+            raise PublishError(f"{target}: rules violated {broken}; nothing published")
     if fail_before_commit:
         raise PublishError(f"{target}: simulated failure before commit of {version}")
 

@@ -180,3 +180,17 @@ def test_missing_silver_dataset_is_reported(spark, tmp_dir):
         f.write("x")
     with pytest.raises(P.NotReady, match="clubs"):
         P.silver_to_gold(spark, cfg)
+
+
+def test_quality_report_is_clean(spark, gold):
+    cfg, _ = gold
+    rep = _read(spark, cfg, "quality_report").collect()
+    assert len(rep) > 40 and all(r.violations == 0 for r in rep)
+
+
+def test_rules_refuse_a_bad_version(spark, tmp_dir):
+    from strata.plans.rules import rules_for
+    from strata.sinks.publish import PublishError, publish
+    df = spark.createDataFrame([(1, "a", 13), (2, "b", 30)], "player_id int, player_name string, age int")
+    with pytest.raises(PublishError, match="age_14_50"):
+        publish(df, os.path.join(tmp_dir, "dim"), rules=rules_for("dim_player", df.columns))
