@@ -32,7 +32,7 @@ from strata.session import scratch_path
 from strata.sinks.files import write_csv, write_parquet
 from strata.sinks.publish import publish, read_published
 from strata.sources.files import read_csv, read_parquet, table
-from strata.sources.manifest import manifest
+from strata.sources.manifest import manifest, prefix_summary
 from strata.streaming.ingest import ingest_new_files as stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -773,6 +773,17 @@ def file_manifest(spark, d):
     return report.join(sizes, report["item"] == sizes["name"], "left").drop("name")
 
 
+@query("manifest_summary", None)
+def manifest_summary(spark, d):
+    """Files and MB per folder of a year-partitioned copy of orders (A11, X13); the
+    folder sizes grow with the table.  Rows-only check: file counts depend on the
+    writer's task layout."""
+    path = scratch_path(spark, "orders_by_year_manifest")
+    o = table(spark, d, "orders")
+    write_parquet(o.withColumn("o_year", X.year_of("o_orderdate")), path, partition_by=["o_year"])
+    return prefix_summary(manifest(spark, path))
+
+
 ORDERS_CSV_SCHEMA = StructType([
     StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
     StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType()),
