@@ -194,3 +194,12 @@ def test_rules_refuse_a_bad_version(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a", 13), (2, "b", 30)], "player_id int, player_name string, age int")
     with pytest.raises(PublishError, match="age_14_50"):
         publish(df, os.path.join(tmp_dir, "dim"), rules=rules_for("dim_player", df.columns))
+
+
+def test_single_line_datasets_give_same_silver(spark, tmp_dir):
+    cfg = _cfg(tmp_dir)
+    _bronze(cfg.bronze)
+    cfg.multiline = frozenset({"players"})        # only players has a quoted line break
+    counts = P.bronze_to_silver(spark, cfg)
+    assert counts == {"players": 11, "player_valuations": 11, "clubs": 3, "competitions": 3,
+                      "appearances": 4, "fifa_players": 3}
