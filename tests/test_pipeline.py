@@ -203,3 +203,12 @@ def test_single_line_datasets_give_same_silver(spark, tmp_dir):
     counts = P.bronze_to_silver(spark, cfg)
     assert counts == {"players": 11, "player_valuations": 11, "clubs": 3, "competitions": 3,
                       "appearances": 4, "fifa_players": 3}
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    cfg = _cfg(tmp_dir)
+    _bronze(cfg.bronze)
+    P.main(["run", "--bronze", cfg.bronze, "--silver", cfg.silver, "--gold", cfg.gold,
+            "--rules", "raise", "--single-line", "clubs", "competitions"])
+    out = capsys.readouterr().out
+    assert "fact_player_value" in out and "TOTAL" in out
