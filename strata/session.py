@@ -53,6 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        # a driver-local folder is invisible to executors and lost with the driver
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(scratch tables, staged versions and streaming checkpoints go there)")
     local = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
