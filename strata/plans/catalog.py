@@ -142,8 +142,10 @@ fact AS (
     AND d.position <> '{SENTINEL_SEGMENT}')"""
 
 
-def _with(ctes: str, body: str) -> str:
-    return f"WITH {ctes.strip()}\n{body.strip()}"
+def _with(ctes: str, body: str, extra: str = "") -> str:
+    """``WITH <ctes>[, <extra>] <body>``."""
+    more = f",\n{extra.strip()}" if extra else ""
+    return f"WITH {ctes.strip()}{more}\n{body.strip()}"
 
 
 # ============================================================ sources / projection
@@ -557,52 +559,50 @@ def bucket_case(spark, d):
     return G.rating_factor(_fact(spark, d))
 
 
-@query("top_groups_formatted", _with(_FACT_CTE, f"""
-, agg AS (
+@query("top_groups_formatted", _with(_FACT_CTE, extra=f"""
+agg AS (
   SELECT nationality, round(avg(latest_market_value)) AS avg_market_value,
          count(player_id) AS player_count,
          {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
   FROM fact WHERE nationality IS NOT NULL GROUP BY nationality
-  HAVING count(player_id) >= {G.MIN_PLAYERS_PER_NATIONALITY})
+  HAVING count(player_id) >= {G.MIN_PLAYERS_PER_NATIONALITY})""", body="""
 SELECT nationality, player_count,
-       format('{{:,}}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
+       format('{:,}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
 FROM agg ORDER BY avg_market_value DESC, nationality LIMIT 8
-""".replace("\n, agg AS", ",\nagg AS", 1)))
+"""))
 def top_groups_formatted(spark, d):
-    agg = A.summarize(_fact(spark, d).filter(F.col("nationality").isNotNull()), ["nationality"],
-                      G._value_aggs(with_max=False),
-                      having=F.col("player_count") >= G.MIN_PLAYERS_PER_NATIONALITY)
-    return G.formatted_top(agg, 8, "avg_market_value", "nationality",
-                           keep=["nationality", "player_count"])
+    return G.formatted_top(G.nationality_summary(_fact(spark, d)), 8, "avg_market_value",
+                           "nationality", keep=["nationality", "player_count"])
 
 
 # ============================================================ factor queries
 
-@query("factor_age_top8", _with(_FACT_CTE, f"""
-, agg AS (
+@query("factor_age_top8", _with(_FACT_CTE, extra=f"""
+agg AS (
   SELECT age, round(avg(latest_market_value)) AS avg_market_value,
          count(player_id) AS player_count
-  FROM fact WHERE age BETWEEN {G.AGE_BAND[0]} AND {G.AGE_BAND[1]} GROUP BY age)
+  FROM fact WHERE age BETWEEN {G.AGE_BAND[0]} AND {G.AGE_BAND[1]} GROUP BY age)""", body="""
 SELECT age, player_count,
-       format('{{:,}}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
+       format('{:,}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
 FROM agg ORDER BY avg_market_value DESC, age LIMIT 8
-""".replace("\n, agg AS", ",\nagg AS", 1)))
+"""))
 def factor_age_top8(spark, d):
     """At which age is the value highest: top 8 ages of the age table."""
     return G.formatted_top(G.agg_value_by_age(_fact(spark, d)), 8, "avg_market_value", "age",
                            keep=["age", "player_count"])
 
 
-@query("factor_league_top8", _with(_FACT_CTE, f"""
-, agg AS (
+@query("factor_league_top8", _with(_FACT_CTE, extra=f"""
+agg AS (
   SELECT competition_name, league_country, round(avg(latest_market_value)) AS avg_market_value,
          count(player_id) AS player_count,
          {_round_text('avg(overall_rating)', 1)} AS avg_fifa_rating
-  FROM fact WHERE competition_name IS NOT NULL GROUP BY competition_name, league_country)
+  FROM fact WHERE competition_name IS NOT NULL GROUP BY competition_name, league_country)""",
+    body="""
 SELECT competition_name, league_country, player_count, avg_fifa_rating,
-       format('{{:,}}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
+       format('{:,}', CAST(avg_market_value AS BIGINT)) || ' EUR' AS avg_market_value_fmt
 FROM agg ORDER BY avg_market_value DESC, competition_name, league_country LIMIT 8
-""".replace("\n, agg AS", ",\nagg AS", 1)))
+"""))
 def factor_league_top8(spark, d):
     """Which league has the most valuable players: top 8 of the league table."""
     agg = G.agg_value_by_league(_fact(spark, d))
