@@ -784,6 +784,83 @@ def manifest_summary(spark, d):
     return prefix_summary(manifest(spark, path))
 
 
+_PIPELINE_SQL = f"""
+WITH players AS (
+  SELECT CAST(c.c_custkey AS INTEGER) AS player_id, c.c_name AS name,
+         CASE WHEN c.c_mktsegment = '{SENTINEL_SEGMENT}' THEN 'Missing' ELSE c.c_mktsegment END
+           AS position,
+         n.n_name AS nationality,
+         CAST({M.AS_OF.year} - (1975 + c.c_nationkey) AS INTEGER) AS age,
+         CASE WHEN c.c_acctbal > 0 THEN 'left' ELSE 'right' END AS foot
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+vals AS (
+  SELECT CAST(o.o_custkey AS INTEGER) AS player_id, CAST(o.o_orderdate AS DATE) AS date,
+         CAST(printf('%.2f', o.o_totalprice) AS DOUBLE) AS market_value_eur,
+         n.n_name AS competition_id
+  FROM orders o
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE o.o_custkey IS NOT NULL AND CAST(printf('%.2f', o.o_totalprice) AS DOUBLE) > 0
+  QUALIFY row_number() OVER (
+    PARTITION BY o.o_custkey, CAST(o.o_orderdate AS DATE)
+    ORDER BY printf('%.2f', o.o_totalprice) NULLS FIRST, c.c_nationkey NULLS FIRST,
+             n.n_name NULLS FIRST, o.o_totalprice NULLS FIRST) = 1),
+latest AS (
+  SELECT * FROM vals
+  QUALIFY rank() OVER (PARTITION BY player_id ORDER BY date DESC NULLS LAST) = 1),
+ratings AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS player_id,
+         CAST(floor(s_acctbal / 100) AS INTEGER) AS overall_rating,
+         CAST(floor(s_acctbal / 100) + 5 AS INTEGER) AS potential_rating
+  FROM supplier),
+dim AS (
+  SELECT p.*, r.overall_rating, r.potential_rating
+  FROM players p LEFT JOIN ratings r ON p.player_id = r.player_id),
+stats0 AS (
+  SELECT CAST(user_id AS INTEGER) AS player_id,
+         CAST(SUM(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS BIGINT) AS total_goals,
+         CAST(SUM(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS total_assists,
+         CAST(SUM(CAST(trunc(CAST(printf('%.2f', value) AS DOUBLE)) AS INTEGER)) AS BIGINT)
+           AS total_minutes,
+         COUNT(event_id) AS total_appearances
+  FROM events GROUP BY user_id),
+stats AS (
+  SELECT *, {_round_text('(total_goals + total_assists) / NULLIF(total_appearances, 0)', 2)}
+         AS goals_per_game
+  FROM stats0),
+comp AS (
+  SELECT n.n_name AS competition_id, n.n_name AS competition_name, r.r_name AS country_name
+  FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT l.player_id, d.name AS player_name, d.position, d.nationality, d.age, d.overall_rating,
+       d.potential_rating, l.market_value_eur AS latest_market_value, l.date AS valuation_date,
+       c.competition_name, c.country_name AS league_country, s.total_goals, s.total_assists,
+       s.total_appearances, s.total_minutes, s.goals_per_game, d.foot
+FROM latest l
+JOIN dim d ON l.player_id = d.player_id
+LEFT JOIN stats s ON l.player_id = s.player_id
+LEFT JOIN comp c ON l.competition_id = c.competition_id
+WHERE l.market_value_eur > 0 AND d.position <> 'Missing'
+"""
+
+
+@query("pipeline_end_to_end", _PIPELINE_SQL)
+def pipeline_end_to_end(spark, d):
+    """The whole reference pipeline on raw CSVs that Spark derives from the driver
+    tables (D1-D12): readiness checks, six cleaning jobs into silver Parquet (one
+    partitioned by year), nine validated gold publishes and the rules report.
+    Returns the published fact."""
+    from strata.plans import pipeline as P
+    from strata.plans.raw_from_tables import write_raw
+
+    root = scratch_path(spark, "pipeline")
+    cfg = P.PipelineConfig(bronze=f"{root}/bronze", silver=f"{root}/silver", gold=f"{root}/gold",
+                           as_of=M.AS_OF)
+    write_raw(spark, d, cfg.bronze)
+    P.bronze_to_silver(spark, cfg)
+    P.silver_to_gold(spark, cfg)
+    return read_published(spark, f"{cfg.gold}/fact_player_value")
+
+
 ORDERS_CSV_SCHEMA = StructType([
     StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
     StructField("o_orderstatus", StringType()), StructField("o_totalprice", DoubleType()),

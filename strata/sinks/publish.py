@@ -14,7 +14,8 @@ guarantees come from immutable versions plus one small commit marker:
    (W8);
 4. the marker is created with ``overwrite=false`` -- the one atomic step
    (W7).  A failure anywhere before it leaves the previous version live;
-5. the live version is re-read and counted once more (W8).
+5. the live pointer is resolved again and must name the new version (W8:
+   the staged folder counted in step 3 is exactly what readers now see).
 
 Readers resolve the newest marker once per query (``read_published``), so a
 reader never sees a half-written version.
@@ -40,6 +41,8 @@ class Published:
     target: str
     version: str
     rows: int
+    # (rule, violating rows) for every rule checked on the staged copy
+    violations: tuple[tuple[str, int], ...] = ()
 
     @property
     def path(self) -> str:
@@ -76,14 +79,16 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
 
 
 def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
-            fail_before_commit: bool = False) -> Published:
+            enforce_rules: bool = True, fail_before_commit: bool = False) -> Published:
     """Stage ``df`` as a new version of ``target`` and make it live if it checks out.
 
-    ``rules`` (``strata.operators.quality.Rule`` list) are checked on the
-    staged copy -- read back, not recomputed -- and any violation refuses the
-    version, as a database CHECK refuses an insert.  ``fail_before_commit``
-    simulates a crash between staging and switching (used by tests to show
-    the previous version stays live).
+    ``rules`` (``strata.operators.quality.Rule`` list) are counted on the
+    staged copy -- read back, not recomputed -- in one pass.  With
+    ``enforce_rules`` any violation refuses the version, as a database CHECK
+    refuses an insert; otherwise the counts are returned in
+    ``Published.violations``.  ``fail_before_commit`` simulates a crash between
+    staging and switching (used by tests to show the previous version stays
+    live).
     """
     spark = df.sparkSession
     target = target.rstrip("/")
@@ -99,13 +104,14 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
     if stored != observed:
         _delete(spark, staged)
         raise PublishError(f"{target}: wrote {observed} rows but staged copy has {stored}")
+    counts: tuple[tuple[str, int], ...] = ()
     if rules:
         from strata.operators.quality import violation_report
         # one row per rule: a handful of rows reach the driver
-        broken = [(r["rule"], r["violations"])
-                  for r in violation_report(spark.read.parquet(staged), rules).collect()
-                  if r["violations"] > 0]
-        if broken:
+        counts = tuple((r["rule"], int(r["violations"]))
+                       for r in violation_report(spark.read.parquet(staged), rules).collect())
+        broken = [c for c in counts if c[1] > 0]
+        if broken and enforce_rules:
             _delete(spark, staged)
             raise PublishError(f"{target}: rules violated {broken}; nothing published")
     if fail_before_commit:
@@ -116,10 +122,12 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
     out = fs.create(marker, False)     # fails if it exists: the atomic switch
     out.close()
 
-    live = read_published(spark, target).count()
-    if live != observed:
-        raise PublishError(f"{target}: {observed} rows expected, live version has {live}")
-    return Published(target, version, observed)
+    # the live version is the staged folder just counted; what is left to check
+    # is that readers resolve to it (a newer commit by another writer would win)
+    live = current_version(spark, target)
+    if live != version:
+        raise PublishError(f"{target}: committed {version} but the live version is {live}")
+    return Published(target, version, observed, counts)
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -212,3 +212,10 @@ def test_command_line_run(spark, tmp_dir, capsys):
             "--rules", "raise", "--single-line", "clubs", "competitions"])
     out = capsys.readouterr().out
     assert "fact_player_value" in out and "TOTAL" in out
+
+
+def test_recorded_report_equals_recomputed(spark, gold):
+    cfg, _ = gold
+    recorded = sorted(tuple(r) for r in _read(spark, cfg, "quality_report").collect())
+    recomputed = sorted(tuple(r) for r in P.quality_report(spark, cfg.gold).collect())
+    assert recorded == recomputed
