@@ -93,6 +93,16 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule],
     return valid, bad
 
 
+def row_rule_metrics(rules: Sequence[Rule]) -> dict[str, Column]:
+    """``{rule name: count of violating rows}`` aggregates for the row rules.
+
+    Plain aggregates, so they can ride along in another job (an
+    ``Observation`` on a write) instead of a pass of their own.
+    """
+    return {r.name: F.sum(F.when(_fails(r), 1).otherwise(0)).cast("long")
+            for r in rules if r.predicate is not None}
+
+
 def violation_report(df: DataFrame, rules: Sequence[Rule], table: str | None = None,
                      rule_col: str = "rule", count_col: str = "violations") -> DataFrame:
     """One row per rule with the number of violating rows.

@@ -8,15 +8,27 @@ collected by the write job itself.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+def _observed(df: DataFrame, metrics: Mapping[str, Column] | None = None
+              ) -> tuple[DataFrame, Observation]:
     obs = Observation(f"strata_write_{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    extra = [c.alias(f"m_{i}") for i, c in enumerate((metrics or {}).values())]
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), obs
+
+
+def write_parquet_observed(df: DataFrame, path: str, metrics: Mapping[str, Column],
+                           mode: str = "overwrite") -> tuple[int, dict[str, object]]:
+    """Write Parquet; return the row count and extra aggregate ``metrics``, all
+    computed by the write job itself (no second pass)."""
+    observed, obs = _observed(df, metrics)
+    observed.write.mode(mode).parquet(path)
+    got = obs.get
+    return int(got["rows"]), {k: got[f"m_{i}"] for i, k in enumerate(metrics)}
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.sinks.files import write_parquet
+from strata.sinks.files import write_parquet_observed
 
 
 class PublishError(RuntimeError):
@@ -95,7 +95,10 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
     version = _new_version()
     staged = f"{target}/_versions/{version}"
 
-    observed = write_parquet(df, staged)
+    rules = list(rules or [])
+    from strata.operators.quality import row_rule_metrics, violation_report
+    # row count and row-rule violations come out of the write job itself
+    observed, metrics = write_parquet_observed(df, staged, row_rule_metrics(rules))
     if observed < min_rows:
         _delete(spark, staged)
         raise PublishError(f"{target}: {observed} rows staged, at least {min_rows} required; "
@@ -106,10 +109,12 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
         raise PublishError(f"{target}: wrote {observed} rows but staged copy has {stored}")
     counts: tuple[tuple[str, int], ...] = ()
     if rules:
-        from strata.operators.quality import violation_report
-        # one row per rule: a handful of rows reach the driver
-        counts = tuple((r["rule"], int(r["violations"]))
-                       for r in violation_report(spark.read.parquet(staged), rules).collect())
+        # key rules need a grouping: one pass over the staged copy, a row per rule back
+        key_rules = [r for r in rules if r.unique_keys]
+        keyed = {r["rule"]: int(r["violations"]) for r in violation_report(
+            spark.read.parquet(staged), key_rules).collect()} if key_rules else {}
+        counts = tuple((r.name, int(metrics.get(r.name) or 0) if r.predicate is not None
+                        else keyed[r.name]) for r in rules)
         broken = [c for c in counts if c[1] > 0]
         if broken and enforce_rules:
             _delete(spark, staged)
