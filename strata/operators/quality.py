@@ -71,9 +71,14 @@ def _fails(rule: Rule) -> Column:
     return ~F.coalesce(rule.predicate, F.lit(True))
 
 
-def check_constraints(df: DataFrame, rules: Sequence[Rule],
-                      flag_col: str = "failed_rules") -> tuple[DataFrame, DataFrame]:
-    """Split ``df`` into (valid rows, violating rows with the failed rule names)."""
+def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "failed_rules",
+                      salt_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Split ``df`` into (valid rows, violating rows with the failed rule names).
+
+    Duplicate keys are flagged by joining the rows to the (small) set of
+    duplicated keys; a key duplicated a million times puts its rows in one
+    join task unless AQE splits it or ``salt_buckets`` salts it explicitly.
+    """
     row_rules = [r for r in rules if r.predicate is not None]
     flagged = df
     dup_flags = []
@@ -82,7 +87,11 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule],
         flag = f"__strata_dup{i}"
         dups = (df.groupBy(*keys).count().filter(F.col("count") > 1)
                 .select(*keys, F.lit(True).alias(flag)))
-        flagged = flagged.join(dups, keys, "left")
+        if salt_buckets:
+            from strata.operators.star import salted_join
+            flagged = salted_join(flagged, dups, keys, "left", buckets=salt_buckets)
+        else:
+            flagged = flagged.join(dups, keys, "left")
         dup_flags.append((r.name, flag))
     names = [F.when(_fails(r), F.lit(r.name)) for r in row_rules]
     names += [F.when(F.col(flag), F.lit(name)) for name, flag in dup_flags]

@@ -62,14 +62,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     return df.withColumn(rk, fn.over(w)).filter(F.col(rk) == 1).drop(rk)
 
 
-def latest_by_max_join(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+def latest_by_max_join(df: DataFrame, keys: Sequence[str], order_col: str,
+                       salt_buckets: int | None = None) -> DataFrame:
     """Documented alternative (A12 + J5): group max, then join back on (keys, max).
 
     Equal to ``latest_per_key(ties='all')`` when dates are non-null; a key whose
-    only date is null is lost here (null never equals null).
+    only date is null is lost here (null never equals null).  The join sends
+    every row of a key to one task; AQE's skew join splits that, or pass
+    ``salt_buckets`` to salt hot keys explicitly (``salted_join``).
     """
     mx = "__strata_max"
     maxes = df.groupBy(*keys).agg(F.max(order_col).alias(mx))
+    if salt_buckets:
+        right = maxes.withColumnRenamed(mx, order_col)
+        return salted_join(df, right, list(keys) + [order_col], "left_semi",
+                           buckets=salt_buckets)
     cond = [df[k] == maxes[k] for k in keys] + [df[order_col] == maxes[mx]]
     return df.join(maxes, cond, "inner").select(df["*"])
 
@@ -138,6 +145,48 @@ def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return joined.select(*[_c(c) for c in columns])
 
 
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+                hot_fraction: float = 0.01, buckets: int = 64) -> DataFrame:
+    """Equi-join whose hot keys are spread over ``buckets`` tasks (skew salting).
+
+    For joins where ``left`` may hold a key with a large share of its rows
+    and ``right`` is small per key (a max per key, a duplicate flag, a
+    dimension row).  It works without AQE's skew-join splitting:
+
+    1. keys holding more than ``hot_fraction`` of the left rows are found
+       with a partial-aggregate count; there are at most ``1 / hot_fraction``
+       of them, a proven bound, so that key set is broadcast;
+    2. left rows of a hot key get a salt from a hash of the whole row, every
+       other row salt 0;
+    3. right rows of a hot key are repeated once per salt (``buckets`` copies
+       of a bounded number of keys), every other row once with salt 0;
+    4. the join runs on (keys, salt).
+
+    Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``, where
+    repeating right rows cannot change the result.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"salted_join does not support how={how!r}")
+    keys = list(keys)
+    total = left.count()
+    threshold = max(1, int(total * hot_fraction))
+    hot = (left.groupBy(*keys).count().filter(F.col("count") > threshold)
+           .select(*keys, F.lit(True).alias("__strata_hot")))
+    hot = F.broadcast(hot)          # at most 1 / hot_fraction rows
+    salt = "__strata_salt"
+    lrow = F.xxhash64(*[F.col(c) for c in left.columns])
+    l = (left.join(hot, keys, "left")
+         .withColumn(salt, F.when(F.col("__strata_hot"), F.pmod(lrow, F.lit(buckets)))
+                     .otherwise(F.lit(0)))
+         .drop("__strata_hot"))
+    r = (right.join(hot, keys, "left")
+         .withColumn(salt, F.explode(F.when(F.col("__strata_hot"),
+                                            F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                     .otherwise(F.array(F.lit(0)))))
+         .drop("__strata_hot"))
+    return l.join(r, keys + [salt], how).drop(salt)
+
+
 def missing_keys(required: DataFrame, existing: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``required`` without a match in ``existing`` (J6, J7): anti-join.
 

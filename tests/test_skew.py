@@ -84,3 +84,38 @@ def test_infer_schema_is_opt_in(spark, tmp_dir):
         f.write("a,b\n1,2.5\n")
     assert dict(read_csv(spark, p).dtypes) == {"a": "string", "b": "string"}
     assert dict(read_csv(spark, p, infer_schema=True).dtypes) == {"a": "int", "b": "double"}
+
+
+def test_salted_join_spreads_the_hot_key(spark, hot):
+    df, pdf = hot
+    right = df.groupBy("k").agg(F.max("d").alias("d"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = S.latest_by_max_join(df, ["k"], "d")
+        salted = S.latest_by_max_join(df, ["k"], "d", salt_buckets=16)
+        assert sorted(r.id for r in plain.collect()) == sorted(r.id for r in salted.collect())
+        joined = S.salted_join(df, right.withColumnRenamed("d", "max_d"), ["k"], "inner",
+                               buckets=16)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        plain_j = df.join(right.withColumnRenamed("d", "max_d"), ["k"], "inner")
+        per_task_plain = [r["count"] for r in
+                          plain_j.groupBy(F.spark_partition_id()).count().collect()]
+        assert joined.count() == plain_j.count() == N
+        assert max(per_task_plain) >= N // 3            # the hot key sits in one task
+        assert max(per_task) < N // 3                   # salted: spread out
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_check_constraints_salted_equals_plain(spark, hot):
+    df, _ = hot
+    rules = [Q.unique("k_unique", "k"), Q.between("v_small", "v", 0, 50)]
+    a_valid, a_bad = Q.check_constraints(df, rules)
+    b_valid, b_bad = Q.check_constraints(df, rules, salt_buckets=8)
+    assert a_valid.count() == b_valid.count()
+    assert sorted((r.id, tuple(sorted(r.failed_rules))) for r in a_bad.collect()) == \
+        sorted((r.id, tuple(sorted(r.failed_rules))) for r in b_bad.collect())
