@@ -156,6 +156,7 @@ SELECT s.s_suppkey AS supplier_id, s.s_name AS supplier_name, n.n_name AS nation
 FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 """)
 def project_rename(spark, d):
+    """Column subset (P1), renames (P2) and qualified references to one join side."""
     s = table(spark, d, "supplier")
     n = table(spark, d, "nation")
     j = S.lookup_join(s, n, s["s_nationkey"] == n["n_nationkey"], "left")
@@ -209,6 +210,7 @@ SELECT c_custkey, trim('  ' || c_name || ' ') AS name,
 FROM customer
 """)
 def standardise_strings(spark, d):
+    """Derived / replaced columns in one projection (P3) with trim and lower-case."""
     c = table(spark, d, "customer")
     padded = c.select("c_custkey",
                       F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("raw_name"),

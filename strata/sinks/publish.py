@@ -70,7 +70,7 @@ def current_version(spark: SparkSession, target: str) -> str | None:
 
 
 def read_published(spark: SparkSession, target: str) -> DataFrame:
-    """The live version of a published table."""
+    """The live version of a published table: how analysts read gold."""
     target = target.rstrip("/")
     version = current_version(spark, target)
     if version is None:

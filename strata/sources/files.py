@@ -1,4 +1,8 @@
-"""Readers (S1-S7, S11): CSV with a declared schema, Parquet, partitioned Parquet.
+"""Readers (S1-S8, S11): CSV with a declared schema, Parquet, partitioned Parquet.
+
+Paths are URIs of any Hadoop filesystem the session is configured for
+(``s3a://``, ``hdfs://``, ``file:``); endpoints and credentials are the
+caller's Hadoop configuration, never library code (S8).
 
 Schemas are declared (``StructType`` or DDL string); inference is opt-in
 because it costs a separate full pass over the input.  Multi-line CSV files
