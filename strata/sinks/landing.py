@@ -22,7 +22,7 @@ from strata.sources.manifest import _hadoop_fs, manifest
 
 
 def _norm(c):
-    # file:/x, file:///x and /x name the same file
+    # file:/x, file:///x and /x name the same file; both sides are URL-encoded URIs
     return F.regexp_replace(c, r"^file:/+", "/")
 
 
@@ -38,7 +38,7 @@ def land_new_files(spark: SparkSession, landing: str, target: str, schema: Struc
     tp, fs = _hadoop_fs(spark, target)
     if fs.exists(tp):
         done = spark.read.parquet(target).select(_norm(F.col(source_col)).alias("done")).distinct()
-        listing = listing.join(done, _norm(listing["path"]) == done["done"], "left_anti")
+        listing = listing.join(done, _norm(listing["uri"]) == done["done"], "left_anti")
     # one short row per new file; the list of paths is what the reader needs
     new_paths = [r.path for r in listing.select("path").collect()]
     if not new_paths:

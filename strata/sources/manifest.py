@@ -22,6 +22,7 @@ from strata.functions.scalar import bytes_to_mb, relative_to
 
 MANIFEST_SCHEMA = StructType([
     StructField("path", StringType(), False),
+    StructField("uri", StringType(), False),
     StructField("length", LongType(), False),
     StructField("modified", TimestampType(), True),
 ])
@@ -34,7 +35,12 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def list_files(spark: SparkSession, root: str, include_hidden: bool = False) -> list[tuple]:
-    """Recursive listing of regular files: (path, length, modified)."""
+    """Recursive listing of regular files: (path, uri, length, modified).
+
+    ``uri`` is the URL-encoded form, the one Spark reports in
+    ``_metadata.file_path``; ``path`` is the plain form used for display and
+    name matching.
+    """
     p, fs = _hadoop_fs(spark, root)
     if not fs.exists(p):
         return []
@@ -47,12 +53,14 @@ def list_files(spark: SparkSession, root: str, include_hidden: bool = False) ->
             continue
         ts = _dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0, _dt.UTC) \
             .replace(tzinfo=None)
-        out.append((st.getPath().toString(), int(st.getLen()), ts))
+        fp = st.getPath()
+        out.append((fp.toString(), fp.toUri().toString(), int(st.getLen()), ts))
     return out
 
 
 def manifest(spark: SparkSession, root: str, include_hidden: bool = False) -> DataFrame:
-    """One row per file: path, rel_path, name, prefix (first folder), length, size_mb, modified."""
+    """One row per file: path, uri, rel_path, name, prefix (first folder), length, size_mb,
+    modified."""
     rows = list_files(spark, root, include_hidden)
     df = spark.createDataFrame(rows, MANIFEST_SCHEMA)
     qualified_root = _hadoop_fs(spark, root)[1].makeQualified(
@@ -63,7 +71,8 @@ def manifest(spark: SparkSession, root: str, include_hidden: bool = False) -> Da
               .withColumn("prefix", F.when(F.col("rel_path").contains("/"),
                                            F.substring_index("rel_path", "/", 1)).otherwise(F.lit("")))
               .withColumn("size_mb", bytes_to_mb("length"))
-              .select("path", "rel_path", "name", "prefix", "length", "size_mb", "modified"))
+              .select("path", "uri", "rel_path", "name", "prefix", "length", "size_mb",
+                      "modified"))
 
 
 def prefix_summary(listing: DataFrame, by: str = "prefix") -> DataFrame:

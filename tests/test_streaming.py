@@ -33,3 +33,19 @@ def test_batch_landing_skips_loaded_files(spark, tmp_dir):
     _write(os.path.join(landing, "sub"), "b.CSV", [(3, "z")])
     assert land_new_files(spark, landing, target, SCHEMA) == 1
     assert sorted(r.id for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def test_batch_landing_with_spaces_in_names(spark, tmp_dir):
+    from strata.sinks.landing import land_new_files
+    landing, target = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "bronze")
+    _write(os.path.join(landing, "FIFA 23 Players"), "male players+x.csv", [(1, "x")])
+    assert land_new_files(spark, landing, target, SCHEMA) == 1
+    assert land_new_files(spark, landing, target, SCHEMA) == 0
+
+
+def test_streaming_ingest_with_spaces_in_names(spark, tmp_dir):
+    landing, target, ckpt = (os.path.join(tmp_dir, x) for x in ("raw", "bronze", "_ckpt"))
+    _write(os.path.join(landing, "FIFA 23 Players"), "male players.csv", [(1, "x")])
+    opts = {"recursiveFileLookup": "true"}
+    assert ingest_new_files(spark, landing, target, ckpt, SCHEMA, options=opts) == 1
+    assert ingest_new_files(spark, landing, target, ckpt, SCHEMA, options=opts) == 0
