@@ -18,7 +18,7 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "strata") -> SparkSession:
+                  app_name: str = "strata", extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and the bench; a cluster job brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
