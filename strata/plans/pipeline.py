@@ -27,7 +27,7 @@ from strata.plans import gold as G
 from strata.plans.rules import rules_for
 from strata.sinks.files import write_parquet
 from strata.sinks.publish import Published, publish, read_published
-from strata.sources.files import read_csv
+from strata.sources.files import read_csv, read_parquet
 from strata.sources.manifest import manifest
 
 # Fixed values that must equal the reference's: raw file locations under the
@@ -214,7 +214,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
     silver, gold = cfg.silver.rstrip("/"), cfg.gold.rstrip("/")
 
     def s(name):
-        return spark.read.parquet(f"{silver}/{name}")
+        return read_parquet(spark, f"{silver}/{name}")
 
     players, valuations = s("players"), s("player_valuations")
     clubs, competitions = s("clubs"), s("competitions")

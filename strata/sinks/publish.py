@@ -30,6 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.sinks.files import write_parquet_observed
+from strata.sources.files import read_parquet
 
 
 class PublishError(RuntimeError):
@@ -75,7 +76,7 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
     version = current_version(spark, target)
     if version is None:
         raise PublishError(f"nothing published at {target}")
-    return spark.read.parquet(f"{target}/_versions/{version}")
+    return read_parquet(spark, f"{target}/_versions/{version}")
 
 
 def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
@@ -103,7 +104,7 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
         _delete(spark, staged)
         raise PublishError(f"{target}: {observed} rows staged, at least {min_rows} required; "
                            "nothing published")
-    stored = spark.read.parquet(staged).count()
+    stored = read_parquet(spark, staged).count()
     if stored != observed:
         _delete(spark, staged)
         raise PublishError(f"{target}: wrote {observed} rows but staged copy has {stored}")
@@ -112,7 +113,7 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
         # key rules need a grouping: one pass over the staged copy, a row per rule back
         key_rules = [r for r in rules if r.unique_keys]
         keyed = {r["rule"]: int(r["violations"]) for r in violation_report(
-            spark.read.parquet(staged), key_rules).collect()} if key_rules else {}
+            read_parquet(spark, staged), key_rules).collect()} if key_rules else {}
         counts = tuple((r.name, int(metrics.get(r.name) or 0) if r.predicate is not None
                         else keyed[r.name]) for r in rules)
         broken = [c for c in counts if c[1] > 0]

@@ -49,16 +49,43 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return df.repartition(repartition) if repartition else df
 
 
+# Parquet schemas already read in this process, keyed by (path, modification
+# time).  Opening a Parquet path without a schema runs a small Spark job to
+# read a footer; with the schema known, ``spark.read.schema(s)`` skips it.
+# Paths whose modification time is unknown (0, as for object-store folders)
+# are never cached, so a rewritten table is always re-read.
+_SCHEMAS: dict[tuple[str, int], StructType] = {}
+
+
+def _schema_key(spark: SparkSession, path: str) -> tuple[str, int] | None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        st = fs.getFileStatus(p)
+    except Exception:  # noqa: BLE001 -- missing path: let the reader raise its own error
+        return None
+    mtime = int(st.getModificationTime())
+    return (fs.makeQualified(p).toString(), mtime) if mtime > 0 else None
+
+
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan (S6, S7); partition columns are discovered from ``k=v`` folders.
 
     Selecting ``columns`` here (or anywhere later) prunes the scan's
     ReadSchema; filters on partition columns become PartitionFilters.
     """
-    df = spark.read.parquet(path)
+    key = _schema_key(spark, path)
+    schema = _SCHEMAS.get(key) if key else None
+    if schema is None:
+        df = spark.read.parquet(path)
+        if key:
+            _SCHEMAS[key] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return df.select(*columns) if columns else df
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """``<root>/<name>.parquet`` -- the layout of the driver tables."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{root.rstrip('/')}/{name}.parquet")
