@@ -1,6 +1,5 @@
 """A key holding a third of all rows: results stay whole and equal a brute-force answer."""
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
