@@ -786,7 +786,7 @@ def manifest_summary(spark, d):
     return prefix_summary(manifest(spark, path))
 
 
-_PIPELINE_SQL = f"""
+_FULL_REFRESH_SQL = f"""
 WITH players AS (
   SELECT CAST(c.c_custkey AS INTEGER) AS player_id, c.c_name AS name,
          CASE WHEN c.c_mktsegment = '{SENTINEL_SEGMENT}' THEN 'Missing' ELSE c.c_mktsegment END
@@ -845,8 +845,8 @@ WHERE l.market_value_eur > 0 AND d.position <> 'Missing'
 """
 
 
-@query("pipeline_end_to_end", _PIPELINE_SQL)
-def pipeline_end_to_end(spark, d):
+@query("full_refresh", _FULL_REFRESH_SQL)
+def full_refresh(spark, d):
     """The whole reference pipeline on raw CSVs that Spark derives from the driver
     tables (D1-D12): readiness checks, six cleaning jobs into silver Parquet (one
     partitioned by year), nine validated gold publishes and the rules report.
@@ -854,7 +854,7 @@ def pipeline_end_to_end(spark, d):
     from strata.plans import pipeline as P
     from strata.plans.raw_from_tables import write_raw
 
-    root = scratch_path(spark, "pipeline")
+    root = scratch_path(spark, "full_refresh")
     cfg = P.PipelineConfig(bronze=f"{root}/bronze", silver=f"{root}/silver", gold=f"{root}/gold",
                            as_of=M.AS_OF)
     write_raw(spark, d, cfg.bronze)
