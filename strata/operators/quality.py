@@ -1,7 +1,8 @@
 """Data-quality rules and readiness checks.
 
 A rule fails only when its predicate is *false*; null passes, as a SQL CHECK
-does.  Row rules are evaluated together in one projection / one aggregation
+does.  Likewise a uniqueness rule ignores rows with a null key part, as SQL
+UNIQUE treats nulls as distinct (a NOT NULL rule covers the nulls).  Row rules are evaluated together in one projection / one aggregation
 pass.  Uniqueness rules are a ``groupBy(keys).count()`` (partial aggregation,
 skew-safe), never a window over the key.
 """
@@ -67,6 +68,13 @@ def max_length(name: str, col: str, n: int) -> Rule:
 
 # ---------------------------------------------------------------- evaluation
 
+def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    cond = None
+    for k in keys:
+        cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
+    return df.filter(cond)
+
+
 def _fails(rule: Rule) -> Column:
     return ~F.coalesce(rule.predicate, F.lit(True))
 
@@ -85,7 +93,7 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "fai
     for i, r in enumerate(r for r in rules if r.unique_keys):
         keys = list(r.unique_keys)
         flag = f"__strata_dup{i}"
-        dups = (df.groupBy(*keys).count().filter(F.col("count") > 1)
+        dups = (_non_null_keys(df, keys).groupBy(*keys).count().filter(F.col("count") > 1)
                 .select(*keys, F.lit(True).alias(flag)))
         if salt_buckets:
             from strata.operators.star import salted_join
@@ -130,7 +138,8 @@ def violation_report(df: DataFrame, rules: Sequence[Rule], table: str | None = N
     for r in rules:
         if not r.unique_keys:
             continue
-        dup_rows = (df.groupBy(*r.unique_keys).count().filter(F.col("count") > 1)
+        dup_rows = (_non_null_keys(df, r.unique_keys).groupBy(*r.unique_keys).count()
+                    .filter(F.col("count") > 1)
                     .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias(count_col)))
         parts.append(dup_rows.select(F.lit(r.name).alias(rule_col), F.col(count_col)))
     out = parts[0]

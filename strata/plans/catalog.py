@@ -646,10 +646,11 @@ def _fact_rules_sql() -> str:
     parts = []
     for name, kind, cols, params in rule_specs("fact_player_value"):
         if kind == "unique":
+            not_null = " AND ".join(f"{c} IS NOT NULL" for c in cols)
             parts.append(f"SELECT 'fact_player_value' AS table_name, '{name}' AS rule, "
                          f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS violations FROM "
-                         f"(SELECT count(*) AS n FROM fact GROUP BY {', '.join(cols)} "
-                         f"HAVING count(*) > 1)")
+                         f"(SELECT count(*) AS n FROM fact WHERE {not_null} "
+                         f"GROUP BY {', '.join(cols)} HAVING count(*) > 1)")
         else:
             parts.append(f"SELECT 'fact_player_value' AS table_name, '{name}' AS rule, "
                          f"CAST(SUM(CASE WHEN NOT COALESCE({_spec_predicate(kind, cols, params)}, "
@@ -713,9 +714,11 @@ def _rule_sql(tbl: str, name: str, pred: str) -> str:
 
 
 def _unique_sql(tbl: str, name: str, keys: str) -> str:
+    not_null = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
     return (f"SELECT '{tbl}' AS table_name, '{name}' AS rule, "
             f"CAST(COALESCE(SUM(n), 0) AS BIGINT) AS violations FROM "
-            f"(SELECT count(*) AS n FROM {tbl} GROUP BY {keys} HAVING count(*) > 1)")
+            f"(SELECT count(*) AS n FROM {tbl} WHERE {not_null} GROUP BY {keys} "
+            f"HAVING count(*) > 1)")
 
 
 _RULES_SQL = "\nUNION ALL\n".join([

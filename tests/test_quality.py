@@ -34,3 +34,12 @@ def test_presence_report_contains_and_empty(spark):
     assert rep["Transfermarkt/players.csv"].present
     assert rep["Transfermarkt/player_valuations.csv"].empty_matches == 1
     assert not rep["FIFA 23 Players/male_players.csv"].present
+
+
+def test_unique_ignores_null_keys_like_sql(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3), (1, 4), (2, 5)], "k int, v int")
+    rules = [Q.unique("k_unique", "k"), Q.not_null("k_not_null", "k")]
+    rep = {r.rule: r.violations for r in Q.violation_report(df, rules).collect()}
+    assert rep == {"k_unique": 2, "k_not_null": 2}
+    _, bad = Q.check_constraints(df, [Q.unique("k_unique", "k")])
+    assert sorted(r.v for r in bad.collect()) == [3, 4]
