@@ -46,6 +46,7 @@ def ingest_new_files(spark: SparkSession, landing: str, target: str, checkpoint:
     Returns the number of rows added by this run (0 when nothing is new).
     ``checkpoint`` must live in shared storage next to ``target``.
     """
+    before = _sink_rows(spark, target)
     df = landing_stream(spark, landing, schema, fmt, glob, options, source_col,
                         max_files_per_trigger)
     query = (df.writeStream.format("parquet")
@@ -56,4 +57,14 @@ def ingest_new_files(spark: SparkSession, landing: str, target: str, checkpoint:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+    # counted on the sink (its commit log decides what is visible), not summed
+    # from progress reports, which keep only the most recent batches
+    return _sink_rows(spark, target) - before
+
+
+def _sink_rows(spark: SparkSession, target: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_spark_metadata")
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return 0
+    return spark.read.parquet(target).count()

@@ -49,3 +49,11 @@ def test_streaming_ingest_with_spaces_in_names(spark, tmp_dir):
     opts = {"recursiveFileLookup": "true"}
     assert ingest_new_files(spark, landing, target, ckpt, SCHEMA, options=opts) == 1
     assert ingest_new_files(spark, landing, target, ckpt, SCHEMA, options=opts) == 0
+
+
+def test_many_small_batches_are_all_counted(spark, tmp_dir):
+    landing, target, ckpt = (os.path.join(tmp_dir, x) for x in ("raw", "bronze", "_ckpt"))
+    for i in range(5):
+        _write(landing, f"f{i}.csv", [(i, "x"), (i + 10, "y")])
+    assert ingest_new_files(spark, landing, target, ckpt, SCHEMA, max_files_per_trigger=1) == 10
+    assert spark.read.parquet(target).count() == 10
