@@ -30,6 +30,7 @@ from strata.plans import mapping as M
 from strata.plans.rules import rule_specs, rules_for
 from strata.session import scratch_path
 from strata.sinks.files import write_csv, write_parquet
+from strata.sinks.landing import land_new_files
 from strata.sinks.publish import publish, read_published
 from strata.sources.files import read_csv, read_parquet, table
 from strata.sources.manifest import manifest, prefix_summary
@@ -898,6 +899,27 @@ def ingest_new_files_query(spark, d):
     return spark.read.parquet(target).drop("_source_file")
 
 
+@query("land_new_files_batch", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders
+""")
+def land_new_files_batch(spark, d):
+    """The batch form of incremental landing (W10, W11): manifest anti-joined with
+    the source files already in the target; two drops, three runs, every order once."""
+    o = table(spark, d, "orders")
+    root = scratch_path(spark, "batch_landing")
+    landing, target = f"{root}/raw", f"{root}/bronze"
+    write_csv(o.filter(F.col("o_orderstatus") == "F"), f"{landing}/drop1")
+    land_new_files(spark, landing, target, ORDERS_CSV_SCHEMA)
+    write_csv(o.filter(~(F.col("o_orderstatus") == "F") | F.col("o_orderstatus").isNull()),
+              f"{landing}/drop2")
+    land_new_files(spark, landing, target, ORDERS_CSV_SCHEMA)
+    added = land_new_files(spark, landing, target, ORDERS_CSV_SCHEMA)
+    if added != 0:
+        raise RuntimeError(f"re-run of an unchanged landing folder added {added} rows")
+    return read_parquet(spark, target).drop("_source_file")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
