@@ -12,9 +12,9 @@ For continuous arrival prefer ``strata.streaming.ingest.ingest_new_files``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.sinks.files import write_parquet
 from strata.sources.files import read_csv
@@ -28,10 +28,13 @@ def _norm(c):
 
 def land_new_files(spark: SparkSession, landing: str, target: str, schema: StructType | str,
                    suffix: str = ".csv", source_col: str = "_source_file",
-                   options: dict | None = None) -> int:
+                   options: dict | None = None, corrupt_col: str | None = None) -> int:
     """Append rows of not-yet-landed files under ``landing`` to Parquet ``target``.
 
-    Returns the number of rows added.
+    Returns the number of rows added.  With ``corrupt_col`` a malformed line
+    does not fail the load: its raw text is kept in that column (fields null)
+    and ``landing_errors`` counts such lines per file, like the reference's
+    per-file error count.
     """
     listing = manifest(spark, landing).filter(
         F.lower("name").endswith(suffix.lower()) & (F.col("length") > 0))
@@ -43,6 +46,27 @@ def land_new_files(spark: SparkSession, landing: str, target: str, schema: Struc
     new_paths = [r.path for r in listing.select("path").collect()]
     if not new_paths:
         return 0
-    df = read_csv(spark, new_paths, schema, glob=None, recursive=False, extra_options=options)
+    opts = dict(options or {})
+    if corrupt_col:
+        schema = _with_corrupt_col(spark, schema, corrupt_col)
+        opts["columnNameOfCorruptRecord"] = corrupt_col
+    df = read_csv(spark, new_paths, schema, glob=None, recursive=False, extra_options=opts)
     df = df.withColumn(source_col, F.col("_metadata.file_path"))
     return write_parquet(df, target, mode="append")
+
+
+def _with_corrupt_col(spark: SparkSession, schema: StructType | str, name: str) -> StructType:
+    st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if name in st.fieldNames():
+        return st
+    return StructType(st.fields + [StructField(name, StringType(), True)])
+
+
+def landing_errors(spark: SparkSession, target: str, corrupt_col: str = "_corrupt_record",
+                   source_col: str = "_source_file") -> DataFrame:
+    """Malformed lines per landed file (0 for clean files)."""
+    df = spark.read.parquet(target)
+    return df.groupBy(source_col).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.col(corrupt_col)).alias("malformed"))
+

@@ -57,3 +57,17 @@ def test_many_small_batches_are_all_counted(spark, tmp_dir):
         _write(landing, f"f{i}.csv", [(i, "x"), (i + 10, "y")])
     assert ingest_new_files(spark, landing, target, ckpt, SCHEMA, max_files_per_trigger=1) == 10
     assert spark.read.parquet(target).count() == 10
+
+
+def test_batch_landing_counts_malformed_lines(spark, tmp_dir):
+    from strata.sinks.landing import land_new_files, landing_errors
+    landing, target = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "bronze")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "good.csv"), "w") as f:
+        f.write("id,name\n1,a\n2,b\n")
+    with open(os.path.join(landing, "bad.csv"), "w") as f:
+        f.write("id,name\n3,c\nnot-a-number,d\n")
+    assert land_new_files(spark, landing, target, SCHEMA, corrupt_col="_corrupt_record") == 4
+    errs = {os.path.basename(r._source_file): (r.rows, r.malformed)
+            for r in landing_errors(spark, target).collect()}
+    assert errs == {"good.csv": (2, 0), "bad.csv": (2, 1)}
