@@ -270,6 +270,16 @@ def quality_report(spark: SparkSession, gold: str, tables: list[str] = GOLD_TABL
     return out
 
 
+def register_gold_views(spark: SparkSession, gold: str,
+                        tables: list[str] = GOLD_TABLES) -> list[str]:
+    """Temp views over the live version of each gold table (S9), so analysts'
+    SQL written against the gold tables runs unchanged through ``spark.sql``.
+    Each view pins the version that was live when it was registered."""
+    for t in tables:
+        read_published(spark, f"{gold.rstrip('/')}/{t}").createOrReplaceTempView(t)
+    return list(tables)
+
+
 def gold_summary(spark: SparkSession, gold: str, tables: list[str] = GOLD_TABLES) -> DataFrame:
     """Row count of every published gold table plus the total."""
     return table_counts({t: read_published(spark, f"{gold.rstrip('/')}/{t}") for t in tables})
