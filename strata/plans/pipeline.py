@@ -12,7 +12,8 @@ its lineage.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,11 +72,29 @@ class PipelineConfig:
     # multi-line fields can be left out so Spark splits them (default: all,
     # as the reference read every file).
     multiline: frozenset[str] | None = None
+    # independent datasets / tables written at the same time (driver threads)
+    concurrency: int = 4
 
     def is_multiline(self, name: str) -> bool:
         return self.multiline is None or name in self.multiline
 
 
+# ================================================================ helpers
+
+def run_concurrently(tasks: Mapping[str, Callable[[], object]], workers: int = 4) -> dict:
+    """Run independent Spark jobs from a few driver threads; results by name.
+
+    Spark schedules the jobs' stages side by side, so small or unsplittable
+    datasets do not leave the cluster idle while they run one after another.
+    The first failure is re-raised.
+    """
+    if workers <= 1 or len(tasks) <= 1:
+        return {name: fn() for name, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(workers, len(tasks))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 # ================================================================ silver
 
 def _typed(df: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
@@ -190,20 +209,22 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
         return read_csv(spark, f"{cfg.bronze.rstrip('/')}/{cfg.raw_files[name]}", glob=None,
                         recursive=False, multiline=cfg.is_multiline(name))
 
-    out = {}
     silver = cfg.silver.rstrip("/")
-    out["players"] = write_parquet(clean_players(raw("players"), cfg.as_of), f"{silver}/players")
-    out["player_valuations"] = write_parquet(clean_valuations(raw("player_valuations")),
-                                             f"{silver}/player_valuations",
-                                             partition_by=["valuation_year"])
-    out["clubs"] = write_parquet(clean_clubs(raw("clubs")), f"{silver}/clubs")
-    out["competitions"] = write_parquet(clean_competitions(raw("competitions")),
-                                        f"{silver}/competitions")
-    out["appearances"] = write_parquet(clean_appearances(raw("appearances")),
-                                       f"{silver}/appearances")
-    out["fifa_players"] = write_parquet(clean_ratings(raw("fifa_players"), cfg.rating_cap),
-                                        f"{silver}/fifa_players")
-    return out
+    jobs = {
+        "players": lambda: write_parquet(clean_players(raw("players"), cfg.as_of),
+                                         f"{silver}/players"),
+        "player_valuations": lambda: write_parquet(clean_valuations(raw("player_valuations")),
+                                                   f"{silver}/player_valuations",
+                                                   partition_by=["valuation_year"]),
+        "clubs": lambda: write_parquet(clean_clubs(raw("clubs")), f"{silver}/clubs"),
+        "competitions": lambda: write_parquet(clean_competitions(raw("competitions")),
+                                              f"{silver}/competitions"),
+        "appearances": lambda: write_parquet(clean_appearances(raw("appearances")),
+                                             f"{silver}/appearances"),
+        "fifa_players": lambda: write_parquet(clean_ratings(raw("fifa_players"), cfg.rating_cap),
+                                              f"{silver}/fifa_players"),
+    }
+    return run_concurrently(jobs, cfg.concurrency)
 
 
 # ================================================================ gold
@@ -224,19 +245,21 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
 
     def put(name, df):
         rules = rules_for(name, df.columns) if cfg.rules != "off" else None
-        out[name] = publish(df, f"{gold}/{name}", rules=rules,
-                            enforce_rules=cfg.rules == "raise")
-
-    put("dim_player", G.dim_player(players, ratings))
-    put("dim_club", clubs.select("club_id", "club_name", "domestic_competition_id",
-                                 "squad_size", "average_age", "total_market_value"))
-    put("dim_competition", competitions.select("competition_id", "competition_name",
-                                               "country_name", "type"))
+        return publish(df, f"{gold}/{name}", rules=rules, enforce_rules=cfg.rules == "raise")
+
+    out.update(run_concurrently({
+        "dim_player": lambda: put("dim_player", G.dim_player(players, ratings)),
+        "dim_club": lambda: put("dim_club", clubs.select(
+            "club_id", "club_name", "domestic_competition_id", "squad_size", "average_age",
+            "total_market_value")),
+        "dim_competition": lambda: put("dim_competition", competitions.select(
+            "competition_id", "competition_name", "country_name", "type")),
+    }, cfg.concurrency))
     # the fact joins the published dimension, not its lineage
     dim_live = read_published(spark, f"{gold}/dim_player")
     fact = G.fact_player_value(G.latest_valuation(valuations), dim_live,
                                G.player_stats(appearances), competitions)
-    put("fact_player_value", fact)
+    out["fact_player_value"] = put("fact_player_value", fact)
     fact_live = read_published(spark, f"{gold}/fact_player_value")
     builders = {
         "agg_value_by_position": G.agg_value_by_position,
@@ -245,8 +268,9 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
         "agg_top_players": G.agg_top_players,
         "agg_value_by_nationality": G.agg_value_by_nationality,
     }
-    for name, build in builders.items():
-        put(name, build(fact_live))
+    out.update(run_concurrently(
+        {name: (lambda n=name, b=build: put(n, b(fact_live))) for name, build in builders.items()},
+        cfg.concurrency))
     if cfg.rules != "off":
         # counted on each staged table during its publish: a few rows per table
         rows = [(name, rule, n) for name, p in out.items() for rule, n in p.violations]

@@ -108,5 +108,7 @@ def write_raw(spark: SparkSession, d: str, bronze: str) -> dict[str, int]:
     Spark writes a folder per "file" (``players.csv/part-*.csv``): the
     pipeline's readers take a path, and a folder of parts reads in parallel.
     """
-    return {rel: write_csv(df, f"{bronze.rstrip('/')}/{rel}")
-            for rel, df in raw_frames(spark, d).items()}
+    from strata.plans.pipeline import run_concurrently
+    frames = raw_frames(spark, d)
+    return run_concurrently({rel: (lambda r=rel, df=df: write_csv(df, f"{bronze.rstrip('/')}/{r}"))
+                             for rel, df in frames.items()})
