@@ -49,3 +49,12 @@ def test_cap_rows_by_key_equals_plain_top_n(spark):
     plain = sorted(r.k for r in A.cap_rows(df, 5000, ["k"]).collect())
     assert fast == plain == list(range(0, 15000, 3))
     assert A.cap_rows(df, 10**9, key="k").count() == df.count()
+
+
+def test_hash_sample_edges(spark):
+    import pytest
+    df = spark.range(1000)
+    assert A.hash_sample(df, "id", 0.0).count() == 0
+    assert A.hash_sample(df, "id", 1.0).count() == 1000
+    with pytest.raises(ValueError):
+        A.hash_sample(df, "id", 1.5)

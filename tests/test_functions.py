@@ -72,3 +72,14 @@ def test_paths_and_sizes(spark):
     assert row["p"] == "C:/raw/Transfermarkt/players.csv"
     assert row["r"] == "Transfermarkt/players.csv"
     assert math.isclose(row["mb"], 1.5)
+
+
+def test_relative_to_escapes_regex_characters(spark):
+    df = spark.createDataFrame([("/data/a+b (1)/x.csv",), ("/other/y.csv",)], "p string")
+    vals = [r[0] for r in df.select(X.relative_to("p", "/data/a+b (1)")).collect()]
+    assert vals == ["x.csv", "/other/y.csv"]
+
+
+def test_years_between_accepts_iso_text(spark):
+    df = spark.createDataFrame([(dt.date(2000, 6, 1),)], "d date")
+    assert df.select(X.years_between("2026-01-01", "d")).collect()[0][0] == 26

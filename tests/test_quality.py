@@ -43,3 +43,15 @@ def test_unique_ignores_null_keys_like_sql(spark):
     assert rep == {"k_unique": 2, "k_not_null": 2}
     _, bad = Q.check_constraints(df, [Q.unique("k_unique", "k")])
     assert sorted(r.v for r in bad.collect()) == [3, 4]
+
+
+def test_presence_report_endswith_and_equals(spark):
+    listing = spark.createDataFrame([("silver/players/part-0.parquet", "players", 5),
+                                     ("silver/clubs/part-0.parquet", "clubs", 0)],
+                                    "rel_path string, prefix string, length long")
+    ends = {r.item: r.matches for r in Q.presence_report(
+        listing, ["part-0.parquet", "x.parquet"], "rel_path", "endswith").collect()}
+    assert ends == {"part-0.parquet": 2, "x.parquet": 0}
+    eq = {r.item: (r.present, r.empty_matches) for r in Q.presence_report(
+        listing, ["players", "clubs", "fifa_players"], "prefix", "equals", "length").collect()}
+    assert eq == {"players": (True, 0), "clubs": (True, 1), "fifa_players": (False, 0)}
