@@ -43,3 +43,22 @@ def test_publish_twice_equals_once(spark, tmp_dir):
 def test_nothing_published_raises(spark, tmp_dir):
     with pytest.raises(PublishError):
         read_published(spark, os.path.join(tmp_dir, "none"))
+
+
+def test_count_mismatch_refuses_the_version(spark, tmp_dir, monkeypatch):
+    import strata.sinks.publish as P
+
+    real = P.read_parquet
+
+    def short_read(spark_, path, columns=None):   # the staged copy reads back one row more
+        df = real(spark_, path, columns)
+        return df.unionByName(df.limit(1)) if "/_versions/" in path else df
+
+    target = os.path.join(tmp_dir, "t")
+    first = publish(spark.range(5), target)
+    monkeypatch.setattr(P, "read_parquet", short_read)
+    with pytest.raises(PublishError, match="staged copy has 8"):
+        P.publish(spark.range(7), target)
+    monkeypatch.undo()
+    assert current_version(spark, target) == first.version
+    assert len(os.listdir(os.path.join(target, "_versions"))) == 1   # the bad version is gone
