@@ -69,3 +69,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = "-".join(p for p in parts if p) or "scratch"
     return f"{root}/strata/{leaf}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this library's scratch folders under the checkpoint root.
+
+    Queries that write scratch output (CSV round-trips, partitioned copies,
+    staged pipeline runs) return lazy DataFrames over it, so they cannot clean
+    up after themselves; call this once their results have been consumed.
+    """
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root}/strata")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))

@@ -63,3 +63,14 @@ def test_manifest_sees_zero_byte_files(spark, tmp_dir):
     assert m["Transfermarkt/players.csv"].prefix == "Transfermarkt" and m["top.csv"].prefix == ""
     s = {r.prefix: (r.n_files, r.empty_files) for r in prefix_summary(manifest(spark, root)).collect()}
     assert s == {"Transfermarkt": (2, 1), "": (1, 1)}
+
+
+def test_clear_scratch_removes_only_library_scratch(spark):
+    from strata.session import clear_scratch, ensure_checkpoint_dir, scratch_path
+    path = scratch_path(spark, "probe")
+    write_parquet(spark.range(3), path)
+    root = ensure_checkpoint_dir(spark)
+    assert os.path.exists(path.replace("file:", ""))
+    assert clear_scratch(spark)
+    assert not os.path.exists(path.replace("file:", ""))
+    assert os.path.exists(root.replace("file:", ""))      # the checkpoint root itself stays
