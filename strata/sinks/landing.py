@@ -7,7 +7,10 @@ it fails nothing is committed and a re-run picks the same files again, so
 there is no separate log that could disagree with the data.  Zero-byte files
 are left out and reported by the manifest (they read as no rows).
 
-For continuous arrival prefer ``strata.streaming.ingest.ingest_new_files``.
+Cost: each run reads the target's source-file column (one pruned,
+dictionary-encoded column, but over the whole target).  For large or
+continuously growing targets prefer ``strata.streaming.ingest.ingest_new_files``,
+whose file log grows with the number of files, not rows.
 """
 
 from __future__ import annotations
