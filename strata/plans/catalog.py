@@ -926,3 +926,26 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m strata.plans.catalog <key> [sf_dir] [--sql]``: show a query's result
+    (or print its oracle SQL)."""
+    import sys
+
+    from strata.session import local_session
+
+    args = list(sys.argv[1:] if argv is None else argv)
+    if not args or args[0] not in QUERIES:
+        print("keys:", " ".join(QUERIES))
+        return
+    key, rest = args[0], args[1:]
+    if "--sql" in rest:
+        print(ORACLE.get(key, "-- no oracle for this key"))
+        return
+    spark = local_session()
+    QUERIES[key](spark, rest[0] if rest else "/root/testdata/sf0.01").show(20, truncate=False)
+
+
+if __name__ == "__main__":
+    main()

@@ -143,7 +143,12 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def vacuum(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
-    """Delete all but the ``keep`` newest committed versions and any uncommitted ones."""
+    """Delete all but the ``keep`` newest committed versions and any uncommitted ones.
+
+    Run it when no publish to ``target`` is in progress: a version being
+    staged is uncommitted and would be removed.  Readers that resolved an
+    older version before the vacuum may fail on it afterwards.
+    """
     target = target.rstrip("/")
     _, cp, fs = _fs(spark, f"{target}/_commits")
     committed = sorted(st.getPath().getName() for st in fs.listStatus(cp)) if fs.exists(cp) else []
