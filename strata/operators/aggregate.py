@@ -55,6 +55,8 @@ def cap_rows(df: DataFrame, n: int, order_by: Sequence[ColumnOrName] = (),
       single-number aggregations.
     """
     if key is None:
+        if not order_by:
+            raise ValueError("cap_rows needs order_by or key: an unordered cap is not repeatable")
         return df.orderBy(*[_c(o) for o in order_by]).limit(n)
     k = F.col(key)
     total = df.count()
@@ -93,6 +95,8 @@ def table_counts(tables: Mapping[str, DataFrame], total_label: str = "TOTAL",
     data); the per-table rows are unioned and a ``rollup`` adds the total in
     the same pass.
     """
+    if not tables:
+        raise ValueError("table_counts needs at least one table")
     parts = [t.agg(F.count(F.lit(1)).alias(count_col)).select(
         F.lit(name).alias(name_col), F.col(count_col)) for name, t in tables.items()]
     union = parts[0]

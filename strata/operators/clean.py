@@ -67,6 +67,8 @@ def dedupe(df: DataFrame, keys: Sequence[str],
     keys = list(keys)
     if order_by is None:
         return df.dropDuplicates(keys)
+    if not order_by:
+        raise ValueError("order_by is empty; pass None for an arbitrary row per key")
     w = Window.partitionBy(*keys).orderBy(*_cols(order_by))
     rn = "__strata_rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)

@@ -142,9 +142,12 @@ def violation_report(df: DataFrame, rules: Sequence[Rule], table: str | None = N
                     .filter(F.col("count") > 1)
                     .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias(count_col)))
         parts.append(dup_rows.select(F.lit(r.name).alias(rule_col), F.col(count_col)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    if not parts:
+        out = df.sparkSession.createDataFrame([], f"{rule_col} string, {count_col} long")
+    else:
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
     out = out.select(F.col(rule_col), F.coalesce(F.col(count_col), F.lit(0)).cast("long")
                      .alias(count_col))
     if table is not None:

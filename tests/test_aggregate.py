@@ -58,3 +58,11 @@ def test_hash_sample_edges(spark):
     assert A.hash_sample(df, "id", 1.0).count() == 1000
     with pytest.raises(ValueError):
         A.hash_sample(df, "id", 1.5)
+
+
+def test_argument_checks(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        A.table_counts({})
+    with pytest.raises(ValueError):
+        A.cap_rows(spark.range(3), 1)

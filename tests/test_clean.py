@@ -52,3 +52,9 @@ def test_closed_range_edges(spark):
 def test_positive_filter(spark):
     df = spark.createDataFrame([(v,) for v in (None, 0.0, -3.0, float("nan"), 4.0)], "v double")
     assert [r.v for r in C.require_positive(df, "v").collect()] == [4.0]
+
+
+def test_dedupe_empty_order_is_refused(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        C.dedupe(spark.range(3), ["id"], [])

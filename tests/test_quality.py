@@ -55,3 +55,8 @@ def test_presence_report_endswith_and_equals(spark):
     eq = {r.item: (r.present, r.empty_matches) for r in Q.presence_report(
         listing, ["players", "clubs", "fifa_players"], "prefix", "equals", "length").collect()}
     assert eq == {"players": (True, 0), "clubs": (True, 1), "fifa_players": (False, 0)}
+
+
+def test_violation_report_without_rules_is_empty(spark):
+    out = Q.violation_report(spark.range(3), [], table="t")
+    assert out.count() == 0 and out.columns == ["table_name", "rule", "violations"]
