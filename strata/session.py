@@ -83,3 +83,32 @@ def clear_scratch(spark: SparkSession) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(f"{root}/strata")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def cluster_conf(input_bytes: int, total_cores: int, executor_memory_bytes: int,
+                 cores_per_executor: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings that keep shuffle partitions inside executor memory, for the caller's builder.
+
+    * initial shuffle partitions: enough that the largest shuffle (taken as the
+      input size) splits into ``target_partition_bytes`` pieces, and at least
+      three waves of tasks over the cores, so AQE has room to coalesce;
+    * AQE advisory size = the target, and skew split on for partitions 5x the
+      median and over 4x the target;
+    * scan splits of at most the target, so no map task reads more than its share.
+
+    The target is capped at 1/8 of the memory one task gets (executor memory /
+    cores per executor), leaving room for sort buffers and hash tables.
+    """
+    per_task = max(1, executor_memory_bytes // max(1, cores_per_executor))
+    target = max(16 << 20, min(target_partition_bytes, per_task // 8))
+    partitions = max(3 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.files.maxPartitionBytes": str(target),
+    }

@@ -74,3 +74,15 @@ def test_clear_scratch_removes_only_library_scratch(spark):
     assert clear_scratch(spark)
     assert not os.path.exists(path.replace("file:", ""))
     assert os.path.exists(root.replace("file:", ""))      # the checkpoint root itself stays
+
+
+def test_cluster_conf_for_100_tb():
+    from strata.session import cluster_conf
+    conf = cluster_conf(input_bytes=100 << 40, total_cores=8000,
+                        executor_memory_bytes=32 << 30, cores_per_executor=8)
+    target = int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+    assert target == 256 << 20                       # 4 GiB per task / 8 > 256 MiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // target   # 409,600
+    small = cluster_conf(10 << 30, 16, 4 << 30, 4)   # 1 GiB per task -> 128 MiB target
+    assert int(small["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 << 20
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
