@@ -39,14 +39,23 @@ def _c(c: ColumnOrName) -> Column:
 # ---------------------------------------------------------------- latest per key
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
-                   ties: str = "all", tie_break: Sequence[ColumnOrName] = ()) -> DataFrame:
+                   ties: str = "all", tie_break: Sequence[ColumnOrName] = (),
+                   salt_buckets: int | None = None) -> DataFrame:
     """Rows holding the latest ``order_col`` per key.
 
     ``ties='all'`` keeps every row on the latest value (``rank() == 1``, the
     reference's behaviour); ``ties='first'`` keeps one, chosen by
     ``tie_break`` (``row_number() == 1``).  Null order values sort last, so a
     null wins only for a key that has nothing else.
+
+    With ``ties='all'`` a key whose latest value is shared by very many rows
+    keeps all of them, and the window gathers them in one task.
+    ``salt_buckets`` switches to a window-free form: the latest value and the
+    count of non-null values per key come from partial aggregates, and rows
+    are kept by salted semi-joins (``salted_join``).  The result is the same.
     """
+    if ties == "all" and salt_buckets:
+        return _latest_all_salted(df, list(keys), order_col, salt_buckets)
     order = [F.col(order_col).desc_nulls_last()]
     if ties == "all":
         fn = F.rank()
@@ -62,6 +71,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     return df.withColumn(rk, fn.over(w)).filter(F.col(rk) == 1).drop(rk)
 
 
+def _latest_all_salted(df: DataFrame, keys: list[str], order_col: str,
+                       buckets: int) -> DataFrame:
+    mx, nn = "__strata_max", "__strata_nonnull"
+    per_key = df.groupBy(*keys).agg(F.max(order_col).alias(mx), F.count(order_col).alias(nn))
+    # keys with at least one value: rows on the maximum
+    dated = salted_join(df.filter(F.col(order_col).isNotNull()),
+                        per_key.filter(F.col(nn) > 0).select(*keys, F.col(mx).alias(order_col)),
+                        keys + [order_col], "left_semi", buckets=buckets)
+    # keys with no value at all: every (null) row ties at rank 1
+    undated = salted_join(df.filter(F.col(order_col).isNull()),
+                          per_key.filter(F.col(nn) == 0).select(*keys),
+                          keys, "left_semi", buckets=buckets)
+    return dated.unionByName(undated)
+
+
 def latest_by_max_join(df: DataFrame, keys: Sequence[str], order_col: str,
                        salt_buckets: int | None = None) -> DataFrame:
     """Documented alternative (A12 + J5): group max, then join back on (keys, max).

@@ -62,3 +62,13 @@ def test_activity_stats_sum_and_count(spark, rows):
     got = {r.k: (r.total, r.n) for r in S.activity_stats(df, "k", {"total": "v"}, "d", "n").collect()}
     exp = {k: (int(g["v"].sum()), int(g["d"].notna().sum())) for k, g in pdf.groupby("k")}
     assert got == exp
+
+
+@SETTINGS
+@given(rows=ROWS)
+def test_latest_all_salted_equals_window(spark, rows):
+    df, _ = _frame(spark, rows)
+    a = sorted(r.id for r in S.latest_per_key(df, ["k"], "d", ties="all").collect())
+    b = sorted(r.id for r in S.latest_per_key(df, ["k"], "d", ties="all",
+                                              salt_buckets=4).collect())
+    assert a == b

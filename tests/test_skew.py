@@ -118,3 +118,14 @@ def test_check_constraints_salted_equals_plain(spark, hot):
     assert a_valid.count() == b_valid.count()
     assert sorted((r.id, tuple(sorted(r.failed_rules))) for r in a_bad.collect()) == \
         sorted((r.id, tuple(sorted(r.failed_rules))) for r in b_bad.collect())
+
+
+def test_latest_all_ties_salted_equals_window(spark, hot):
+    df, _ = hot
+    # the hot key: every one of its rows on the same latest date
+    tied = df.withColumn("d", F.when(F.col("k") == 0, F.lit("2030-01-01").cast("date"))
+                         .otherwise(F.col("d")))
+    a = sorted(r.id for r in S.latest_per_key(tied, ["k"], "d", ties="all").collect())
+    b = sorted(r.id for r in S.latest_per_key(tied, ["k"], "d", ties="all",
+                                              salt_buckets=16).collect())
+    assert a == b and len(a) >= N // 3
