@@ -187,7 +187,10 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     4. the join runs on (keys, salt).
 
     Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``, where
-    repeating right rows cannot change the result.
+    repeating right rows cannot change the result.  The salt is a hash of the
+    row, so a retried task puts every row in the same bucket again; exact
+    duplicate rows share a bucket (dedupe them first if a hot key consists
+    of copies).
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support how={how!r}")
