@@ -85,7 +85,8 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "fai
 
     Duplicate keys are flagged by joining the rows to the (small) set of
     duplicated keys; a key duplicated a million times puts its rows in one
-    join task unless AQE splits it or ``salt_buckets`` salts it explicitly.
+    join task unless AQE splits it or ``salt_buckets`` keeps hot keys out of
+    the shuffle (``skew_join``).
     """
     row_rules = [r for r in rules if r.predicate is not None]
     flagged = df
@@ -96,8 +97,8 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "fai
         dups = (_non_null_keys(df, keys).groupBy(*keys).count().filter(F.col("count") > 1)
                 .select(*keys, F.lit(True).alias(flag)))
         if salt_buckets:
-            from strata.operators.star import salted_join
-            flagged = salted_join(flagged, dups, keys, "left", buckets=salt_buckets)
+            from strata.operators.star import skew_join
+            flagged = skew_join(flagged, dups, keys, "left", buckets=salt_buckets)
         else:
             flagged = flagged.join(dups, keys, "left")
         dup_flags.append((r.name, flag))

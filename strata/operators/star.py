@@ -52,7 +52,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     keeps all of them, and the window gathers them in one task.
     ``salt_buckets`` switches to a window-free form: the latest value and the
     count of non-null values per key come from partial aggregates, and rows
-    are kept by salted semi-joins (``salted_join``).  The result is the same.
+    are kept by semi-joins that keep hot keys out of the shuffle
+    (``skew_join``).  The result is the same.
     """
     if ties == "all" and salt_buckets:
         return _latest_all_salted(df, list(keys), order_col, salt_buckets)
@@ -76,13 +77,13 @@ def _latest_all_salted(df: DataFrame, keys: list[str], order_col: str,
     mx, nn = "__strata_max", "__strata_nonnull"
     per_key = df.groupBy(*keys).agg(F.max(order_col).alias(mx), F.count(order_col).alias(nn))
     # keys with at least one value: rows on the maximum
-    dated = salted_join(df.filter(F.col(order_col).isNotNull()),
-                        per_key.filter(F.col(nn) > 0).select(*keys, F.col(mx).alias(order_col)),
-                        keys + [order_col], "left_semi", buckets=buckets)
+    dated = skew_join(df.filter(F.col(order_col).isNotNull()),
+                      per_key.filter(F.col(nn) > 0).select(*keys, F.col(mx).alias(order_col)),
+                      keys + [order_col], "left_semi", buckets=buckets)
     # keys with no value at all: every (null) row ties at rank 1
-    undated = salted_join(df.filter(F.col(order_col).isNull()),
-                          per_key.filter(F.col(nn) == 0).select(*keys),
-                          keys, "left_semi", buckets=buckets)
+    undated = skew_join(df.filter(F.col(order_col).isNull()),
+                        per_key.filter(F.col(nn) == 0).select(*keys),
+                        keys, "left_semi", buckets=buckets)
     return dated.unionByName(undated)
 
 
@@ -93,14 +94,14 @@ def latest_by_max_join(df: DataFrame, keys: Sequence[str], order_col: str,
     Equal to ``latest_per_key(ties='all')`` when dates are non-null; a key whose
     only date is null is lost here (null never equals null).  The join sends
     every row of a key to one task; AQE's skew join splits that, or pass
-    ``salt_buckets`` to salt hot keys explicitly (``salted_join``).
+    ``salt_buckets`` to handle hot keys explicitly (``skew_join``).
     """
     mx = "__strata_max"
     maxes = df.groupBy(*keys).agg(F.max(order_col).alias(mx))
     if salt_buckets:
         right = maxes.withColumnRenamed(mx, order_col)
-        return salted_join(df, right, list(keys) + [order_col], "left_semi",
-                           buckets=salt_buckets)
+        return skew_join(df, right, list(keys) + [order_col], "left_semi",
+                         buckets=salt_buckets)
     cond = [df[k] == maxes[k] for k in keys] + [df[order_col] == maxes[mx]]
     return df.join(maxes, cond, "inner").select(df["*"])
 
@@ -169,6 +170,47 @@ def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return joined.select(*[_c(c) for c in columns])
 
 
+def _hot_keys(left: DataFrame, keys: list[str], hot_fraction: float) -> DataFrame:
+    """Keys holding more than ``hot_fraction`` of ``left``'s rows (at most 1/hot_fraction)."""
+    threshold = max(1, int(left.count() * hot_fraction))
+    return (left.groupBy(*keys).count().filter(F.col("count") > threshold)
+            .select(*keys, F.lit(True).alias("__strata_hot")))
+
+
+_SKEW_HOWS = ("inner", "left", "left_outer", "left_semi", "left_anti")
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+              hot_fraction: float = 0.01, max_hot_right_rows: int = 1_000_000,
+              buckets: int = 64) -> DataFrame:
+    """Equi-join that keeps hot keys out of the shuffle (split, salting as fallback).
+
+    1. keys holding more than ``hot_fraction`` of the left rows are found
+       with a partial-aggregate count; there are at most ``1 / hot_fraction``
+       of them (a proven bound), so that key set is broadcast;
+    2. the right rows of those keys are counted; within ``max_hot_right_rows``
+       they are broadcast and the hot keys' left rows are joined map-side,
+       where they already are: no shuffle, however many rows or exact copies
+       a hot key has;
+    3. every other left row takes an ordinary shuffle join with ``right``;
+    4. if the right side of the hot keys is too big to broadcast, the join
+       falls back to ``salted_join``.
+
+    Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
+    """
+    if how not in _SKEW_HOWS:
+        raise ValueError(f"skew_join does not support how={how!r}")
+    keys = list(keys)
+    hot = F.broadcast(_hot_keys(left, keys, hot_fraction))
+    right_hot = right.join(hot, keys, "left_semi")
+    if not rows_at_most(right_hot, max_hot_right_rows):
+        return salted_join(left, right, keys, how, hot_fraction, buckets)
+    left_hot = left.join(hot, keys, "left_semi")
+    left_cold = left.join(hot, keys, "left_anti")
+    return (left_hot.join(F.broadcast(right_hot), keys, how)
+            .unionByName(left_cold.join(right, keys, how)))
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
                 hot_fraction: float = 0.01, buckets: int = 64) -> DataFrame:
     """Equi-join whose hot keys are spread over ``buckets`` tasks (skew salting).
@@ -189,17 +231,13 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``, where
     repeating right rows cannot change the result.  The salt is a hash of the
     row, so a retried task puts every row in the same bucket again; exact
-    duplicate rows share a bucket (dedupe them first if a hot key consists
-    of copies).
+    duplicate rows share a bucket, which is why ``skew_join`` splits hot keys
+    off first and uses salting only as its fallback.
     """
-    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+    if how not in _SKEW_HOWS:
         raise ValueError(f"salted_join does not support how={how!r}")
     keys = list(keys)
-    total = left.count()
-    threshold = max(1, int(total * hot_fraction))
-    hot = (left.groupBy(*keys).count().filter(F.col("count") > threshold)
-           .select(*keys, F.lit(True).alias("__strata_hot")))
-    hot = F.broadcast(hot)          # at most 1 / hot_fraction rows
+    hot = F.broadcast(_hot_keys(left, keys, hot_fraction))     # at most 1 / hot_fraction rows
     salt = "__strata_salt"
     lrow = F.xxhash64(*[F.col(c) for c in left.columns])
     l = (left.join(hot, keys, "left")

@@ -129,3 +129,34 @@ def test_latest_all_ties_salted_equals_window(spark, hot):
     b = sorted(r.id for r in S.latest_per_key(tied, ["k"], "d", ties="all",
                                               salt_buckets=16).collect())
     assert a == b and len(a) >= N // 3
+
+
+def test_skew_join_spreads_a_hot_key_of_exact_copies(spark):
+    # key 0: a third of the rows, all identical copies
+    df = (spark.range(N).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("k"),
+        F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise(F.col("id").cast("double")).alias("v"))
+        .repartition(16))
+    right = df.groupBy("k").agg(F.max("v").alias("mx"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                           "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+    def per_task(j):
+        return max(r["count"] for r in j.groupBy(F.spark_partition_id()).count().collect())
+
+    try:
+        plain = df.join(right, ["k"], "inner")
+        salted = S.salted_join(df, right, ["k"], "inner", buckets=16)
+        split = S.skew_join(df, right, ["k"], "inner", buckets=16)
+        exp = sorted(map(tuple, plain.collect()))
+        assert sorted(map(tuple, salted.collect())) == exp == sorted(map(tuple, split.collect()))
+        assert per_task(salted) >= N // 3       # copies hash alike: salting cannot spread them
+        assert per_task(split) < N // 3        # split off and joined where they are
+        left_join = S.skew_join(df, right.filter("k != 5"), ["k"], "left", buckets=16)
+        assert left_join.count() == N and left_join.filter("mx IS NULL").count() == \
+            df.filter("k = 5").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
