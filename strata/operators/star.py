@@ -138,7 +138,8 @@ def rows_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int | None = None) -> DataFrame:
+                max_broadcast_rows: int | None = None,
+                salt_buckets: int | None = None) -> DataFrame:
     """Join a lookup dimension.
 
     Default: no hint.  Spark broadcasts the dimension only if its estimated
@@ -146,24 +147,38 @@ def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left",
     on the real shuffle sizes; otherwise it is a sort-merge join.  That check
     costs no job.  With ``max_broadcast_rows`` the caller asks for a broadcast
     beyond the threshold: the dimension is counted (a bounded scan) and the
-    hint is given only if the count is within the bound.
+    hint is given only if the count is within the bound.  A dimension that is
+    not broadcast can meet a hot key on the fact side: with ``salt_buckets``
+    (and ``on`` given as column names) such keys go through ``skew_join``.
     """
     if max_broadcast_rows is not None and rows_at_most(dim, max_broadcast_rows):
-        dim = F.broadcast(dim)
+        return df.join(F.broadcast(dim), on, how)
+    if salt_buckets and (isinstance(on, str) or
+                         (isinstance(on, (list, tuple)) and all(isinstance(k, str) for k in on))):
+        keys = [on] if isinstance(on, str) else list(on)
+        return skew_join(df, dim, keys, how, buckets=salt_buckets)
     return df.join(dim, on, how)
 
 
 def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
            order_by: Sequence[ColumnOrName], how: str = "left",
-           columns: Sequence[ColumnOrName] | None = None) -> DataFrame:
+           columns: Sequence[ColumnOrName] | None = None,
+           salt_buckets: int | None = None) -> DataFrame:
     """Left-join a one-to-many side after collapsing it to one row per key.
 
     ``order_by`` picks the surviving right row (first wins), so the result has
-    exactly one row per left row and does not depend on scheduling.
+    exactly one row per left row and does not depend on scheduling.  With
+    ``salt_buckets`` a hot key on the left goes through ``skew_join``.
     """
     w = Window.partitionBy(right_key).orderBy(*[_c(o) for o in order_by])
     rn = "__strata_rn"
     one = right.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
+    if salt_buckets:
+        joined = skew_join(left, one.withColumn(left_key, F.col(right_key)), [left_key], how,
+                           buckets=salt_buckets)
+        if columns is None:
+            return joined.drop(right_key) if right_key != left_key else joined
+        return joined.select(*[_c(c) for c in columns])
     joined = left.join(one, left[left_key] == one[right_key], how)
     if columns is None:
         return joined.drop(one[right_key])

@@ -160,3 +160,17 @@ def test_skew_join_spreads_a_hot_key_of_exact_copies(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_enrich_and_lookup_with_salt_equal_plain(spark, hot):
+    df, _ = hot
+    dim = spark.range(0, 2001).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    versions = dim.unionByName(dim.withColumn("w", F.col("w") + 1))      # two rows per key
+    a = S.enrich(df, versions.withColumnRenamed("k", "rk"), "k", "rk", [F.col("w").desc()])
+    b = S.enrich(df, versions.withColumnRenamed("k", "rk"), "k", "rk", [F.col("w").desc()],
+                 salt_buckets=8)
+    assert sorted(a.columns) == sorted(b.columns)
+    cols = sorted(a.columns)
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    c = S.lookup_join(df, dim, "k", "left", salt_buckets=8)
+    assert c.count() == N and c.filter("w IS NULL").count() == 0
