@@ -74,6 +74,8 @@ class PipelineConfig:
     multiline: frozenset[str] | None = None
     # independent datasets / tables written at the same time (driver threads)
     concurrency: int = 4
+    # explicit hot-key handling (skew_join) where AQE's skew split is not available
+    salt_buckets: int | None = None
 
     def is_multiline(self, name: str) -> bool:
         return self.multiline is None or name in self.multiline
@@ -248,7 +250,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
         return publish(df, f"{gold}/{name}", rules=rules, enforce_rules=cfg.rules == "raise")
 
     out.update(run_concurrently({
-        "dim_player": lambda: put("dim_player", G.dim_player(players, ratings)),
+        "dim_player": lambda: put("dim_player", G.dim_player(players, ratings,
+                                                             salt_buckets=cfg.salt_buckets)),
         "dim_club": lambda: put("dim_club", clubs.select(
             "club_id", "club_name", "domestic_competition_id", "squad_size", "average_age",
             "total_market_value")),
@@ -257,7 +260,8 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
     }, cfg.concurrency))
     # the fact joins the published dimension, not its lineage
     dim_live = read_published(spark, f"{gold}/dim_player")
-    fact = G.fact_player_value(G.latest_valuation(valuations), dim_live,
+    fact = G.fact_player_value(G.latest_valuation(valuations, salt_buckets=cfg.salt_buckets),
+                               dim_live,
                                G.player_stats(appearances), competitions)
     out["fact_player_value"] = put("fact_player_value", fact)
     fact_live = read_published(spark, f"{gold}/fact_player_value")

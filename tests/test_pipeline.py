@@ -271,3 +271,16 @@ def test_analyst_sql_runs_on_gold_views(spark, gold):
     assert out["league"][0].competition_name == "Ligue 1"
     assert {r.level: r.players for r in out["rating"]} == {"a: 85 and up": 1, "c: 65 to 74": 1}
     assert out["top10"][0].latest_market_value == 2000000.0 and len(out["top10"]) == 8
+
+
+def test_salted_run_equals_plain_run(spark, gold, tmp_dir):
+    cfg, _ = gold
+    cfg2 = _cfg(tmp_dir)
+    cfg2.salt_buckets = 4
+    _bronze(cfg2.bronze)
+    P.bronze_to_silver(spark, cfg2)
+    P.silver_to_gold(spark, cfg2)
+    for t in ("dim_player", "fact_player_value", "agg_value_by_position"):
+        a = sorted(map(tuple, _read(spark, cfg, t).collect()), key=repr)
+        b = sorted(map(tuple, _read(spark, cfg2, t).collect()), key=repr)
+        assert a == b, t
