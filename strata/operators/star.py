@@ -212,6 +212,13 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
        falls back to ``salted_join``.
 
     Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
+
+    Cost: a count of ``left`` (Parquet answers it from metadata), one
+    aggregate pass for the key counts (a small shuffle of partial counts),
+    and the join reads ``left`` twice, once per branch.  That is cheap next
+    to one task holding a third of the data; when ``left`` is expensive to
+    derive, write it to a table first.  With AQE on, its skew split usually
+    makes this unnecessary.
     """
     if how not in _SKEW_HOWS:
         raise ValueError(f"skew_join does not support how={how!r}")
