@@ -78,11 +78,9 @@ def clear_scratch(spark: SparkSession) -> bool:
     staged pipeline runs) return lazy DataFrames over it, so they cannot clean
     up after themselves; call this once their results have been consumed.
     """
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{root}/strata")
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p) and fs.delete(p, True))
+    from strata.sources.fs import delete
+
+    return delete(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata")
 
 
 def cluster_conf(input_bytes: int, total_cores: int, executor_memory_bytes: int,

@@ -21,7 +21,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.sinks.files import write_parquet
 from strata.sources.files import read_csv
-from strata.sources.manifest import _hadoop_fs, manifest
+from strata.sources.fs import exists
+from strata.sources.manifest import manifest
 
 
 def _norm(c):
@@ -41,8 +42,7 @@ def land_new_files(spark: SparkSession, landing: str, target: str, schema: Struc
     """
     listing = manifest(spark, landing).filter(
         F.lower("name").endswith(suffix.lower()) & (F.col("length") > 0))
-    tp, fs = _hadoop_fs(spark, target)
-    if fs.exists(tp):
+    if exists(spark, target):
         done = spark.read.parquet(target).select(_norm(F.col(source_col)).alias("done")).distinct()
         listing = listing.join(done, _norm(listing["uri"]) == done["done"], "left_anti")
     # one short row per new file; the list of paths is what the reader needs

@@ -30,6 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.sinks.files import write_parquet_observed
+from strata.sources import fs
 from strata.sources.files import read_parquet
 
 
@@ -50,23 +51,14 @@ class Published:
         return f"{self.target}/_versions/{self.version}"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def _new_version() -> str:
     return f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
 
 
 def current_version(spark: SparkSession, target: str) -> str | None:
     """Name of the live version (newest commit marker), or None."""
-    _, p, fs = _fs(spark, f"{target.rstrip('/')}/_commits")
-    if not fs.exists(p):
-        return None
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    names = [n for n in names if not n.startswith(".") and not n.startswith("_")]
+    names = [n for n in fs.list_names(spark, f"{target.rstrip('/')}/_commits")
+             if not n.startswith(".") and not n.startswith("_")]
     return max(names) if names else None
 
 
@@ -123,10 +115,7 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
     if fail_before_commit:
         raise PublishError(f"{target}: simulated failure before commit of {version}")
 
-    jvm, marker, fs = _fs(spark, f"{target}/_commits/{version}")
-    fs.mkdirs(marker.getParent())
-    out = fs.create(marker, False)     # fails if it exists: the atomic switch
-    out.close()
+    fs.create_marker(spark, f"{target}/_commits/{version}")   # fails if it exists: the switch
 
     # the live version is the staged folder just counted; what is left to check
     # is that readers resolve to it (a newer commit by another writer would win)
@@ -137,9 +126,7 @@ def publish(df: DataFrame, target: str, min_rows: int = 1, rules=None,
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    _, p, fs = _fs(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+    fs.delete(spark, path, recursive=True)
 
 
 def vacuum(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
@@ -150,18 +137,14 @@ def vacuum(spark: SparkSession, target: str, keep: int = 2) -> list[str]:
     older version before the vacuum may fail on it afterwards.
     """
     target = target.rstrip("/")
-    _, cp, fs = _fs(spark, f"{target}/_commits")
-    committed = sorted(st.getPath().getName() for st in fs.listStatus(cp)) if fs.exists(cp) else []
+    committed = sorted(fs.list_names(spark, f"{target}/_commits"))
     keep_set = set(committed[-keep:]) if keep > 0 else set()
-    _, vp, vfs = _fs(spark, f"{target}/_versions")
     removed = []
-    if vfs.exists(vp):
-        for st in vfs.listStatus(vp):
-            name = st.getPath().getName()
-            if name not in keep_set:
-                vfs.delete(st.getPath(), True)
-                removed.append(name)
+    for name in fs.list_names(spark, f"{target}/_versions"):
+        if name not in keep_set:
+            fs.delete(spark, f"{target}/_versions/{name}", recursive=True)
+            removed.append(name)
     for name in committed:
         if name not in keep_set:
-            fs.delete(fs.makeQualified(cp).suffix(f"/{name}"), False)
+            fs.delete(spark, f"{target}/_commits/{name}", recursive=False)
     return removed

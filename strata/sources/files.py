@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from strata.sources.fs import modification_time, qualify
+
 CSV_GLOB = "*.[cC][sS][vV]"   # .csv and .CSV, as the reference's case-insensitive suffix test
 
 
@@ -58,15 +60,8 @@ _SCHEMAS: dict[tuple[str, int], StructType] = {}
 
 
 def _schema_key(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        st = fs.getFileStatus(p)
-    except Exception:  # noqa: BLE001 -- missing path: let the reader raise its own error
-        return None
-    mtime = int(st.getModificationTime())
-    return (fs.makeQualified(p).toString(), mtime) if mtime > 0 else None
+    mtime = modification_time(spark, path)    # None when missing: the reader raises
+    return (qualify(spark, path), mtime) if mtime else None
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from strata.functions.scalar import bytes_to_mb, relative_to
+from strata.sources.fs import hadoop_fs, qualify
 
 MANIFEST_SCHEMA = StructType([
     StructField("path", StringType(), False),
@@ -28,12 +29,6 @@ MANIFEST_SCHEMA = StructType([
 ])
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def list_files(spark: SparkSession, root: str, include_hidden: bool = False) -> list[tuple]:
     """Recursive listing of regular files: (path, uri, length, modified).
 
@@ -41,11 +36,11 @@ def list_files(spark: SparkSession, root: str, include_hidden: bool = False) ->
     ``_metadata.file_path``; ``path`` is the plain form used for display and
     name matching.
     """
-    p, fs = _hadoop_fs(spark, root)
-    if not fs.exists(p):
+    p, hfs = hadoop_fs(spark, root)
+    if not hfs.exists(p):
         return []
     out = []
-    it = fs.listFiles(p, True)
+    it = hfs.listFiles(p, True)
     while it.hasNext():
         st = it.next()
         name = st.getPath().getName()
@@ -63,9 +58,7 @@ def manifest(spark: SparkSession, root: str, include_hidden: bool = False) -> Da
     modified."""
     rows = list_files(spark, root, include_hidden)
     df = spark.createDataFrame(rows, MANIFEST_SCHEMA)
-    qualified_root = _hadoop_fs(spark, root)[1].makeQualified(
-        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)).toString()
-    rel = relative_to("path", qualified_root)
+    rel = relative_to("path", qualify(spark, root))
     return (df.withColumn("rel_path", rel)
               .withColumn("name", F.element_at(F.split("rel_path", "/"), -1))
               .withColumn("prefix", F.when(F.col("rel_path").contains("/"),

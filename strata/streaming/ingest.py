@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.sources.files import CSV_GLOB
+from strata.sources.fs import exists
 
 
 def landing_stream(spark: SparkSession, landing: str, schema: StructType | str,
@@ -63,8 +64,6 @@ def ingest_new_files(spark: SparkSession, landing: str, target: str, checkpoint:
 
 
 def _sink_rows(spark: SparkSession, target: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/_spark_metadata")
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    if not exists(spark, f"{target.rstrip('/')}/_spark_metadata"):
         return 0
     return spark.read.parquet(target).count()
