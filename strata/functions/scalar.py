@@ -68,6 +68,7 @@ def is_positive(c: ColumnOrName) -> Column:
 # ---------------------------------------------------------------- dates
 
 def year_of(c: ColumnOrName) -> Column:
+    """Calendar year of a date or timestamp, as int."""
     return F.year(_col(c))
 
 

@@ -33,6 +33,7 @@ def _flag(kind: str, text_one: str = "1", text_zero: str = "0"):
 
 
 def raw_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The six raw files as lazy DataFrames of text-like columns, keyed by relative path."""
     c = table(spark, d, "customer")
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
