@@ -8,6 +8,7 @@ projection; none of them triggers a job.  Casts are lenient the explicit way
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -124,14 +125,8 @@ def normalise_path(c: ColumnOrName) -> Column:
 def relative_to(c: ColumnOrName, root: str) -> Column:
     """Strip a root prefix from a normalised path."""
     root = root.replace("\\", "/").rstrip("/") + "/"
-    return F.regexp_replace(normalise_path(c), "^" + _regex_escape(root), "")
-
-
-def _regex_escape(s: str) -> str:
-    out = []
-    for ch in s:
-        out.append("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch)
-    return "".join(out)
+    # re.escape only puts backslashes before non-letters, which Java regex reads literally
+    return F.regexp_replace(normalise_path(c), "^" + re.escape(root), "")
 
 
 def bytes_to_mb(c: ColumnOrName, scale: int = 2) -> Column:
