@@ -284,3 +284,26 @@ def test_salted_run_equals_plain_run(spark, gold, tmp_dir):
         a = sorted(map(tuple, _read(spark, cfg, t).collect()), key=repr)
         b = sorted(map(tuple, _read(spark, cfg2, t).collect()), key=repr)
         assert a == b, t
+
+
+def test_rules_on_table_derived_raw_files(spark, tmp_dir):
+    """Derived players born in 1975 are 51 at the as-of date: reported, or refused in raise mode."""
+    import duckdb
+
+    from strata.plans.raw_from_tables import write_raw
+    from strata.sinks.publish import PublishError
+
+    sf = "/root/testdata/sf0.001"
+    cfg = _cfg(tmp_dir)
+    write_raw(spark, sf, cfg.bronze)
+    P.bronze_to_silver(spark, cfg)
+    P.silver_to_gold(spark, cfg)
+    rep = {(r.table_name, r.rule): r.violations for r in _read(spark, cfg, "quality_report").collect()}
+    over_50 = duckdb.sql(f"SELECT count(*) FROM '{sf}/customer.parquet' "
+                         "WHERE 2026 - (1975 + c_nationkey) > 50").fetchall()[0][0]
+    assert over_50 > 0 and rep[("dim_player", "age_14_50")] == over_50
+    cfg2 = _cfg(os.path.join(tmp_dir, "strict"))
+    cfg2.bronze, cfg2.rules = cfg.bronze, "raise"
+    P.bronze_to_silver(spark, cfg2)
+    with pytest.raises(PublishError, match="age_14_50"):
+        P.silver_to_gold(spark, cfg2)
