@@ -37,3 +37,10 @@ def test_every_query_has_an_oracle_or_a_reason():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "latest_market_value" in df.columns
+
+
+def test_readme_lists_every_query_key():
+    import os
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "README.md")).read()
+    missing = [k for k in E.queries() if k not in readme]
+    assert not missing, missing
