@@ -1,5 +1,7 @@
 """Every registered query equals its DuckDB oracle on the smallest driver tables."""
 
+import os
+
 import duckdb
 import pytest
 
@@ -7,7 +9,8 @@ import __spark_entry__ as E
 from strata.plans.catalog import ALL_TABLES
 from tools.compare import _digest
 
-SF = "/root/testdata/sf0.001"
+# STRATA_ORACLE_SF=/root/testdata/sf0.01 runs the same check on the driver's correctness scale
+SF = os.environ.get("STRATA_ORACLE_SF", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="module")
