@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import license_scan, packing, piece_bpe, repetition
+from strata.llm import edit_embedding, license_scan, packing, piece_bpe, repetition
+from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -84,3 +85,14 @@ def packed(docs: DataFrame) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The binary pieces of every document."""
     return packed(C.documents(spark, sf_dir))
+
+
+@query
+def op2_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its likeness to its edit and to the next document, and its nearest band anchor."""
+    found = edit_embedding.compare_neighbours(C.documents(spark, sf_dir))
+    path = scratch_path(spark, "compared")
+    found.write.parquet(path)
+    found = spark.read.parquet(path)
+    return found.join(edit_embedding.near_documents(found.select("doc_id", "fingerprint")), "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_id")
