@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import edit_embedding, license_scan, packing, piece_bpe, repetition
+from strata.llm import edit_embedding, license_scan, packing, piece_bpe, repetition, warc
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,29 @@ def op2_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spark.read.parquet(path)
     return found.join(edit_embedding.near_documents(found.select("doc_id", "fingerprint")), "fingerprint", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "near_id")
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as archives and read again; lengths and digests of responses are taken of the payload read."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(warc.page_records(spark.read.parquet(f"{sf_dir}/pages.parquet")), path)
+    response = warc.read_warc(spark, path).filter("record_type = 'response'").select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+    revisit = warc.read_warc(spark, path, payload="false").filter("record_type = 'revisit'").select(
+        "page_id", F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type",
+        F.substring_index("refers_to", ":", -1).cast("long").alias("refers_to"))
+    return response.unionByName(revisit)
+
+
+ORACLE["op10_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS keeper
+  FROM pages)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND keeper <> page_id THEN keeper END AS refers_to
+FROM p
+"""
