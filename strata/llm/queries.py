@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import edit_embedding, license_scan, packing, piece_bpe, repetition, warc
+from strata.llm import edit_embedding, license_scan, link_graph, packing, piece_bpe, repetition, warc
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
        CASE WHEN n >= 1000 AND keeper <> page_id THEN keeper END AS refers_to
 FROM p
 """
+
+
+@query
+def op9_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by its host's trust and distrust."""
+    return link_graph.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select(
+        "page_id", "host", "path", "rule", "verdict")
