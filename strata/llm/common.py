@@ -8,6 +8,7 @@ text, or a single longer document).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -143,10 +144,26 @@ def window_starts(words: Words, n: int) -> np.ndarray:
     return np.arange(len(words)) + n <= words.stop
 
 
+def on_workers(spark) -> None:
+    """Lets Python workers import this package from where the driver has it, unless the session says otherwise."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def documents(spark, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(columns or ("doc_id", "text")))
 
 
+def without(df: DataFrame, added: list[str]) -> DataFrame:
+    """``df`` without columns that an operator is about to add: added columns replace those of their names."""
+    return df.drop(*added)
+
+
+def types_of(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def as_bytes(df: DataFrame, column: str = "text") -> DataFrame:
     """``column`` as UTF-8 bytes (Arrow then hands over one buffer)."""
     return df.withColumn(column, F.col(column).cast("binary"))
