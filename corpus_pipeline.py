@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import queries, repetition
+from strata.llm import common, near_dedup, queries, repetition, substring_dedup
+from strata.llm.components import written
 from strata.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -17,17 +18,45 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    common.on_workers(spark)
     mark = "__quality_"
     found = repetition.measure_repetition(docs, "text", mark)
     return found.filter(~(repetition.base_failed(mark) | repetition.method_failed(mark))).select(*COLUMNS)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the smallest id; rows that repeat an id are one document."""
+    common.on_workers(spark)
+    groups = written(near_dedup.near_groups(docs), "groups")
+    others = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    repeated = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = written(repeated.select("doc_id"), "repeated")
+    left = docs.select(*COLUMNS).join(others, "doc_id", "left_anti")
+    return left.join(repeated, "doc_id", "left_anti").unionByName(
+        left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of windows that occur elsewhere; one that loses all its words goes.
+
+    A document that loses nothing keeps its text as it is; of others the words left are joined by spaces.
+    """
+    common.on_workers(spark)
+    mark = "__repeats_"
+    found = substring_dedup.remove_repeats(docs.select(*COLUMNS), prefix=mark)
+    lost = F.col(mark + "n_removed") > 0
+    found = found.filter(~(lost & (F.col(mark + "kept") == "")))
+    return found.withColumn("text", F.when(lost, F.col(mark + "kept")).otherwise(F.col("text"))).withColumn(
+        "n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The binary pieces of the documents that are left."""
+    common.on_workers(spark)
     return queries.packed(docs)
 
 
-STAGES = [("quality rules", quality), ("packing", pack)]
+STAGES = [("quality rules", quality), ("near dedup", near), ("substring dedup", substrings), ("packing", pack)]
 
 # Near-dedup's components and the tokenizer's ids are beyond SQL; tests/llm holds the
 # result against a brute-force version.

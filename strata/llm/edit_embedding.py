@@ -142,7 +142,8 @@ def _samples_of(hexes: list[str]) -> np.ndarray:
 
 def fingerprint(df: DataFrame, keep: list[str], text: str = "text", out: str = "fingerprint") -> DataFrame:
     """Columns ``keep`` with each text's fingerprint."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
+    keep = C.without(df.select(*keep), [out]).columns
+    fields = C.types_of(df.select(*keep))
     n = len(keep)
 
     def run(batches):

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from strata.llm.common import as_bytes
+from strata.llm import common as C
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 PIECE = 1 << 20
@@ -230,8 +230,8 @@ _ADDED = pa.schema([
 
 def scan_licenses(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` of each row with its number of words, base places and template spans."""
-    kept = df.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", " + SCHEMA
+    keep = C.without(df.select(*keep), _ADDED.names).columns
+    schema = f"{C.types_of(df.select(*keep))}, {SCHEMA}"
 
     def run(batches):
         scan = scanner()
@@ -248,5 +248,5 @@ def scan_licenses(df: DataFrame, keep: list[str], text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays(batch.columns[:len(keep)] + added.columns,
                                              names=keep + _ADDED.names)
 
-    source = as_bytes(df.select(*keep, df[text].alias("__text")), "__text")
+    source = C.as_bytes(df.select(*keep, df[text].alias("__text")), "__text")
     return source.mapInArrow(run, schema)

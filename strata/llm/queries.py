@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import edit_embedding, license_scan, link_graph, packing, piece_bpe, repetition, warc
+from strata.llm import edit_embedding, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, warc
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,44 @@ def op9_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's url judged by the rules, else by its host's trust and distrust."""
     return link_graph.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near-duplicates; its smallest id is kept."""
+    return near_dedup.near_groups(C.documents(spark, sf_dir)).select(
+        "doc_id", "n_shingles", "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that occur elsewhere."""
+    return substring_dedup.remove_repeats(C.documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op8_substring_dedup"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         [x FOR x IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+  FROM documents),
+win AS (
+  SELECT r, i, array_to_string(w[i : i + 34], ' ') AS k
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+again AS (SELECT k FROM win GROUP BY k HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win JOIN again USING (k)),
+lost AS (SELECT r, list(p) AS ps, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE
+         [w[p] FOR p IN range(1, len(w) + 1) IF NOT list_contains(ps, p)] END, ' ')) AS kept_sha256
+FROM d LEFT JOIN lost USING (r)
+"""
+
+
+@query
+def op6_runlength_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 200-byte strings that occur elsewhere."""
+    return runlength_index.remove_repeats(C.documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

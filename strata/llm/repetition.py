@@ -116,8 +116,8 @@ def _lines(data, offsets, words, chars):
 def measure_repetition(df: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """Every column of ``df`` with the measures (``COLUMNS``, their names after ``prefix``) added."""
     names = [prefix + c for c in COLUMNS]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema]
-                       + [f"`{n}` long" for n in names])
+    df = C.without(df, names)
+    schema = ", ".join([C.types_of(df)] + [f"`{n}` long" for n in names])
     place = df.columns.index(text)
 
     def run(batches):
