@@ -43,6 +43,15 @@ def to_int(c: ColumnOrName) -> Column:
     return _col(c).try_cast("double").try_cast("int")
 
 
+def to_id(c: ColumnOrName) -> Column:
+    """Text or number to a 64-bit id: whole numbers only (``'5'``, ``'5.0'``), anything else null.
+
+    Never rounds: ``'5.2'`` is no id, and an id beyond 32 bits stays what it is.
+    """
+    exact = F.trim(_col(c).cast("string")).try_cast("decimal(38,6)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def to_float(c: ColumnOrName) -> Column:
     """Text or number to 32-bit float, junk -> null."""
     return _col(c).try_cast("float")

@@ -1,4 +1,4 @@
-"""Grouped summaries, HAVING, top-k, buckets and table counts.
+"""Grouped summaries, HAVING, top-k, global rank and table counts.
 
 Every aggregate is a ``groupBy().agg()`` (partial + final hash aggregation:
 a hot group is pre-summed in each map task).  Top-k is ``orderBy().limit(k)``
@@ -11,9 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.scalar import bytes_to_mb
+from strata.session import scratch_path
+
 ColumnOrName = Column | str
 
 
@@ -36,55 +39,33 @@ def top_k(df: DataFrame, k: int, order_by: Sequence[ColumnOrName],
     return out.select(*[_c(c) for c in columns]) if columns is not None else out
 
 
-def cap_rows(df: DataFrame, n: int, order_by: Sequence[ColumnOrName] = (),
-             key: str | None = None, accuracy: int = 1_000_000) -> DataFrame:
-    """Deterministic version of the reference's unordered ``limit(n)`` (O1).
-
-    The kept rows are the first ``n`` under a total order, the same on every
-    run.  Two forms:
+def rank_rows(df: DataFrame, order_by: Sequence[ColumnOrName], rank_col: str = "rank") -> DataFrame:
+    """Global sort with the place of each row, from 1 (O2, O3); ``order_by`` is a total order.
 
-    * ``order_by``: ``orderBy().limit(n)`` (TakeOrderedAndProject).  Each task
-      keeps n rows, and the final merge reads n x tasks rows in one task, so
-      this suits small n.
-    * ``key`` (one unique, non-null, orderable column, ascending): a threshold
-      ``t`` is taken from ``percentile_approx``.  Its rank error is at most
-      N / accuracy, and the target rank carries that margin, so
-      ``key <= t`` is guaranteed to hold at least the first n rows.  The
-      filter (pushed to the scan) leaves about n + 2N/accuracy rows for the
-      top-n, whatever the number of tasks.  The count and the percentile are
-      single-number aggregations.
-    """
-    if key is None:
-        if not order_by:
-            raise ValueError("cap_rows needs order_by or key: an unordered cap is not repeatable")
-        return df.orderBy(*[_c(o) for o in order_by]).limit(n)
-    k = F.col(key)
-    total = df.count()
-    if total <= n:
-        return df
-    margin = total // accuracy + 1
-    q = min(1.0, (n + margin) / total)
-    t = df.agg(F.percentile_approx(k, q, accuracy).alias("t")).first()["t"]
-    return df.filter(k <= F.lit(t)).orderBy(k.asc()).limit(n)
-
-
-def hash_sample(df: DataFrame, key: ColumnOrName, fraction: float, seed: int = 42) -> DataFrame:
-    """Deterministic sample of about ``fraction`` of the rows, decided per key.
-
-    A pure per-row filter on ``xxhash64(seed, key)``: no shuffle, no driver
-    work, the same rows on every run and every cluster size.
+    Rows are dealt by range and sorted where they land; a partition's rows
+    follow those of the partitions before it, whose sizes are one row per
+    partition.  No task holds more than its range.
     """
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError("fraction must be in [0, 1]")
-    buckets = 1 << 20
-    h = F.pmod(F.xxhash64(F.lit(seed), _c(key)), F.lit(buckets))
-    return df.filter(h < F.lit(int(round(fraction * buckets))))
-
-
-def bucket_summary(df: DataFrame, bucket_col: Column, bucket_name: str,
-                   aggs: Mapping[str, Column]) -> DataFrame:
-    """Group on a CASE bucket (A6): derive the bucket, then aggregate."""
-    return summarize(df.withColumn(bucket_name, bucket_col), [bucket_name], aggs)
+    part, row = "__strata_part", "__strata_row"
+    order = [_c(o) for o in order_by]
+    path = scratch_path(df.sparkSession, "ranked")
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .withColumn(row, F.monotonically_increasing_id()).write.parquet(path))
+    placed = (df.sparkSession.read.parquet(path)
+              .withColumn(part, F.shiftright(row, 33)).withColumn(row, F.col(row).bitwiseAND((1 << 33) - 1)))
+    sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select(part, (F.sum("n").over(Window.orderBy(part)) - F.col("n")).alias("__strata_before"))
+    return (placed.join(F.broadcast(before), part)      # a row per partition
+            .withColumn(rank_col, F.col("__strata_before") + F.col(row) + 1)
+            .drop(part, row, "__strata_before"))
+
+
+def size_summary(entries: DataFrame, by: str, size_col: str = "length") -> DataFrame:
+    """Entries, bytes, empty entries and MB per group."""
+    return (entries.groupBy(by)
+            .agg(F.count(F.lit(1)).alias("n_files"), F.sum(size_col).cast("long").alias("total_bytes"),
+                 F.count(F.when(F.col(size_col) == 0, 1)).alias("empty_files"))
+            .withColumn("total_mb", bytes_to_mb("total_bytes")))
 
 
 def table_counts(tables: Mapping[str, DataFrame], total_label: str = "TOTAL",

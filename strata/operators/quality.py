@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.star import HOT_FRACTION, HOT_ROWS, skew_join
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -80,13 +82,12 @@ def _fails(rule: Rule) -> Column:
 
 
 def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "failed_rules",
-                      salt_buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+                      hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into (valid rows, violating rows with the failed rule names).
 
-    Duplicate keys are flagged by joining the rows to the (small) set of
-    duplicated keys; a key duplicated a million times puts its rows in one
-    join task unless AQE splits it or ``salt_buckets`` keeps hot keys out of
-    the shuffle (``skew_join``).
+    Duplicate keys are flagged by joining the rows to the set of duplicated
+    keys; a key duplicated very often is flagged where its rows lie
+    (``skew_join``).
     """
     row_rules = [r for r in rules if r.predicate is not None]
     flagged = df
@@ -96,11 +97,7 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "fai
         flag = f"__strata_dup{i}"
         dups = (_non_null_keys(df, keys).groupBy(*keys).count().filter(F.col("count") > 1)
                 .select(*keys, F.lit(True).alias(flag)))
-        if salt_buckets:
-            from strata.operators.star import skew_join
-            flagged = skew_join(flagged, dups, keys, "left", buckets=salt_buckets)
-        else:
-            flagged = flagged.join(dups, keys, "left")
+        flagged = skew_join(flagged, dups, keys, "left", hot_fraction, hot_rows, right_unique=True)
         dup_flags.append((r.name, flag))
     names = [F.when(_fails(r), F.lit(r.name)) for r in row_rules]
     names += [F.when(F.col(flag), F.lit(name)) for name, flag in dup_flags]
@@ -190,7 +187,3 @@ def presence_report(listing: DataFrame, required: Sequence[str], name_col: str,
     out = listing.agg(*aggs).select(F.inline(F.array(*structs)))
     return out.withColumn("present", F.col("matches") > 0)
 
-
-def empty_entries(listing: DataFrame, size_col: str = "length") -> DataFrame:
-    """Entries of size 0 (F11): a zero-byte file reads as zero rows without error."""
-    return listing.filter(F.col(size_col) == 0)

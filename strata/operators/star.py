@@ -10,8 +10,10 @@ Scale notes
   aggregation, so a hot key is summed before it is shuffled.
 * ``lookup_join`` leaves the strategy to Spark's size check (broadcast
   under the threshold, sort-merge above it, AQE re-plans on real sizes); an
-  explicit broadcast is given only after a bounded row count proves the
-  dimension within a caller-given bound.
+  explicit broadcast is given only after the dimension's size in bytes was
+  measured and found within a caller-given bound.
+* Joins whose left side may hold a hot key go through ``skew_join``: hot keys
+  are counted first and joined where their rows lie, without a shuffle.
 * ``enrich`` collapses a one-to-many right side to one row per key *before*
   joining, so the join cannot fan out.
 """
@@ -27,10 +29,9 @@ from strata.functions.scalar import ratio
 
 ColumnOrName = Column | str
 
-# Rows a lookup dimension may have and still be broadcast.  Dimension rows are
-# narrow (a key and a few labels); 2M rows stays far below executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
+# A key is hot if it holds more than this share of a frame's rows, and more rows than one task takes easily.
+HOT_FRACTION = 0.01
+HOT_ROWS = 1_000_000
 
 def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -40,7 +41,7 @@ def _c(c: ColumnOrName) -> Column:
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
                    ties: str = "all", tie_break: Sequence[ColumnOrName] = (),
-                   salt_buckets: int | None = None) -> DataFrame:
+                   hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows holding the latest ``order_col`` per key.
 
     ``ties='all'`` keeps every row on the latest value (``rank() == 1``, the
@@ -48,62 +49,60 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     ``tie_break`` (``row_number() == 1``).  Null order values sort last, so a
     null wins only for a key that has nothing else.
 
-    With ``ties='all'`` a key whose latest value is shared by very many rows
-    keeps all of them, and the window gathers them in one task.
-    ``salt_buckets`` switches to a window-free form: the latest value and the
-    count of non-null values per key come from partial aggregates, and rows
-    are kept by semi-joins that keep hot keys out of the shuffle
-    (``skew_join``).  The result is the same.
+    With ``ties='all'`` a key may keep very many rows, which a window would
+    gather in one task.  So there is none: the latest value and the number of
+    non-null values per key come from partial aggregates, and rows are kept by
+    semi-joins that leave hot keys where they are (``skew_join``).
     """
-    if ties == "all" and salt_buckets:
-        return _latest_all_salted(df, list(keys), order_col, salt_buckets)
-    order = [F.col(order_col).desc_nulls_last()]
     if ties == "all":
-        fn = F.rank()
-    elif ties == "first":
-        if not tie_break:
-            raise ValueError("ties='first' needs a tie_break order")
-        fn = F.row_number()
-        order += [_c(t) for t in tie_break]
-    else:
+        return _latest_all(df, list(keys), order_col, hot_fraction, hot_rows)
+    if ties != "first":
         raise ValueError(f"ties must be 'all' or 'first', not {ties!r}")
-    w = Window.partitionBy(*keys).orderBy(*order)
+    if not tie_break:
+        raise ValueError("ties='first' needs a tie_break order")
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last(), *[_c(t) for t in tie_break])
     rk = "__strata_rank"
-    return df.withColumn(rk, fn.over(w)).filter(F.col(rk) == 1).drop(rk)
+    return df.withColumn(rk, F.row_number().over(w)).filter(F.col(rk) == 1).drop(rk)
+
+
+def _latest_all(df: DataFrame, keys: list[str], order_col: str,
+                hot_fraction: float, hot_rows: int) -> DataFrame:
+    some_null = ~_all([F.col(k).isNotNull() for k in keys])
+    plain = _latest_by_semi_join(df.filter(~some_null), keys, order_col, hot_fraction, hot_rows)
+    if not any(df.schema[k].nullable for k in keys):
+        return plain
+    # a null key part is a value of its own here, as in a window, but matches nothing in a join
+    text = "__strata_key"
+    rest = df.filter(some_null).withColumn(text, F.to_json(F.struct(*keys)))
+    rest = _latest_by_semi_join(rest, [text], order_col, hot_fraction, hot_rows)
+    return plain.unionByName(rest.drop(text))
 
 
-def _latest_all_salted(df: DataFrame, keys: list[str], order_col: str,
-                       buckets: int) -> DataFrame:
+def _latest_by_semi_join(df: DataFrame, keys: list[str], order_col: str,
+                         hot_fraction: float, hot_rows: int) -> DataFrame:
     mx, nn = "__strata_max", "__strata_nonnull"
     per_key = df.groupBy(*keys).agg(F.max(order_col).alias(mx), F.count(order_col).alias(nn))
     # keys with at least one value: rows on the maximum
     dated = skew_join(df.filter(F.col(order_col).isNotNull()),
                       per_key.filter(F.col(nn) > 0).select(*keys, F.col(mx).alias(order_col)),
-                      keys + [order_col], "left_semi", buckets=buckets)
+                      keys + [order_col], "left_semi", hot_fraction, hot_rows, right_unique=True)
     # keys with no value at all: every (null) row ties at rank 1
     undated = skew_join(df.filter(F.col(order_col).isNull()),
                         per_key.filter(F.col(nn) == 0).select(*keys),
-                        keys, "left_semi", buckets=buckets)
+                        keys, "left_semi", hot_fraction, hot_rows, right_unique=True)
     return dated.unionByName(undated)
 
 
 def latest_by_max_join(df: DataFrame, keys: Sequence[str], order_col: str,
-                       salt_buckets: int | None = None) -> DataFrame:
+                       hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Documented alternative (A12 + J5): group max, then join back on (keys, max).
 
     Equal to ``latest_per_key(ties='all')`` when dates are non-null; a key whose
-    only date is null is lost here (null never equals null).  The join sends
-    every row of a key to one task; AQE's skew join splits that, or pass
-    ``salt_buckets`` to handle hot keys explicitly (``skew_join``).
+    only date is null is lost here (null never equals null).
     """
-    mx = "__strata_max"
-    maxes = df.groupBy(*keys).agg(F.max(order_col).alias(mx))
-    if salt_buckets:
-        right = maxes.withColumnRenamed(mx, order_col)
-        return skew_join(df, right, list(keys) + [order_col], "left_semi",
-                         buckets=salt_buckets)
-    cond = [df[k] == maxes[k] for k in keys] + [df[order_col] == maxes[mx]]
-    return df.join(maxes, cond, "inner").select(df["*"])
+    right = df.groupBy(*keys).agg(F.max(order_col).alias(order_col))
+    return skew_join(df, right, list(keys) + [order_col], "left_semi", hot_fraction, hot_rows,
+                     right_unique=True)
 
 
 # ---------------------------------------------------------------- activity totals (A1)
@@ -128,113 +127,122 @@ def activity_stats(df: DataFrame, key: str, sums: Mapping[str, ColumnOrName],
 
 # ---------------------------------------------------------------- joins
 
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows, so the check costs a bounded scan
-    even when the frame turns out to be huge.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+def bytes_of(df: DataFrame) -> int:
+    """Size of a frame's rows as JSON text, an upper estimate of what a broadcast holds: one aggregate."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))) + F.lit(16)
+    return int(df.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0])
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_broadcast_rows: int | None = None,
-                salt_buckets: int | None = None) -> DataFrame:
+                max_broadcast_bytes: int | None = None,
+                hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join a lookup dimension.
 
-    Default: no hint.  Spark broadcasts the dimension only if its estimated
-    size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans
-    on the real shuffle sizes; otherwise it is a sort-merge join.  That check
-    costs no job.  With ``max_broadcast_rows`` the caller asks for a broadcast
-    beyond the threshold: the dimension is counted (a bounded scan) and the
-    hint is given only if the count is within the bound.  A dimension that is
-    not broadcast can meet a hot key on the fact side: with ``salt_buckets``
-    (and ``on`` given as column names) such keys go through ``skew_join``.
+    With ``max_broadcast_bytes`` the dimension's size is measured (one aggregate
+    over it) and the hint is given only if it is within the bound.  Otherwise,
+    and beyond the bound, a join on column names goes through ``skew_join``, so
+    that a key with a large share of the rows stays where it is; a join on a
+    condition is left to Spark (threshold, AQE).
     """
-    if max_broadcast_rows is not None and rows_at_most(dim, max_broadcast_rows):
+    if max_broadcast_bytes is not None and bytes_of(dim) <= max_broadcast_bytes:
         return df.join(F.broadcast(dim), on, how)
-    if salt_buckets and (isinstance(on, str) or
-                         (isinstance(on, (list, tuple)) and all(isinstance(k, str) for k in on))):
-        keys = [on] if isinstance(on, str) else list(on)
-        return skew_join(df, dim, keys, how, buckets=salt_buckets)
+    if isinstance(on, str) or (isinstance(on, (list, tuple)) and all(isinstance(k, str) for k in on)):
+        return skew_join(df, dim, [on] if isinstance(on, str) else list(on), how, hot_fraction, hot_rows)
     return df.join(dim, on, how)
 
 
 def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
            order_by: Sequence[ColumnOrName], how: str = "left",
            columns: Sequence[ColumnOrName] | None = None,
-           salt_buckets: int | None = None) -> DataFrame:
+           hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left-join a one-to-many side after collapsing it to one row per key.
 
     ``order_by`` picks the surviving right row (first wins), so the result has
-    exactly one row per left row and does not depend on scheduling.  With
-    ``salt_buckets`` a hot key on the left goes through ``skew_join``.
+    exactly one row per left row and does not depend on scheduling.  A hot key
+    on the left is joined where its rows lie (``skew_join``).
     """
     w = Window.partitionBy(right_key).orderBy(*[_c(o) for o in order_by])
     rn = "__strata_rn"
     one = right.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
-    if salt_buckets:
-        joined = skew_join(left, one.withColumn(left_key, F.col(right_key)), [left_key], how,
-                           buckets=salt_buckets)
-        if columns is None:
-            return joined.drop(right_key) if right_key != left_key else joined
-        return joined.select(*[_c(c) for c in columns])
-    joined = left.join(one, left[left_key] == one[right_key], how)
+    joined = skew_join(left, one.withColumn(left_key, F.col(right_key)), [left_key], how,
+                       hot_fraction, hot_rows, right_unique=True)
     if columns is None:
-        return joined.drop(one[right_key])
+        return joined.drop(right_key) if right_key != left_key else joined
     return joined.select(*[_c(c) for c in columns])
 
 
-def _hot_keys(left: DataFrame, keys: list[str], hot_fraction: float) -> DataFrame:
-    """Keys holding more than ``hot_fraction`` of ``left``'s rows (at most 1/hot_fraction)."""
-    threshold = max(1, int(left.count() * hot_fraction))
-    return (left.groupBy(*keys).count().filter(F.col("count") > threshold)
-            .select(*keys, F.lit(True).alias("__strata_hot")))
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = HOT_FRACTION,
+             hot_rows: int = HOT_ROWS) -> list:
+    """Keys (without nulls) holding more than ``hot_fraction`` of the rows and more than ``hot_rows``.
+
+    At most ``1 / hot_fraction`` rows come to the driver.  Frames of up to
+    ``hot_rows`` rows have none, which costs one count; others one partial
+    aggregate.
+    """
+    total = df.count()
+    if total <= hot_rows:
+        return []
+    present = [F.col(k).isNotNull() for k in keys]
+    counts = df.filter(_all(present)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__strata_n"))
+    return counts.filter(F.col("__strata_n") > max(hot_rows, int(total * hot_fraction))).select(*keys).collect()
+
+
+def _all(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
 
 
 _SKEW_HOWS = ("inner", "left", "left_outer", "left_semi", "left_anti")
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-              hot_fraction: float = 0.01, max_hot_right_rows: int = 1_000_000,
-              buckets: int = 64) -> DataFrame:
+              hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS,
+              max_hot_right_bytes: int = 64 << 20, buckets: int = 64,
+              right_unique: bool = False) -> DataFrame:
     """Equi-join that keeps hot keys out of the shuffle (split, salting as fallback).
 
-    1. keys holding more than ``hot_fraction`` of the left rows are found
-       with a partial-aggregate count; there are at most ``1 / hot_fraction``
-       of them (a proven bound), so that key set is broadcast;
-    2. the right rows of those keys are counted; within ``max_hot_right_rows``
-       they are broadcast and the hot keys' left rows are joined map-side,
-       where they already are: no shuffle, however many rows or exact copies
-       a hot key has;
+    1. keys holding more than ``hot_fraction`` of the left rows (and more than
+       ``hot_rows``) are counted by a partial aggregate; there are at most
+       ``1 / hot_fraction``.  Without any this is an ordinary join;
+    2. the right rows of those keys -- at most as many as keys if
+       ``right_unique``, else measured against ``max_hot_right_bytes`` -- are
+       broadcast, and the hot keys' left rows are joined map-side, where they
+       already are: no shuffle, however many rows or exact copies a key has;
     3. every other left row takes an ordinary shuffle join with ``right``;
+       left rows with a null key match nothing and skip it;
     4. if the right side of the hot keys is too big to broadcast, the join
        falls back to ``salted_join``.
 
     Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
 
-    Cost: a count of ``left`` (Parquet answers it from metadata), one
-    aggregate pass for the key counts (a small shuffle of partial counts),
-    and the join reads ``left`` twice, once per branch.  That is cheap next
-    to one task holding a third of the data; when ``left`` is expensive to
-    derive, write it to a table first.  With AQE on, its skew split usually
-    makes this unnecessary.
+    Cost: a count of ``left``, one aggregate pass when it has more than
+    ``hot_rows`` rows, and ``left`` is read twice if hot keys exist.  When
+    ``left`` is expensive to derive, write it to a table first.
     """
     if how not in _SKEW_HOWS:
         raise ValueError(f"skew_join does not support how={how!r}")
     keys = list(keys)
-    hot = F.broadcast(_hot_keys(left, keys, hot_fraction))
+    found = hot_keys(left, keys, hot_fraction, hot_rows)
+    if not found:
+        return left.join(right, keys, how)
+    schema = left.select(*keys).schema
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, schema))
     right_hot = right.join(hot, keys, "left_semi")
-    if not rows_at_most(right_hot, max_hot_right_rows):
-        return salted_join(left, right, keys, how, hot_fraction, buckets)
-    left_hot = left.join(hot, keys, "left_semi")
-    left_cold = left.join(hot, keys, "left_anti")
-    return (left_hot.join(F.broadcast(right_hot), keys, how)
-            .unionByName(left_cold.join(right, keys, how)))
+    if not right_unique and bytes_of(right_hot) > max_hot_right_bytes:
+        return salted_join(left, right, keys, how, hot_fraction, hot_rows, buckets)
+    some_null = ~_all([F.col(k).isNotNull() for k in keys])
+    cold = left.filter(~some_null).join(hot, keys, "left_anti").join(right, keys, how)
+    out = left.join(hot, keys, "left_semi").join(F.broadcast(right_hot), keys, how).unionByName(cold)
+    if how in ("left", "left_outer", "left_anti"):
+        out = out.unionByName(left.filter(some_null), allowMissingColumns=True)
+    return out
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                hot_fraction: float = 0.01, buckets: int = 64) -> DataFrame:
+                hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS,
+                buckets: int = 64) -> DataFrame:
     """Equi-join whose hot keys are spread over ``buckets`` tasks (skew salting).
 
     For joins where ``left`` may hold a key with a large share of its rows
@@ -259,7 +267,9 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     if how not in _SKEW_HOWS:
         raise ValueError(f"salted_join does not support how={how!r}")
     keys = list(keys)
-    hot = F.broadcast(_hot_keys(left, keys, hot_fraction))     # at most 1 / hot_fraction rows
+    found = hot_keys(left, keys, hot_fraction, hot_rows)       # at most 1 / hot_fraction rows
+    schema = left.select(*keys).schema
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, schema).withColumn("__strata_hot", F.lit(True)))
     salt = "__strata_salt"
     lrow = F.xxhash64(*[F.col(c) for c in left.columns])
     l = (left.join(hot, keys, "left")
@@ -274,12 +284,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return l.join(r, keys + [salt], how).drop(salt)
 
 
-def missing_keys(required: DataFrame, existing: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def missing_keys(required: DataFrame, existing: DataFrame, on: str | Sequence[str],
+                 hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows of ``required`` without a match in ``existing`` (J6, J7): anti-join.
 
     The existing side is reduced to its distinct keys first: the partial
     aggregate collapses a hot key inside each map task, so the anti-join's
-    shuffle carries one row per key and task, not every duplicate.
+    shuffle carries one row per key and task, not every duplicate.  A hot key
+    among the required rows is tested where its rows lie (``skew_join``).
     """
     keys = [on] if isinstance(on, str) else list(on)
-    return required.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return skew_join(required, existing.select(*keys).distinct(), keys, "left_anti",
+                     hot_fraction, hot_rows, right_unique=True)

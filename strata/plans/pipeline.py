@@ -20,16 +20,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import (clean_code, clean_text, is_positive, to_date, to_double,
-                                     to_float, to_int, years_between)
+                                     to_float, to_id, to_int, years_between)
 from strata.operators.aggregate import table_counts
-from strata.operators.clean import dedupe, fill_nulls, require_not_null, total_order
-from strata.operators.quality import presence_report, violation_report
+from strata.operators.clean import dedupe, fill_nulls, total_order
+from strata.operators.quality import violation_report
 from strata.plans import gold as G
 from strata.plans.rules import rules_for
 from strata.sinks.files import write_parquet
 from strata.sinks.publish import Published, publish, read_published
+from strata.sources import fs
 from strata.sources.files import read_csv, read_parquet
-from strata.sources.manifest import manifest
 
 # Fixed values that must equal the reference's: raw file locations under the
 # bronze root, the raw files the readiness check requires, the silver
@@ -61,25 +61,15 @@ class PipelineConfig:
     bronze: str
     silver: str
     gold: str
-    as_of: _dt.date = _dt.date(2026, 1, 1)
+    as_of: _dt.date                    # ages are counted to this day
     raw_files: Mapping[str, str] = field(default_factory=lambda: dict(RAW_FILES))
-    rating_cap: int | None = None      # the reference capped ratings at 50,000 rows
     # gold rules (C1-C10): "report" publishes a violation report next to the
     # tables, "raise" also refuses any table that breaks a rule, "off" skips both
     rules: str = "report"
-    # datasets read with multiLine (quoted line breaks).  Such a file cannot be
-    # split and is read by one task per file; datasets known to hold no
-    # multi-line fields can be left out so Spark splits them (default: all,
-    # as the reference read every file).
-    multiline: frozenset[str] | None = None
+    # datasets that hold quoted line breaks: such a file cannot be split, one task reads it
+    multiline: frozenset[str] = frozenset()
     # independent datasets / tables written at the same time (driver threads)
     concurrency: int = 4
-    # explicit hot-key handling (skew_join) where AQE's skew split is not available
-    salt_buckets: int | None = None
-
-    def is_multiline(self, name: str) -> bool:
-        return self.multiline is None or name in self.multiline
-
 
 # ================================================================ helpers
 
@@ -99,117 +89,149 @@ def run_concurrently(tasks: Mapping[str, Callable[[], object]], workers: int = 4
 
 # ================================================================ silver
 
-def _typed(df: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
-    return df.withColumns(dict(casts))
+def _text(c: str) -> Column:
+    """Raw text with blank as null."""
+    return F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
+
+
+# What makes a raw row unusable, by dataset: (reason, condition).  Such rows are left out of silver and
+# counted in the reject report; nothing is dropped without a count.
+REJECTS: dict[str, list[tuple[str, Callable[[], Column]]]] = {
+    "players": [("player_id unreadable", lambda: to_id("player_id").isNull())],
+    "player_valuations": [
+        ("player_id unreadable", lambda: to_id("player_id").isNull()),
+        ("date unreadable", lambda: _text("date").isNotNull() & to_date("date").isNull()),
+        ("value not positive", lambda: ~F.coalesce(is_positive(to_double("market_value_in_eur")), F.lit(False)))],
+    "clubs": [("club_id unreadable", lambda: to_id("club_id").isNull())],
+    "competitions": [("competition_id missing", lambda: F.col("competition_id").isNull())],
+    "appearances": [("player_id unreadable", lambda: to_id("player_id").isNull())],
+    "fifa_players": [
+        ("player_id unreadable", lambda: to_id("player_id").isNull()),
+        ("date unreadable", lambda: _text("fifa_update_date").isNotNull() & to_date("fifa_update_date").isNull())],
+}
+
+
+def _reason(name: str) -> Column:
+    """The first reason to reject a raw row, or null."""
+    out = None
+    for reason, condition in REJECTS[name]:
+        out = F.when(condition(), reason) if out is None else out.when(condition(), reason)
+    return out
+
+
+def usable(raw: DataFrame, name: str) -> DataFrame:
+    """Raw rows of a dataset without a reason to reject them."""
+    return raw.filter(_reason(name).isNull())
+
+
+def reject_counts(raw: DataFrame, name: str) -> DataFrame:
+    """dataset, reason, n_rows of the raw rows that are left out (one partial aggregate)."""
+    return (raw.select(_reason(name).alias("reason")).filter("reason is not null").groupBy("reason")
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .select(F.lit(name).alias("dataset"), "reason", "n_rows"))
 
 
+# The cleaning jobs select what they need first, so that nothing else is read, and dedupe over that.
+
 def clean_players(raw: DataFrame, as_of: _dt.date) -> DataFrame:
     """Key filter, deterministic dedupe, trims, code lower-case, age, height."""
-    df = _typed(raw, {"player_id": to_int("player_id"),
-                      "last_season": to_int("last_season"),
-                      "current_club_id": to_int("current_club_id")})
-    df = require_not_null(df, ["player_id"])
-    df = dedupe(df, ["player_id"], total_order(df, [F.col("last_season").desc_nulls_last()]))
-    return df.select(
-        "player_id", clean_text("name").alias("name"), clean_text("position").alias("position"),
+    df = usable(raw, "players").select(
+        to_id("player_id").alias("player_id"), clean_text("name").alias("name"),
+        clean_text("position").alias("position"),
         clean_text("country_of_citizenship").alias("nationality"),
         years_between(as_of, F.col("date_of_birth").try_cast("timestamp")).alias("age"),
         to_float("height_in_cm").alias("height_cm"), clean_code("foot").alias("foot"),
-        "current_club_id", "last_season")
+        to_id("current_club_id").alias("current_club_id"), to_int("last_season").alias("last_season"))
+    return dedupe(df, ["player_id"], total_order(df, [F.col("last_season").desc_nulls_last()]))
 
 
 def clean_valuations(raw: DataFrame) -> DataFrame:
     """Key and value filters, (player, date) dedupe, year for partitioning."""
-    df = _typed(raw, {"player_id": to_int("player_id"), "date": to_date("date"),
-                      "market_value_eur": to_double("market_value_in_eur"),
-                      "current_club_id": to_int("current_club_id")})
-    df = df.filter(F.col("player_id").isNotNull() & is_positive("market_value_eur"))
+    df = usable(raw, "player_valuations").select(
+        to_id("player_id").alias("player_id"), to_date("date").alias("date"),
+        to_double("market_value_in_eur").alias("market_value_eur"),
+        to_id("current_club_id").alias("current_club_id"),
+        F.col("player_club_domestic_competition_id").alias("competition_id"))
     df = dedupe(df, ["player_id", "date"], total_order(df, ["player_id", "date"])[2:])
-    return df.select("player_id", "date", F.year("date").alias("valuation_year"),
-                     "market_value_eur", "current_club_id",
-                     F.col("player_club_domestic_competition_id").alias("competition_id"))
+    return df.withColumn("valuation_year", F.year("date"))
 
 
 def clean_clubs(raw: DataFrame) -> DataFrame:
     """D3: clubs."""
-    df = _typed(raw, {"club_id": to_int("club_id"), "squad_size": to_int("squad_size"),
-                      "average_age": to_double("average_age"),
-                      "total_market_value": to_double("total_market_value")})
-    df = require_not_null(df, ["club_id"])
-    df = dedupe(df, ["club_id"], total_order(df, ["club_id"])[1:])
-    return df.select("club_id", clean_text("name").alias("club_name"),
-                     clean_text("domestic_competition_id").alias("domestic_competition_id"),
-                     "squad_size", "average_age", "total_market_value")
+    df = usable(raw, "clubs").select(
+        to_id("club_id").alias("club_id"), clean_text("name").alias("club_name"),
+        clean_text("domestic_competition_id").alias("domestic_competition_id"),
+        to_int("squad_size").alias("squad_size"), to_double("average_age").alias("average_age"),
+        to_double("total_market_value").alias("total_market_value"))
+    return dedupe(df, ["club_id"], total_order(df, ["club_id"])[1:])
 
 
 def clean_competitions(raw: DataFrame) -> DataFrame:
     """D3: competitions."""
-    df = require_not_null(raw, ["competition_id"])
-    df = dedupe(df, ["competition_id"], total_order(df, ["competition_id"])[1:])
-    return df.select("competition_id", clean_text("name").alias("competition_name"),
-                     clean_text("country_name").alias("country_name"), "type")
+    df = usable(raw, "competitions").select(
+        "competition_id", clean_text("name").alias("competition_name"),
+        clean_text("country_name").alias("country_name"), "type")
+    return dedupe(df, ["competition_id"], total_order(df, ["competition_id"])[1:])
 
 
 def clean_appearances(raw: DataFrame) -> DataFrame:
     """Key filter, dedupe on appearance id, lenient counters, nulls -> 0."""
-    df = _typed(raw, {"player_id": to_int("player_id"), "game_id": to_int("game_id"),
-                      "date": to_date("date"), **{c: to_int(c) for c in COUNTERS}})
-    df = require_not_null(df, ["player_id"])
+    df = usable(raw, "appearances").select(
+        "appearance_id", to_id("player_id").alias("player_id"), to_id("game_id").alias("game_id"),
+        "competition_id", to_date("date").alias("date"), *[to_int(c).alias(c) for c in COUNTERS])
     df = dedupe(df, ["appearance_id"], total_order(df, ["appearance_id"])[1:])
-    df = fill_nulls(df, 0, COUNTERS)
-    return df.select("appearance_id", "player_id", "game_id", "competition_id", "date", *COUNTERS)
+    return fill_nulls(df, 0, COUNTERS)
 
 
-def clean_ratings(raw: DataFrame, cap: int | None = None) -> DataFrame:
+def clean_ratings(raw: DataFrame) -> DataFrame:
     """External ratings, several versions per player kept (one per update date)."""
-    df = _typed(raw, {"player_id": to_int("player_id"), "age": to_int("age"),
-                      "overall_rating": to_int("overall"), "potential_rating": to_int("potential"),
-                      "wage_eur": to_float("wage_eur"), "value_eur": to_float("value_eur"),
-                      "height_cm": to_float("height_cm"), "weight_kg": to_float("weight_kg"),
-                      "fifa_update_date": to_date("fifa_update_date")})
-    if cap is not None:
-        # deterministic replacement for the reference's unordered limit (O1)
-        df = df.orderBy(F.col("player_id").asc_nulls_last(),
-                        F.col("fifa_update_date").asc_nulls_last()).limit(cap)
-    df = require_not_null(df, ["player_id"])
-    df = dedupe(df, ["player_id", "fifa_update_date"],
-                total_order(df, ["player_id", "fifa_update_date"])[2:])
-    return df.select("player_id", "short_name", "long_name", "overall_rating",
-                     "potential_rating", "wage_eur", "value_eur", "age", "club_name",
-                     "nationality_name", "preferred_foot", "height_cm", "weight_kg",
-                     "player_positions", "fifa_update_date")
-
-
-def bronze_readiness(spark: SparkSession, bronze: str,
-                     required: list[str] = REQUIRED_RAW) -> DataFrame:
-    """D11 (first half): required raw files present (substring match) and none empty."""
-    listing = manifest(spark, bronze)
-    return presence_report(listing, required, "rel_path", match="contains", size_col="length")
-
-
-def silver_readiness(spark: SparkSession, silver: str,
-                     required: list[str] = SILVER_DATASETS) -> DataFrame:
+    df = usable(raw, "fifa_players").select(
+        to_id("player_id").alias("player_id"), "short_name", "long_name",
+        to_int("overall").alias("overall_rating"), to_int("potential").alias("potential_rating"),
+        to_float("wage_eur").alias("wage_eur"), to_float("value_eur").alias("value_eur"),
+        to_int("age").alias("age"), "club_name", "nationality_name", "preferred_foot",
+        to_float("height_cm").alias("height_cm"), to_float("weight_kg").alias("weight_kg"),
+        "player_positions", to_date("fifa_update_date").alias("fifa_update_date"))
+    return dedupe(df, ["player_id", "fifa_update_date"],
+                  total_order(df, ["player_id", "fifa_update_date"])[2:])
+
+
+@dataclass(frozen=True)
+class Presence:
+    """One required input: is it there, and is it empty."""
+    item: str
+    present: bool
+    empty: bool
+
+
+def bronze_readiness(spark: SparkSession, bronze: str, required: list[str] = REQUIRED_RAW) -> list[Presence]:
+    """D11 (first half): required raw files present and none empty; one file-system call each."""
+    sizes = {r: fs.total_size(spark, f"{bronze.rstrip('/')}/{r}") for r in required}
+    return [Presence(r, n is not None, n == 0) for r, n in sizes.items()]
+
+
+def silver_readiness(spark: SparkSession, silver: str, required: list[str] = SILVER_DATASETS) -> list[Presence]:
     """D11 (second half): every silver dataset folder exists."""
-    listing = manifest(spark, silver)
-    return presence_report(listing, required, "prefix", match="equals")
+    return [Presence(r, fs.exists(spark, f"{silver.rstrip('/')}/{r}"), False) for r in required]
 
 
-def _raise_if_not_ready(report: DataFrame, what: str, check_empty: bool) -> None:
-    # the report has one row per required item (a handful): collecting it is fine
-    rows = report.collect()
-    missing = [r["item"] for r in rows if not r["present"]]
-    empty = [r["item"] for r in rows if check_empty and r["empty_matches"] > 0]
+def _raise_if_not_ready(found: list[Presence], what: str) -> None:
+    missing = [p.item for p in found if not p.present]
+    empty = [p.item for p in found if p.empty]
     if missing or empty:
         raise NotReady(f"{what}: missing {missing}, empty {empty}")
 
 
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
-    """Job 1: clean the six raw files into silver Parquet; returns rows written per dataset."""
-    _raise_if_not_ready(bronze_readiness(spark, cfg.bronze), "bronze", check_empty=True)
+    """Job 1: clean the six raw files into silver Parquet; returns rows written per dataset.
+
+    Rows that are left out are counted by reason in ``<silver>/rejected``.
+    """
+    _raise_if_not_ready(bronze_readiness(spark, cfg.bronze), "bronze")
 
     def raw(name):
         return read_csv(spark, f"{cfg.bronze.rstrip('/')}/{cfg.raw_files[name]}", glob=None,
-                        recursive=False, multiline=cfg.is_multiline(name))
+                        recursive=False, multiline=name in cfg.multiline)
 
     silver = cfg.silver.rstrip("/")
     jobs = {
@@ -223,17 +245,23 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
                                               f"{silver}/competitions"),
         "appearances": lambda: write_parquet(clean_appearances(raw("appearances")),
                                              f"{silver}/appearances"),
-        "fifa_players": lambda: write_parquet(clean_ratings(raw("fifa_players"), cfg.rating_cap),
+        "fifa_players": lambda: write_parquet(clean_ratings(raw("fifa_players")),
                                               f"{silver}/fifa_players"),
     }
-    return run_concurrently(jobs, cfg.concurrency)
+    written = run_concurrently(jobs, cfg.concurrency)
+    counts = [reject_counts(raw(name), name) for name in REJECTS]
+    rejected = counts[0]
+    for c in counts[1:]:
+        rejected = rejected.unionByName(c)
+    write_parquet(rejected, f"{silver}/rejected")
+    return written
 
 
 # ================================================================ gold
 
 def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Published]:
     """Job 2: build and publish the nine gold tables."""
-    _raise_if_not_ready(silver_readiness(spark, cfg.silver), "silver", check_empty=False)
+    _raise_if_not_ready(silver_readiness(spark, cfg.silver), "silver")
     silver, gold = cfg.silver.rstrip("/"), cfg.gold.rstrip("/")
 
     def s(name):
@@ -250,8 +278,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
         return publish(df, f"{gold}/{name}", rules=rules, enforce_rules=cfg.rules == "raise")
 
     out.update(run_concurrently({
-        "dim_player": lambda: put("dim_player", G.dim_player(players, ratings,
-                                                             salt_buckets=cfg.salt_buckets)),
+        "dim_player": lambda: put("dim_player", G.dim_player(players, ratings)),
         "dim_club": lambda: put("dim_club", clubs.select(
             "club_id", "club_name", "domestic_competition_id", "squad_size", "average_age",
             "total_market_value")),
@@ -260,8 +287,7 @@ def silver_to_gold(spark: SparkSession, cfg: PipelineConfig) -> dict[str, Publis
     }, cfg.concurrency))
     # the fact joins the published dimension, not its lineage
     dim_live = read_published(spark, f"{gold}/dim_player")
-    fact = G.fact_player_value(G.latest_valuation(valuations, salt_buckets=cfg.salt_buckets),
-                               dim_live,
+    fact = G.fact_player_value(G.latest_valuation(valuations), dim_live,
                                G.player_stats(appearances), competitions)
     out["fact_player_value"] = put("fact_player_value", fact)
     fact_live = read_published(spark, f"{gold}/fact_player_value")
@@ -329,15 +355,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--bronze", required=True)
     ap.add_argument("--silver", required=True)
     ap.add_argument("--gold", required=True)
-    ap.add_argument("--as-of", default="2026-01-01")
+    ap.add_argument("--as-of", default=_dt.date.today().isoformat(), help="default: the day of the run")
     ap.add_argument("--rules", choices=["report", "raise", "off"], default="report")
-    ap.add_argument("--single-line", nargs="*", default=[],
-                    help="datasets without multi-line fields (read splittable)")
+    ap.add_argument("--multi-line", nargs="*", default=[], choices=sorted(RAW_FILES),
+                    help="datasets with line breaks inside fields (one task per file)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"strata-{a.step}").getOrCreate()
-    multiline = frozenset(set(RAW_FILES) - set(a.single_line)) if a.single_line else None
     cfg = PipelineConfig(a.bronze, a.silver, a.gold, _dt.date.fromisoformat(a.as_of),
-                         rules=a.rules, multiline=multiline)
+                         rules=a.rules, multiline=frozenset(a.multi_line))
     if a.step == "silver":
         print(bronze_to_silver(spark, cfg))
     elif a.step == "gold":

@@ -15,6 +15,11 @@ Transfermarkt/clubs.csv         nation
 Transfermarkt/competitions.csv  nation + region
 FIFA 23 Players/male_players    supplier (rating = floor(s_acctbal / 100))
 ==============================  =========================================
+
+Player ids are shifted beyond 32 bits.  Besides, the files hold what has to be
+counted and left out, or decided: players with ids that are no whole numbers,
+older rows of the same player, valuations on unreadable dates, ratings of
+earlier seasons (one less each) and of unreadable dates.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from strata.sinks.files import write_csv
 from strata.sources.files import table
 
+ID_SHIFT = 3_000_000_000             # beyond 32 bits
 SENTINEL_SEGMENT = "FURNITURE"      # written as the reference's "Missing" position
 
 
@@ -32,6 +38,10 @@ def _flag(kind: str, text_one: str = "1", text_zero: str = "0"):
     return F.when(F.col("event_type") == kind, F.lit(text_one)).otherwise(F.lit(text_zero))
 
 
+def _id(c: str):
+    return (F.col(c).cast("long") + F.lit(ID_SHIFT)).cast("string")
+
+
 def raw_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The six raw files as lazy DataFrames of text-like columns, keyed by relative path."""
     c = table(spark, d, "customer")
@@ -42,7 +52,7 @@ def raw_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     s = table(spark, d, "supplier")
     cn = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
     players = cn.select(
-        F.col("c_custkey").alias("player_id"),
+        _id("c_custkey").alias("player_id"),
         F.concat(F.lit(" "), "c_name", F.lit(" ")).alias("name"),
         F.when(F.col("c_mktsegment") == SENTINEL_SEGMENT, F.lit("Missing"))
          .otherwise(F.col("c_mktsegment")).alias("position"),
@@ -53,19 +63,32 @@ def raw_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         F.when(F.col("c_acctbal") > 0, F.lit(" Left ")).otherwise(F.lit("right")).alias("foot"),
         F.col("c_nationkey").alias("current_club_id"),
         F.lit(2023).alias("last_season"))
+    # customers in debt have an older row, too, and one whose id is no whole number
+    debt = players.join(c.filter("c_acctbal < 0").select(_id("c_custkey").alias("player_id")), "player_id", "left_semi")
+    players = (players
+               .unionByName(debt.withColumn("last_season", F.lit(2020)).withColumn("name", F.lit("older name")))
+               .unionByName(debt.withColumn("player_id", F.concat("player_id", F.lit(".5")))))
     league = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left") \
         .select(F.col("c_custkey").alias("k"), F.col("n_name").alias("league"),
                 F.col("c_nationkey").alias("club"))
     valuations = o.join(league, o["o_custkey"] == league["k"], "left").select(
-        F.col("o_custkey").alias("player_id"),
+        _id("o_custkey").alias("player_id"),
         F.col("o_orderdate").cast("date").alias("date"),
         F.format_string("%.2f", "o_totalprice").alias("market_value_in_eur"),
         F.col("club").alias("current_club_id"),
         F.col("league").alias("player_club_domestic_competition_id"))
+    # open orders have a row on an unreadable date and one without a value, too
+    pending = o.filter("o_orderstatus = 'O'").select(_id("o_custkey").alias("player_id"))
+    valuations = valuations.withColumn("date", F.col("date").cast("string"))
+    for date, value in (("unknown", "1.00"), ("2020-01-01", "")):
+        valuations = valuations.unionByName(pending.select(
+            "player_id", F.lit(date).alias("date"), F.lit(value).alias("market_value_in_eur"),
+            F.lit(None).cast("long").alias("current_club_id"),
+            F.lit(None).cast("string").alias("player_club_domestic_competition_id")))
     appearances = e.select(
         F.col("event_id").cast("string").alias("appearance_id"),
         F.col("event_id").alias("game_id"),
-        F.col("user_id").alias("player_id"),
+        _id("user_id").alias("player_id"),
         F.lit("").alias("competition_id"),
         F.col("ts").cast("date").alias("date"),
         _flag("purchase").alias("goals"),
@@ -84,15 +107,21 @@ def raw_frames(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         F.col("r_name").alias("country_name"),
         F.lit("domestic_league").alias("type"))
     rating = F.floor(F.col("s_acctbal") / 100)
-    ratings = s.select(
-        F.col("s_suppkey").alias("player_id"), F.col("s_name").alias("short_name"),
-        F.col("s_name").alias("long_name"), rating.cast("string").alias("overall"),
-        (rating + 5).cast("string").alias("potential"),
-        F.format_string("%.2f", "s_acctbal").alias("wage_eur"), F.lit("").alias("value_eur"),
-        F.lit("25").alias("age"), F.lit("").alias("club_name"),
-        F.lit("").alias("nationality_name"), F.lit("Left").alias("preferred_foot"),
-        F.lit("180").alias("height_cm"), F.lit("75").alias("weight_kg"),
-        F.lit("ST").alias("player_positions"), F.lit("2023-01-01").alias("fifa_update_date"))
+
+    def version(less: int, date: str) -> DataFrame:
+        return s.select(
+            _id("s_suppkey").alias("player_id"), F.col("s_name").alias("short_name"),
+            F.col("s_name").alias("long_name"), (rating - less).cast("string").alias("overall"),
+            (rating - less + 5).cast("string").alias("potential"),
+            F.format_string("%.2f", "s_acctbal").alias("wage_eur"), F.lit("").alias("value_eur"),
+            F.lit("25").alias("age"), F.lit("").alias("club_name"),
+            F.lit("").alias("nationality_name"), F.lit("Left").alias("preferred_foot"),
+            F.lit("180").alias("height_cm"), F.lit("75").alias("weight_kg"),
+            F.lit("ST").alias("player_positions"), F.lit(date).alias("fifa_update_date"))
+
+    ratings = version(0, "2023-01-01")
+    for less, date in ((1, "2022-09-01"), (2, "2021-09-01"), (-40, "next season")):
+        ratings = ratings.unionByName(version(less, date))
     return {
         "Transfermarkt/players.csv": players,
         "Transfermarkt/player_valuations.csv": valuations,

@@ -68,11 +68,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder path under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = "-".join(p for p in parts if p) or "scratch"
-    return f"{root}/strata/{leaf}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/strata/{spark.sparkContext.applicationId}/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
 def clear_scratch(spark: SparkSession) -> bool:
-    """Delete this library's scratch folders under the checkpoint root.
+    """Delete this application's scratch folders under the checkpoint root; those of others stay.
 
     Queries that write scratch output (CSV round-trips, partitioned copies,
     staged pipeline runs) return lazy DataFrames over it, so they cannot clean
@@ -80,7 +80,7 @@ def clear_scratch(spark: SparkSession) -> bool:
     """
     from strata.sources.fs import delete
 
-    return delete(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata")
+    return delete(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/strata/{spark.sparkContext.applicationId}")
 
 
 def cluster_conf(input_bytes: int, total_cores: int, executor_memory_bytes: int,

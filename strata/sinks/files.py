@@ -32,22 +32,17 @@ def write_parquet_observed(df: DataFrame, path: str, metrics: Mapping[str, Colum
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                  mode: str = "overwrite", max_records_per_file: int | None = None) -> int:
+                  mode: str = "overwrite") -> int:
     """Write Parquet and return the number of rows written.
 
-    With ``partition_by`` each task sorts its rows by the partition columns
-    first, so it writes one file per partition value it holds, one at a time.
-    There is deliberately no ``repartition(col)``: that would send a whole
-    partition value (one year, say) to a single task.
+    With ``partition_by`` the rows are rebalanced on the partition columns
+    first: AQE splits a value too big for one task and merges small ones, so a
+    value has about as many files as its size asks for, not one per task.
     """
-    observed, obs = _observed(df)
-    if partition_by:
-        observed = observed.sortWithinPartitions(*partition_by)
+    observed, obs = _observed(df.hint("rebalance", *partition_by) if partition_by else df)
     writer = observed.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.parquet(path)
     return int(obs.get["rows"])
 

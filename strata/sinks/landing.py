@@ -1,16 +1,8 @@
-"""Batch landing of raw files not yet loaded (W10, W11), the non-streaming form.
+"""Landing of raw files not yet loaded (W10, W11) that keeps malformed lines and counts them per file.
 
-State lives in the target itself: every landed row carries its source file,
-so "already loaded" is the distinct source files of the target.  New files =
-manifest anti-joined with that set.  The append is one Spark write job; if
-it fails nothing is committed and a re-run picks the same files again, so
-there is no separate log that could disagree with the data.  Zero-byte files
-are left out and reported by the manifest (they read as no rows).
-
-Cost: each run reads the target's source-file column (one pruned,
-dictionary-encoded column, but over the whole target).  For large or
-continuously growing targets prefer ``strata.streaming.ingest.ingest_new_files``,
-whose file log grows with the number of files, not rows.
+Which files were loaded is remembered by the streaming file source's log
+(``strata.streaming.ingest``), which grows with files, not rows; no list of
+paths passes through the driver's code, and nothing of the target is read.
 """
 
 from __future__ import annotations
@@ -19,43 +11,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from strata.sinks.files import write_parquet
-from strata.sources.files import read_csv
-from strata.sources.fs import exists
-from strata.sources.manifest import manifest
-
-
-def _norm(c):
-    # file:/x, file:///x and /x name the same file; both sides are URL-encoded URIs
-    return F.regexp_replace(c, r"^file:/+", "/")
+from strata.streaming.ingest import ingest_new_files
 
 
 def land_new_files(spark: SparkSession, landing: str, target: str, schema: StructType | str,
-                   suffix: str = ".csv", source_col: str = "_source_file",
+                   checkpoint: str | None = None, source_col: str = "_source_file",
                    options: dict | None = None, corrupt_col: str | None = None) -> int:
-    """Append rows of not-yet-landed files under ``landing`` to Parquet ``target``.
+    """Append rows of not-yet-landed CSV files under ``landing``, at any depth, to Parquet ``target``.
 
-    Returns the number of rows added.  With ``corrupt_col`` a malformed line
-    does not fail the load: its raw text is kept in that column (fields null)
-    and ``landing_errors`` counts such lines per file, like the reference's
-    per-file error count.
+    Returns the number of rows added.  The log lies in ``checkpoint`` (beside
+    the target by default).  With ``corrupt_col`` a malformed line does not fail
+    the load: its raw text is kept in that column (fields null) and
+    ``landing_errors`` counts such lines per file, like the reference's per-file
+    error count.
     """
-    listing = manifest(spark, landing).filter(
-        F.lower("name").endswith(suffix.lower()) & (F.col("length") > 0))
-    if exists(spark, target):
-        done = spark.read.parquet(target).select(_norm(F.col(source_col)).alias("done")).distinct()
-        listing = listing.join(done, _norm(listing["uri"]) == done["done"], "left_anti")
-    # one short row per new file; the list of paths is what the reader needs
-    new_paths = [r.path for r in listing.select("path").collect()]
-    if not new_paths:
-        return 0
-    opts = dict(options or {})
+    opts = {"recursiveFileLookup": "true", **(options or {})}
     if corrupt_col:
         schema = _with_corrupt_col(spark, schema, corrupt_col)
         opts["columnNameOfCorruptRecord"] = corrupt_col
-    df = read_csv(spark, new_paths, schema, glob=None, recursive=False, extra_options=opts)
-    df = df.withColumn(source_col, F.col("_metadata.file_path"))
-    return write_parquet(df, target, mode="append")
+    return ingest_new_files(spark, landing, target, checkpoint or f"{target.rstrip('/')}_log", schema,
+                            options=opts, source_col=source_col)
 
 
 def _with_corrupt_col(spark: SparkSession, schema: StructType | str, name: str) -> StructType:

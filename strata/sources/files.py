@@ -5,9 +5,8 @@ Paths are URIs of any Hadoop filesystem the session is configured for
 caller's Hadoop configuration, never library code (S8).
 
 Schemas are declared (``StructType`` or DDL string); inference is opt-in
-because it costs a separate full pass over the input.  Multi-line CSV files
-cannot be split, so ``read_csv`` can repartition right after the scan
-(``repartition`` only, no key) to spread later work over the cluster.
+because it costs a separate full pass over the input.  ``multiline`` is opt-in,
+too: a file read that way cannot be split, so one task reads it whole.
 """
 
 from __future__ import annotations
@@ -17,13 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from strata.sources.fs import modification_time, qualify
-
 CSV_GLOB = "*.[cC][sS][vV]"   # .csv and .CSV, as the reference's case-insensitive suffix test
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None,
-             *, header: bool = True, multiline: bool = True, escape: str = '"',
+             *, header: bool = True, multiline: bool = False, escape: str = '"',
              infer_schema: bool = False, glob: str | None = CSV_GLOB,
              recursive: bool = True, repartition: int | None = None,
              extra_options: dict | None = None) -> DataFrame:
@@ -51,33 +48,13 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     return df.repartition(repartition) if repartition else df
 
 
-# Parquet schemas already read in this process, keyed by (path, modification
-# time).  Opening a Parquet path without a schema runs a small Spark job to
-# read a footer; with the schema known, ``spark.read.schema(s)`` skips it.
-# Paths whose modification time is unknown (0, as for object-store folders)
-# are never cached, so a rewritten table is always re-read.
-_SCHEMAS: dict[tuple[str, int], StructType] = {}
-
-
-def _schema_key(spark: SparkSession, path: str) -> tuple[str, int] | None:
-    mtime = modification_time(spark, path)    # None when missing: the reader raises
-    return (qualify(spark, path), mtime) if mtime else None
-
-
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Parquet scan (S6, S7); partition columns are discovered from ``k=v`` folders.
 
     Selecting ``columns`` here (or anywhere later) prunes the scan's
     ReadSchema; filters on partition columns become PartitionFilters.
     """
-    key = _schema_key(spark, path)
-    schema = _SCHEMAS.get(key) if key else None
-    if schema is None:
-        df = spark.read.parquet(path)
-        if key:
-            _SCHEMAS[key] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
+    df = spark.read.parquet(path)
     return df.select(*columns) if columns else df
 
 

@@ -1,12 +1,13 @@
 """Filesystem calls through the session's Hadoop FileSystem (any scheme the cluster knows).
 
-Metadata only -- existence, listing, markers, deletes -- never file content.
+Metadata only -- existence, sizes, names, markers, deletes -- never table content.
 Every caller goes through these few functions so the py4j access sits in one
 place.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -27,12 +28,10 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
-def modification_time(spark: SparkSession, path: str) -> int | None:
-    """Milliseconds since the epoch, or None when the path does not exist."""
+def total_size(spark: SparkSession, path: str) -> int | None:
+    """Bytes of a file, or of all files under a folder; None when the path does not exist."""
     p, fs = hadoop_fs(spark, path)
-    if not fs.exists(p):
-        return None
-    return int(fs.getFileStatus(p).getModificationTime())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else None
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:
@@ -43,11 +42,31 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
-def create_marker(spark: SparkSession, path: str) -> None:
-    """Create an empty file; fails if it already exists (an atomic claim)."""
+def create_marker(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a small file that must not exist yet; False if it does (another writer has the claim)."""
     p, fs = hadoop_fs(spark, path)
     fs.mkdirs(p.getParent())
-    fs.create(p, False).close()
+    try:
+        out = fs.create(p, False)
+    except Py4JJavaError as e:
+        if "Exist" in e.java_exception.getClass().getName():
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    p, fs = hadoop_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def delete(spark: SparkSession, path: str, recursive: bool = True) -> bool:

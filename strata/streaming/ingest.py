@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.sources.files import CSV_GLOB
-from strata.sources.fs import exists
 
 
 def landing_stream(spark: SparkSession, landing: str, schema: StructType | str,
@@ -28,7 +27,7 @@ def landing_stream(spark: SparkSession, landing: str, schema: StructType | str,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read of a landing folder with a declared schema."""
     reader = spark.readStream.schema(schema).format(fmt)
-    opts = {"header": "true", "multiLine": "true", "escape": '"'} if fmt == "csv" else {}
+    opts = {"header": "true", "escape": '"'} if fmt == "csv" else {}
     opts.update(options or {})
     if glob:
         opts["pathGlobFilter"] = glob
@@ -44,13 +43,14 @@ def ingest_new_files(spark: SparkSession, landing: str, target: str, checkpoint:
                      max_files_per_trigger: int | None = None) -> int:
     """Append every not-yet-ingested file under ``landing`` to the Parquet ``target``.
 
-    Returns the number of rows added by this run (0 when nothing is new).
+    Returns the number of rows added by this run (0 when nothing is new); of a run of
+    100 batches or more, the rows of the whole target.
     ``checkpoint`` must live in shared storage next to ``target``.
     """
-    before = _sink_rows(spark, target)
     df = landing_stream(spark, landing, schema, fmt, glob, options, source_col,
                         max_files_per_trigger)
-    query = (df.writeStream.format("parquet")
+    # every batch reports its own row count
+    query = (df.observe("landed", F.count(F.lit(1)).alias("rows")).writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .outputMode("append")
              .trigger(availableNow=True)
@@ -58,12 +58,12 @@ def ingest_new_files(spark: SparkSession, landing: str, target: str, checkpoint:
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    # counted on the sink (its commit log decides what is visible), not summed
-    # from progress reports, which keep only the most recent batches
-    return _sink_rows(spark, target) - before
+    done = {p.batchId: p.observedMetrics["landed"]["rows"] for p in query.recentProgress
+            if "landed" in p.observedMetrics}
+    if done and len(done) < max(done) - min(done) + 1 or len(done) >= _KEPT_REPORTS:
+        # more batches than reports are kept: the sink's own count
+        return spark.read.parquet(target).count()
+    return sum(done.values())
 
 
-def _sink_rows(spark: SparkSession, target: str) -> int:
-    if not exists(spark, f"{target.rstrip('/')}/_spark_metadata"):
-        return 0
-    return spark.read.parquet(target).count()
+_KEPT_REPORTS = 100     # Spark's default number of progress reports kept

@@ -16,53 +16,27 @@ def test_top_k_tie_break_is_deterministic(spark):
     assert [r.id for r in out.collect()] == [1, 2]
 
 
-def test_cap_rows_keeps_first_n_in_order(spark):
-    df = spark.range(100).repartition(7)
-    assert sorted(r.id for r in A.cap_rows(df, 10, ["id"]).collect()) == list(range(10))
-
-
-def test_hash_sample_deterministic(spark):
-    df = spark.range(20000)
-    a = {r.id for r in A.hash_sample(df, "id", 0.1).collect()}
-    b = {r.id for r in A.hash_sample(df.repartition(5), "id", 0.1).collect()}
-    assert a == b and 1500 < len(a) < 2500
-
-
-def test_bucket_summary(spark):
-    df = spark.createDataFrame([(90, 10.0), (70, 2.0), (60, 1.0), (None, 5.0)], "r int, v double")
-    b = F.when(F.col("r") >= 85, "hi").otherwise("lo")
-    out = {r.b: (r.n, r.avg) for r in A.bucket_summary(
-        df.filter(F.col("r").isNotNull()), b, "b",
-        {"n": F.count(F.lit(1)), "avg": F.avg("v")}).collect()}
-    assert out == {"hi": (1, 10.0), "lo": (2, 1.5)}
-
-
 def test_table_counts_total(spark):
     out = {r.table_name: r.row_count for r in A.table_counts(
         {"a": spark.range(3), "b": spark.range(5)}).collect()}
     assert out == {"a": 3, "b": 5, "TOTAL": 8}
 
 
-def test_cap_rows_by_key_equals_plain_top_n(spark):
-    df = spark.range(0, 200000, 3).withColumnRenamed("id", "k").repartition(11)
-    fast = sorted(r.k for r in A.cap_rows(df, 5000, key="k", accuracy=1000).collect())
-    plain = sorted(r.k for r in A.cap_rows(df, 5000, ["k"]).collect())
-    assert fast == plain == list(range(0, 15000, 3))
-    assert A.cap_rows(df, 10**9, key="k").count() == df.count()
-
-
-def test_hash_sample_edges(spark):
-    import pytest
-    df = spark.range(1000)
-    assert A.hash_sample(df, "id", 0.0).count() == 0
-    assert A.hash_sample(df, "id", 1.0).count() == 1000
-    with pytest.raises(ValueError):
-        A.hash_sample(df, "id", 1.5)
-
-
 def test_argument_checks(spark):
     import pytest
     with pytest.raises(ValueError):
         A.table_counts({})
-    with pytest.raises(ValueError):
-        A.cap_rows(spark.range(3), 1)
+
+
+def test_rank_rows_is_a_global_sort(spark):
+    df = spark.range(5000).select("id", ((F.col("id") * 7919) % 100).alias("v")).repartition(7)
+    got = A.rank_rows(df, [F.col("v").desc(), F.col("id").asc()]).collect()
+    want = sorted(((r.id, r.v) for r in df.collect()), key=lambda x: (-x[1], x[0]))
+    assert [(r.id, r.v) for r in sorted(got, key=lambda r: r["rank"])] == want
+    assert sorted(r["rank"] for r in got) == list(range(1, 5001))
+
+
+def test_size_summary(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 1 << 20), ("b", 10)], "g string, length long")
+    got = {r.g: (r.n_files, r.total_bytes, r.empty_files, r.total_mb) for r in A.size_summary(df, "g").collect()}
+    assert got == {"a": (2, 1 << 20, 1, 1.0), "b": (1, 10, 0, 0.0)}

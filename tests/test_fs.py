@@ -11,10 +11,10 @@ def test_fs_helpers(spark, tmp_dir):
     fs.create_marker(spark, marker)
     assert fs.exists(spark, marker)
     assert fs.list_names(spark, os.path.join(tmp_dir, "a", "b")) == ["marker"]
-    assert fs.modification_time(spark, marker) > 0
-    assert fs.modification_time(spark, marker + "x") is None
+    assert fs.total_size(spark, marker) == 0
+    assert fs.total_size(spark, marker + "x") is None
     assert fs.qualify(spark, marker).startswith("file:")
-    with pytest.raises(Exception):
-        fs.create_marker(spark, marker)            # a second claim fails
+    assert not fs.create_marker(spark, marker)
+    assert fs.create_marker(spark, marker + "2", "text") and fs.read_text(spark, marker + "2") == "text"
     assert fs.delete(spark, os.path.join(tmp_dir, "a"))
     assert not fs.exists(spark, marker) and not fs.delete(spark, marker)

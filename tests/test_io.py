@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from strata.sinks.files import write_csv, write_parquet
 from strata.sources.files import read_csv, read_parquet
-from strata.sources.manifest import manifest, prefix_summary
 
 
 def test_csv_quoted_multiline_doubled_quote(spark, tmp_dir):
@@ -16,12 +15,12 @@ def test_csv_quoted_multiline_doubled_quote(spark, tmp_dir):
         f.write("id,name,note\n3,Roe,upper-case suffix\n")
     with open(os.path.join(path, "ignored.txt"), "w") as f:
         f.write("id,name,note\n9,no,no\n")
-    df = read_csv(spark, path)                       # all text, *.csv and *.CSV, recursive
+    df = read_csv(spark, path, multiline=True)                       # all text, *.csv and *.CSV, recursive
     rows = {r.id: r for r in df.collect()}
     assert set(rows) == {"1", "2", "3"}
     assert rows["1"].name == "Smith, J"
     assert rows["1"].note == 'line one\nline "two"'
-    typed = read_csv(spark, path, "id int, name string, note string")
+    typed = read_csv(spark, path, "id int, name string, note string", multiline=True)
     assert sorted(r.id for r in typed.collect()) == [1, 2, 3]
 
 
@@ -34,7 +33,7 @@ def test_write_returns_observed_count(spark, tmp_dir):
 def test_csv_round_trip(spark, tmp_dir):
     df = spark.createDataFrame([(1, 'a "q"\nb', 2.5)], "id long, s string, v double")
     write_csv(df, os.path.join(tmp_dir, "c"))
-    back = read_csv(spark, os.path.join(tmp_dir, "c"), "id long, s string, v double")
+    back = read_csv(spark, os.path.join(tmp_dir, "c"), "id long, s string, v double", multiline=True)
     assert [tuple(r) for r in back.collect()] == [(1, 'a "q"\nb', 2.5)]
 
 
@@ -50,21 +49,6 @@ def test_partitioned_write_prunes_on_read(spark, tmp_dir):
     assert one.count() == df.filter("y = 1997").count()
 
 
-def test_manifest_sees_zero_byte_files(spark, tmp_dir):
-    root = os.path.join(tmp_dir, "bronze")
-    os.makedirs(os.path.join(root, "Transfermarkt"))
-    with open(os.path.join(root, "Transfermarkt", "players.csv"), "w") as f:
-        f.write("a\n1\n")
-    open(os.path.join(root, "Transfermarkt", "clubs.csv"), "w").close()
-    open(os.path.join(root, "top.csv"), "w").close()
-    m = {r.rel_path: r for r in manifest(spark, root).collect()}
-    assert set(m) == {"Transfermarkt/players.csv", "Transfermarkt/clubs.csv", "top.csv"}
-    assert m["Transfermarkt/clubs.csv"].length == 0 and m["Transfermarkt/players.csv"].length == 4
-    assert m["Transfermarkt/players.csv"].prefix == "Transfermarkt" and m["top.csv"].prefix == ""
-    s = {r.prefix: (r.n_files, r.empty_files) for r in prefix_summary(manifest(spark, root)).collect()}
-    assert s == {"Transfermarkt": (2, 1), "": (1, 1)}
-
-
 def test_clear_scratch_removes_only_library_scratch(spark):
     from strata.session import clear_scratch, ensure_checkpoint_dir, scratch_path
     path = scratch_path(spark, "probe")
@@ -86,3 +70,20 @@ def test_cluster_conf_for_100_tb():
     small = cluster_conf(10 << 30, 16, 4 << 30, 4)   # 1 GiB per task -> 128 MiB target
     assert int(small["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 << 20
     assert int(small["spark.sql.shuffle.partitions"]) == 80
+
+
+def test_partitioned_write_has_few_files_per_value(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "by_year")
+    df = spark.range(20000).withColumn("y", (F.col("id") % 5 + 2000).cast("int")).repartition(16)
+    assert write_parquet(df, path, partition_by=["y"]) == 20000
+    files = [f for d in os.listdir(path) if d.startswith("y=") for f in os.listdir(os.path.join(path, d))
+             if f.endswith(".parquet")]
+    assert 5 <= len(files) <= 10               # not one per task and year
+
+
+def test_new_column_in_an_old_folder_is_seen(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    spark.range(3).write.parquet(path)
+    assert read_parquet(spark, path).columns == ["id"]
+    spark.range(3).withColumn("x", F.lit(1)).write.mode("overwrite").parquet(path)
+    assert set(read_parquet(spark, path).columns) == {"id", "x"}

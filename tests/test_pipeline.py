@@ -81,7 +81,8 @@ def _bronze(root, skip=(), empty=()):
 
 def _cfg(tmp):
     return P.PipelineConfig(bronze=os.path.join(tmp, "bronze"), silver=os.path.join(tmp, "silver"),
-                            gold=os.path.join(tmp, "gold"), as_of=D(2026, 1, 1))
+                            gold=os.path.join(tmp, "gold"), as_of=D(2026, 1, 1),
+                            multiline=frozenset({"players"}))      # one of its fields has a line break
 
 
 @pytest.fixture(scope="module")
@@ -196,20 +197,51 @@ def test_rules_refuse_a_bad_version(spark, tmp_dir):
         publish(df, os.path.join(tmp_dir, "dim"), rules=rules_for("dim_player", df.columns))
 
 
-def test_single_line_datasets_give_same_silver(spark, tmp_dir):
+def test_multi_line_for_all_gives_same_silver(spark, tmp_dir):
     cfg = _cfg(tmp_dir)
     _bronze(cfg.bronze)
-    cfg.multiline = frozenset({"players"})        # only players has a quoted line break
+    cfg.multiline = frozenset(P.RAW_FILES)
     counts = P.bronze_to_silver(spark, cfg)
     assert counts == {"players": 11, "player_valuations": 11, "clubs": 3, "competitions": 3,
                       "appearances": 4, "fifa_players": 3}
 
 
+def test_left_out_rows_are_counted(spark, gold):
+    cfg, _ = gold
+    got = {(r.dataset, r.reason): r.n_rows for r in spark.read.parquet(f"{cfg.silver}/rejected").collect()}
+    assert got == {("players", "player_id unreadable"): 1, ("player_valuations", "player_id unreadable"): 1,
+                   ("player_valuations", "value not positive"): 2, ("appearances", "player_id unreadable"): 1}
+
+
+def test_wide_and_broken_ids_and_dates(spark):
+    players = spark.createDataFrame(
+        [("3000000000",), ("5",), ("5.2",), ("5.0",), ("x",)], "player_id string").selectExpr(
+        "player_id", "'n' AS name", "'p' AS position", "'c' AS country_of_citizenship", "'' AS date_of_birth",
+        "'' AS height_in_cm", "'' AS foot", "'' AS current_club_id", "'' AS last_season")
+    assert sorted(r.player_id for r in P.clean_players(players, D(2026, 1, 1)).collect()) == [5, 3000000000]
+    assert [tuple(r) for r in P.reject_counts(players, "players").collect()] == [("players", "player_id unreadable", 2)]
+    vals = spark.createDataFrame([("1", "bad"), ("1", "worse"), ("1", "2020-01-01")], "player_id string, date string").selectExpr(
+        "*", "'5' AS market_value_in_eur", "'' AS current_club_id", "'' AS player_club_domestic_competition_id")
+    assert P.clean_valuations(vals).count() == 1
+    assert [r.n_rows for r in P.reject_counts(vals, "player_valuations").collect()] == [2]
+
+
+def test_cleaning_reads_only_what_it_uses(spark, tmp_dir):
+    """Unused raw columns stay out of the scan and of the shuffle."""
+    raw = spark.range(3).selectExpr(
+        "id AS player_id", "'n' AS name", "'p' AS position", "'c' AS country_of_citizenship", "'' AS date_of_birth",
+        "'' AS height_in_cm", "'' AS foot", "'' AS current_club_id", "'' AS last_season", "'u' AS unused_text")
+    path = os.path.join(tmp_dir, "raw")
+    raw.write.parquet(path)
+    plan = P.clean_players(spark.read.parquet(path), D(2026, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    assert "unused_text" not in plan
+
+
 def test_command_line_run(spark, tmp_dir, capsys):
     cfg = _cfg(tmp_dir)
     _bronze(cfg.bronze)
     P.main(["run", "--bronze", cfg.bronze, "--silver", cfg.silver, "--gold", cfg.gold,
-            "--rules", "raise", "--single-line", "clubs", "competitions"])
+            "--as-of", "2026-01-01", "--rules", "raise", "--multi-line", "players"])
     out = capsys.readouterr().out
     assert "fact_player_value" in out and "TOTAL" in out
 
@@ -221,69 +253,32 @@ def test_recorded_report_equals_recomputed(spark, gold):
     assert recorded == recomputed
 
 
-# analyst questions of the kind asked of the gold tables (value by position, the
-# eight best ages and leagues, value per rating level, the ten most valuable
-# players), written as plain SQL text over the table names
-ANALYST_SQL = {
-    "position": """
-        SELECT position, player_count, ROUND(avg_market_value) AS mean_value,
-               ROUND(max_market_value) AS top_value, ROUND(avg_fifa_rating, 1) AS mean_rating
-        FROM agg_value_by_position
-        WHERE position IS NOT NULL
-        ORDER BY avg_market_value DESC""",
-    "age": """
-        SELECT age, player_count, ROUND(avg_market_value) AS mean_value
-        FROM agg_value_by_age
-        ORDER BY avg_market_value DESC
-        LIMIT 8""",
-    "league": """
-        SELECT competition_name, league_country, player_count,
-               ROUND(avg_market_value) AS mean_value, ROUND(avg_fifa_rating, 1) AS mean_rating
-        FROM agg_value_by_league
-        ORDER BY avg_market_value DESC
-        LIMIT 8""",
-    "rating": """
-        SELECT level, COUNT(*) AS players, ROUND(AVG(latest_market_value)) AS mean_value
-        FROM (SELECT latest_market_value,
-                     CASE WHEN overall_rating >= 85 THEN 'a: 85 and up'
-                          WHEN overall_rating >= 75 THEN 'b: 75 to 84'
-                          WHEN overall_rating >= 65 THEN 'c: 65 to 74'
-                          ELSE 'd: below 65' END AS level
-              FROM fact_player_value
-              WHERE overall_rating IS NOT NULL) rated
-        GROUP BY level
-        ORDER BY level""",
-    "top10": """
-        SELECT player_name, position, nationality, age, latest_market_value, competition_name,
-               overall_rating
-        FROM fact_player_value
-        ORDER BY latest_market_value DESC
-        LIMIT 10""",
+# questions over several gold tables, as SQL text over their names
+GOLD_SQL = {
+    "nations_by_scorers": """
+        SELECT d.nationality, SUM(f.total_goals) AS goals, COUNT(DISTINCT f.competition_name) AS leagues
+        FROM dim_player d JOIN fact_player_value f USING (player_id)
+        GROUP BY d.nationality HAVING SUM(f.total_goals) IS NOT NULL""",
+    "unvalued_players": """
+        SELECT d.player_id FROM dim_player d LEFT ANTI JOIN fact_player_value f USING (player_id)""",
+    "leagues_and_clubs": """
+        SELECT c.competition_name, COUNT(k.club_id) AS clubs, SUM(k.squad_size) AS squad
+        FROM dim_competition c LEFT JOIN dim_club k ON k.domestic_competition_id = c.competition_id
+        GROUP BY c.competition_name""",
+    "share_of_position": """
+        SELECT f.player_id, f.latest_market_value / (a.avg_market_value * a.player_count) AS share
+        FROM fact_player_value f JOIN agg_value_by_position a USING (position) WHERE f.position = 'Attack'""",
 }
 
 
-def test_analyst_sql_runs_on_gold_views(spark, gold):
+def test_sql_over_gold_views(spark, gold):
     cfg, _ = gold
     P.register_gold_views(spark, cfg.gold)
-    out = {k: spark.sql(q).collect() for k, q in ANALYST_SQL.items()}
-    assert [r.position for r in out["position"]] == ["Attack", "Goalkeeper", "Defender"]
-    assert [r.age for r in out["age"]][:1] == [40]
-    assert out["league"][0].competition_name == "Ligue 1"
-    assert {r.level: r.players for r in out["rating"]} == {"a: 85 and up": 1, "c: 65 to 74": 1}
-    assert out["top10"][0].latest_market_value == 2000000.0 and len(out["top10"]) == 8
-
-
-def test_salted_run_equals_plain_run(spark, gold, tmp_dir):
-    cfg, _ = gold
-    cfg2 = _cfg(tmp_dir)
-    cfg2.salt_buckets = 4
-    _bronze(cfg2.bronze)
-    P.bronze_to_silver(spark, cfg2)
-    P.silver_to_gold(spark, cfg2)
-    for t in ("dim_player", "fact_player_value", "agg_value_by_position"):
-        a = sorted(map(tuple, _read(spark, cfg, t).collect()), key=repr)
-        b = sorted(map(tuple, _read(spark, cfg2, t).collect()), key=repr)
-        assert a == b, t
+    out = {k: sorted(map(tuple, spark.sql(q).collect())) for k, q in GOLD_SQL.items()}
+    assert out["nations_by_scorers"] == [("France", 3, 1), ("Spain", 0, 1)]
+    assert out["unvalued_players"] == [(3,), (4,), (5,)]
+    assert out["leagues_and_clubs"] == [("LaLiga", 1, 24), ("Ligue 1", 1, 25), ("Serie A", 1, None)]
+    assert [(i, round(s, 4)) for i, s in out["share_of_position"]] == [(1, 0.4286), (6, 0.5714)]
 
 
 def test_rules_on_table_derived_raw_files(spark, tmp_dir):

@@ -16,7 +16,7 @@ def q():
 
 
 def test_latest_per_key_limits_before_shuffle(spark, q):
-    plan = plan_text(q["latest_per_key"](spark, SF))
+    plan = plan_text(q["latest_per_key_first"](spark, SF))
     assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
     # the partial limit sits below the exchange
     assert plan.index("Partial") > plan.index("Exchange")

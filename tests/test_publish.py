@@ -21,11 +21,14 @@ def test_empty_frame_raises_and_keeps_old_version(spark, tmp_dir):
     assert read_published(spark, target).count() == 5
 
 
-def test_failure_between_stage_and_switch_keeps_old(spark, tmp_dir):
+def test_failure_between_stage_and_switch_keeps_old(spark, tmp_dir, monkeypatch):
     target = os.path.join(tmp_dir, "t")
     first = publish(spark.range(5), target)
-    with pytest.raises(PublishError):
-        publish(spark.range(7), target, fail_before_commit=True)
+    monkeypatch.setattr("strata.sinks.publish._commit", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        publish(spark.range(7), target)
+    monkeypatch.undo()
+    assert os.listdir(os.path.join(target, "_versions")) == [first.version]     # what was staged is gone
     assert current_version(spark, target) == first.version
     assert read_published(spark, target).count() == 5
 
@@ -62,3 +65,41 @@ def test_count_mismatch_refuses_the_version(spark, tmp_dir, monkeypatch):
     monkeypatch.undo()
     assert current_version(spark, target) == first.version
     assert len(os.listdir(os.path.join(target, "_versions"))) == 1   # the bad version is gone
+
+
+def test_slow_writer_that_commits_last_is_live(spark, tmp_dir, monkeypatch):
+    """The first publish stages first; the second starts and commits while it is held back."""
+    import strata.sinks.publish as P
+
+    target = os.path.join(tmp_dir, "t")
+    real, inner = P._commit, []
+
+    def held(spark_, target_, version):
+        monkeypatch.setattr(P, "_commit", real)
+        inner.append(P.publish(spark.range(3), target))
+        return real(spark_, target_, version)
+
+    monkeypatch.setattr(P, "_commit", held)
+    slow = P.publish(spark.range(9), target)
+    assert (inner[0].number, slow.number) == (1, 2)
+    assert current_version(spark, target) == slow.version
+    assert read_published(spark, target).count() == 9
+
+
+def test_one_number_goes_to_one_writer(spark, tmp_dir, monkeypatch):
+    """Both writers see the same last number; the loser takes the next one."""
+    import strata.sinks.publish as P
+
+    target = os.path.join(tmp_dir, "t")
+    monkeypatch.setattr(P, "_numbers", lambda *a: [])
+    a, b = P.publish(spark.range(1), target), P.publish(spark.range(2), target)
+    monkeypatch.undo()
+    assert (a.number, b.number) == (1, 2) and read_published(spark, target).count() == 2
+
+
+def test_marker_of_a_dead_writer_is_passed_over(spark, tmp_dir):
+    target = os.path.join(tmp_dir, "t")
+    first = publish(spark.range(5), target)
+    open(os.path.join(target, "_commits", "000000000002"), "w").close()
+    assert current_version(spark, target) == first.version
+    assert publish(spark.range(6), target).number == 3

@@ -65,9 +65,11 @@ def test_missing_keys(spark):
 def test_lookup_join_checked_broadcast(spark):
     fact = spark.range(1000).withColumn("k", (F.col("id") % 3).cast("int"))
     dim = spark.createDataFrame([(0, "x"), (1, "y")], "k int, label string")
-    out = S.lookup_join(fact, dim, "k", "left", max_broadcast_rows=10)
+    out = S.lookup_join(fact, dim, "k", "left", max_broadcast_bytes=1000)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert out.filter(F.col("label").isNull()).count() == 333
-    # beyond the bound: no hint is given (the plan is left to Spark)
-    assert not S.rows_at_most(dim, 1)
+    # beyond the bound no hint is given
+    assert S.bytes_of(dim) > 1
+    plan = S.lookup_join(fact, dim, "k", "left", max_broadcast_bytes=1)._jdf.queryExecution().logical().toString()
+    assert "ResolvedHint" not in plan and "UnresolvedHint" not in plan
