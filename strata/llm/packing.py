@@ -11,8 +11,6 @@ each on their own; a null id stays null.  Texts are never cut short.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,26 +22,56 @@ from strata.session import scratch_path
 
 SEQUENCE = 4096
 END_ID = 2
-# Cut at spaces and line ends only: a subset of the white space that the tokenizer drops.
-CHUNK = re.compile(r"[^ \n]+")
-# A word and the stops after it are tokenized apart from each other by the tokenizer's own pattern.
-STOPS = re.compile(r"(.*[A-Za-z0-9])([,.;:!?]+)", re.DOTALL)
+STOPS = ",.;:!?"
 
 _tables: dict[str, WordTable] = {}
 
 
 def load(path: str) -> WordTable:
-    """The ids of white-space separated chunks, by the tokenizers library."""
+    """The ids of chunks without spaces and line ends, by the tokenizers library.
+
+    The tokenizer drops white space and parts a letter or digit from a stop, so a chunk is its stem's ids
+    and those of the stops that end it.  A run of lower-case ASCII letters is one word to it, and the last
+    token of a word ends with ``</w>``: many such runs go to the library as one text, the rest one by one.
+    """
     if path not in _tables:
         from tokenizers import Tokenizer
 
         lib = Tokenizer.from_file(path)
-
-        def encode(chunks: list[str]) -> list[list[int]]:
-            parts = [m.groups() if (m := STOPS.fullmatch(c)) else (c,) for c in chunks]
-            distinct = list({p for own in parts for p in own})
-            ids = dict(zip(distinct, (e.ids for e in lib.encode_batch_fast(distinct, add_special_tokens=False))))
-            return [sum((ids[p] for p in own), []) for own in parts]
+        closes = np.zeros(lib.get_vocab_size() + 1, dtype=bool)
+        for token, i in lib.get_vocab().items():
+            closes[i] = token.endswith("</w>")
+
+        def encode_parts(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            simple = [p.isascii() and p.islower() and p.isalpha() for p in parts]
+            plain = [p for p, s in zip(parts, simple) if s]
+            found = lib.encode_batch_fast([" ".join(plain[i:i + 2000]) for i in range(0, len(plain), 2000)],
+                                          add_special_tokens=False)
+            own = np.concatenate([np.array(e.ids, dtype=np.int32) for e in found] or [np.zeros(0, np.int32)])
+            rest = [e.ids for e in lib.encode_batch_fast([p for p, s in zip(parts, simple) if not s],
+                                                         add_special_tokens=False)]
+            size = np.zeros(len(parts), dtype=np.int64)
+            simple = np.array(simple, dtype=bool)
+            size[simple] = np.diff(np.concatenate(([0], np.flatnonzero(closes[own]) + 1)))
+            size[~simple] = [len(ids) for ids in rest]
+            flat = np.empty(int(size.sum()), dtype=np.int32)
+            which = np.repeat(simple, size)
+            flat[which] = own
+            flat[~which] = [i for ids in rest for i in ids]
+            return flat, size
+
+        stems = WordTable(encode_parts)
+
+        def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            parts = []
+            for chunk in chunks:
+                stem = chunk.rstrip(STOPS)
+                if stem and stem[-1].isalnum():
+                    parts += (stem, chunk[len(stem):])
+                else:
+                    parts += (chunk, "")
+            flat, size = stems.ids(parts)
+            return flat, size[0::2] + size[1::2]
 
         _tables[path] = WordTable(encode)
     return _tables[path]
@@ -53,7 +81,9 @@ def tokenize(texts: list[str | None], path: str, end_id: int = END_ID) -> tuple[
     """(ids of all texts in a row, each followed by the end id; offsets)."""
     chunks, count = [], []
     for text in texts:
-        own = CHUNK.findall(text) if text else []
+        if text and "<|" not in text:        # upper case may spell what is a special token in lower case
+            text = text.encode().lower().decode()
+        own = text.replace("\n", " ").split(" ") if text else []
         chunks += own
         count.append(len(own))
     ids, size = load(path).ids(chunks)
@@ -87,7 +117,7 @@ PIECE = "start long, length long, doc_tokens long, ids binary"
 def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int = SEQUENCE,
               end_id: int = END_ID) -> DataFrame:
     """A row per piece: every column of ``df`` but the text, and ``PIECE`` (ids: little-endian unsigned 32-bit)."""
-    rest = df.drop(text)
+    rest = C.without(df.drop(text), ["start", "length", "doc_tokens", "ids"])
     n_kept = len(rest.columns)
 
     def run(batches):
@@ -106,7 +136,7 @@ def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int =
                     columns + [pa.array(start), pa.array(length), pa.array(n[doc]), body.cast(pa.binary())],
                     names=part.schema.names[:n_kept] + ["start", "length", "doc_tokens", "ids"])
 
-    types = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema] + [PIECE])
+    types = ", ".join(filter(None, [C.types_of(rest), PIECE]))
     return df.select(*rest.columns, F.col(text).alias("__text")).mapInArrow(run, types)
 
 

@@ -101,14 +101,14 @@ class PieceModel:
         self.leads_with_space = np.array([p.startswith(SPACE) and not byte[i] for i, p in enumerate(pieces)])
 
     # ------------------------------------------------------------------ encoding
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all words in a row, how many each word has)."""
         get = self.symbol.get
         flat = [get(ch, -1 - ord(ch)) for w in words for ch in w]      # unknown: minus its code point
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
         symbols, word = self._merge(np.array(flat, dtype=np.int64), word)
         ids, word = self._as_ids(symbols, word)
-        cut = np.searchsorted(word, np.arange(1, len(words)))
-        return np.split(ids, cut)
+        return ids, np.bincount(word, minlength=len(words)).astype(np.int64)
 
     def _merge(self, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         done: list[tuple[np.ndarray, np.ndarray]] = []
@@ -249,13 +249,9 @@ def encode_texts(texts: list[str | None], path: str) -> tuple[np.ndarray, np.nda
     return ids, lead[np.concatenate(([0], np.cumsum(count)))]
 
 
-def _types(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-
-
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Every column of ``df`` but the text, and the text's ids."""
-    rest = df.drop(text)
+    rest = C.without(df.drop(text), [out])
     n = len(rest.columns)
 
     def run(batches):
@@ -265,12 +261,13 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
                 added = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(ids, type=pa.int32()))
                 yield pa.RecordBatch.from_arrays(part.columns[:n] + [added], names=part.schema.names[:n] + [out])
 
-    types = ", ".join(filter(None, [_types(rest), f"`{out}` array<int>"]))
+    types = ", ".join(filter(None, [C.types_of(rest), f"`{out}` array<int>"]))
     return df.select(*rest.columns, F.col(text).alias("__text")).mapInArrow(run, types)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Every column of ``df`` and the text of its ids (null: empty)."""
+    df = C.without(df, [out])
     place = df.columns.index(ids)
 
     def run(batches):
@@ -286,4 +283,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
                 yield pa.RecordBatch.from_arrays(part.columns + [pa.array(texts, type=pa.string())],
                                                  names=part.schema.names + [out])
 
-    return df.mapInArrow(run, f"{_types(df)}, `{out}` string")
+    return df.mapInArrow(run, f"{C.types_of(df)}, `{out}` string")

@@ -1,7 +1,7 @@
 """Token ids of words that are met again and again, kept as flat numpy arrays.
 
-A memo, not a limit: once it holds ``most`` words it starts afresh, and words
-of more than ``LONG`` characters are never kept.  Results don't depend on it.
+A memo, not a limit: once it holds ``most`` words it starts afresh.  Results
+don't depend on it.
 """
 
 from __future__ import annotations
@@ -11,11 +11,11 @@ from itertools import repeat
 
 import numpy as np
 
-LONG = 200
-
 
 class WordTable:
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 400_000):
+    """``encode`` gives (the ids of all words in a row, how many each word has)."""
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
         self.encode, self.most = encode, most
         self._clear()
 
@@ -27,42 +27,30 @@ class WordTable:
         self.n = self.used = 0
 
     def _add(self, words: list[str]) -> None:
-        for word, ids in zip(words, self.encode(words)):
-            k = len(ids)
-            while self.used + k > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            if self.n == len(self.start):
-                self.start = np.concatenate((self.start, np.zeros_like(self.start)))
-                self.size = np.concatenate((self.size, np.zeros_like(self.size)))
-            self.flat[self.used:self.used + k] = ids
-            self.start[self.n], self.size[self.n] = self.used, k
-            self.index[word] = self.n
-            self.n, self.used = self.n + 1, self.used + k
+        ids, sizes = self.encode(words)
+        n, used = self.n + len(words), self.used + len(ids)
+        if used > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(max(used, len(self.flat)), dtype=np.int32)))
+        if n > len(self.start):
+            more = np.zeros(max(n, len(self.start)), dtype=np.int64)
+            self.start, self.size = np.concatenate((self.start, more)), np.concatenate((self.size, more))
+        self.flat[self.used:used] = ids
+        self.size[self.n:n] = sizes
+        self.start[self.n:n] = self.used + np.cumsum(sizes) - sizes
+        self.index.update(zip(words, range(self.n, n)))
+        self.n, self.used = n, used
 
     def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all words in a row, how many each word has)."""
         at = np.fromiter(map(self.index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        if len(at) and at.min() < 0:
-            if self.n > self.most:
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            if self.n > self.most or self.used > 8 * self.most:
                 self._clear()
-                missing = set(words)
-            else:
-                missing = {words[i] for i in np.flatnonzero(at < 0)}
-            self._add(sorted(missing))
-            at = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-            out = self._gather(at)
-            for word in [w for w in missing if len(w) > LONG]:
-                del self.index[word]          # their ids stay in the arrays until the next fresh start
-                self.most_used()
-            return out
-        return self._gather(at)
-
-    def most_used(self) -> None:
-        if self.used > 16 * self.most:
-            self._clear()
-
-    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                missing = np.arange(len(words))
+            absent = [words[i] for i in missing.tolist()]
+            self._add(list(dict.fromkeys(absent)))
+            at[missing] = np.fromiter(map(self.index.__getitem__, absent), dtype=np.int64, count=len(absent))
         size = self.size[at]
         lead = np.cumsum(size) - size
-        total = int(size.sum())
-        return self.flat[np.repeat(self.start[at] - lead, size) + np.arange(total)], size
+        return self.flat[np.repeat(self.start[at] - lead, size) + np.arange(int(size.sum()))], size
