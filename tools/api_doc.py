@@ -16,7 +16,7 @@ sys.path.insert(0, ROOT)
 MODULES = [
     "strata.functions.scalar", "strata.operators.clean", "strata.operators.star",
     "strata.operators.aggregate", "strata.operators.quality", "strata.sources.files",
-    "strata.sources.manifest", "strata.sinks.files", "strata.sinks.publish",
+    "strata.sinks.files", "strata.sinks.publish",
     "strata.sinks.landing", "strata.streaming.ingest", "strata.plans.gold",
     "strata.plans.rules", "strata.plans.pipeline", "strata.plans.raw_from_tables",
     "strata.session",

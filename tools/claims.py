@@ -20,7 +20,7 @@ from strata.plans.catalog import ORDERS_CSV_SCHEMA  # noqa: E402
 from strata.session import local_session, scratch_path  # noqa: E402
 from strata.sinks.files import write_csv, write_parquet  # noqa: E402
 from strata.sources.files import read_csv, read_parquet, table  # noqa: E402
-from strata.sources.manifest import list_files  # noqa: E402
+from strata.sources.fs import total_size  # noqa: E402
 
 
 def _best(fn, n=3):
@@ -40,7 +40,7 @@ def main() -> None:
     write_csv(o, csv_dir)
     write_parquet(o, pq_dir)
     write_parquet(o.withColumn("o_year", F.year("o_orderdate")), part_dir, partition_by=["o_year"])
-    size = {k: sum(f[2] for f in list_files(spark, p)) for k, p in
+    size = {k: total_size(spark, p) for k, p in
             (("csv", csv_dir), ("parquet", pq_dir))}
 
     def noop(df):
