@@ -6,12 +6,13 @@
    bits set twice vanish and the XOR of two sketches holds the samples that differ:
    from its population count follows how many, and so the similarity.
 2. Texts with one digest are one set; its smallest id stands for it from here on.
-3. Sets that share a band are candidates.  First each set is compared with the
-   smallest and largest id of its bands; that joins most of a group of copies, of
-   any size, by as many comparisons as it has members.  Then sets that share a band
-   but aren't joined yet are compared with all others of the band, in blocks.
+3. Sets that share a band are candidates.  In ``STARS`` rounds each set is compared
+   with two members of each of its bands (other ones each round) unless it is
+   joined to them already; that joins most of a group of copies, of any size, by a
+   few comparisons per member and band.  Sets that share a band and aren't joined
+   then are compared with all others of the band, in blocks, by larger sketches.
 4. The sketches drop candidates whose estimate is so low that a similarity at the
-   threshold is out of the question (``SLACK``); all others are confirmed or
+   threshold is out of the question (``Sketch.most``); all others are confirmed or
    dropped by their full sets.
 
 At a similarity of 0.8 a pair shares no band with probability
@@ -24,6 +25,8 @@ smallest digest makes its links.  A null id takes part in no link.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,20 +38,36 @@ from strata.llm.components import components, written
 SHINGLE = 4
 SHARE = 80                       # percent of the union that two linked sets have in common, at least
 ROWS, BANDS = 4, 25
-SAMPLES = ROWS * BANDS
-BITS = 512                       # of an odd sketch
-#: Samples that may differ beyond the share that the threshold gives before a pair is dropped unconfirmed:
-#: at 0.8 20 of 100 samples differ, with a standard deviation of 4; 52 are 8 deviations away.
-MOST_DIFFERENT = 52
+STARS = 3
 BLOCK = 1024                     # members of a band that are compared as one block
 
 _rng = np.random.default_rng(104729)
-_MULTIPLY = _rng.integers(1, 2**63, SAMPLES, dtype=np.uint64) | np.uint64(1)
-_ADD = _rng.integers(0, 2**63, SAMPLES, dtype=np.uint64)
+_MULTIPLY = _rng.integers(1, 2**63, 1024, dtype=np.uint64) | np.uint64(1)
+_ADD = _rng.integers(0, 2**63, 1024, dtype=np.uint64)
+
+
+@dataclass(frozen=True)
+class Sketch:
+    """An odd sketch of ``samples`` MinHash samples in ``bits`` bits."""
+    samples: int
+    bits: int
+
+    @property
+    def most(self) -> int:
+        """The largest XOR population count that is kept: six standard deviations above a pair at the threshold.
+
+        Sets that differ in d samples are 2d coin flips apart, and each bit differs with (1 - exp(-4 d / bits)) / 2;
+        d varies, and so do the bits.
+        """
+        apart = self.samples * (1 - SHARE / 100)
+        same = np.exp(-4 * apart / self.bits)
+        expected = self.bits * (1 - same) / 2
+        by_samples = (2 * same) ** 2 * apart * SHARE / 100
+        by_bits = expected * (1 + same) / 2
+        return int(expected + 6 * (by_samples + by_bits) ** 0.5)
 
-# The largest XOR population count that is kept: sketches of sets of n samples that differ in d of them
-# are 2d coin flips apart, and each of BITS bits differs with (1 - exp(-4 d / BITS)) / 2.
-SLACK = int(BITS * (1 - np.exp(-4 * MOST_DIFFERENT / BITS)) / 2) + 40
+
+SMALL, LARGE = Sketch(ROWS * BANDS, 512), Sketch(1024, 2048)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,16 +90,16 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), np.concatenate(([0], np.cumsum(size)))
 
 
-def signatures(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(values: np.ndarray, offsets: np.ndarray, sketch: Sketch) -> tuple[np.ndarray, np.ndarray]:
     """(MinHash samples, odd sketches as bytes) of each set; rows of empty sets are zero."""
-    n = len(offsets) - 1
-    samples = np.zeros((n, SAMPLES), dtype=np.uint64)
+    n, k = len(offsets) - 1, sketch.samples
+    samples = np.zeros((n, k), dtype=np.uint64)
     full = np.flatnonzero(np.diff(offsets) > 0)
     if len(full):
-        for i in range(SAMPLES):
+        for i in range(k):
             samples[full, i] = np.minimum.reduceat(values * _MULTIPLY[i] + _ADD[i], offsets[full])
-    place = C.mix(samples + _ADD[::-1][None, :]) % np.uint64(BITS)
-    parity = np.zeros((n, BITS), dtype=np.uint8)
+    place = C.mix(samples + _ADD[k - 1::-1][:k][None, :]) % np.uint64(sketch.bits)
+    parity = np.zeros((n, sketch.bits), dtype=np.uint8)
     np.bitwise_xor.at(parity, (np.arange(n)[:, None], place.astype(np.int64)), 1)
     parity[np.diff(offsets) == 0] = 0
     return samples, np.packbits(parity, axis=1)
@@ -103,7 +122,7 @@ def sketch(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in C.slices([batch], "text"):
                 values, offsets = shingles(*C.flat(part.column(1)))
-                samples, parity = signatures(values, offsets)
+                samples, parity = signatures(values, offsets, SMALL)
                 grouped = samples.reshape(len(samples), BANDS, ROWS)
                 key = C.mix(np.arange(BANDS, dtype=np.uint64)[None, :] + np.uint64(1))
                 key = np.broadcast_to(key, grouped.shape[:2]).copy()
@@ -119,48 +138,49 @@ def sketch(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>")
 
 
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those whose sketches don't rule them out."""
-    one = sets.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
-    two = sets.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    joined = pairs.join(one, "a").join(two, "b")
-
-    def keep(batches):
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64)
-                        for c in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= SLACK))
-
-    return joined.select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long")
-
-
-def confirm(pairs: DataFrame, docs: DataFrame, share: int = SHARE) -> DataFrame:
-    """Of pairs (a, b) of document ids those whose full shingle sets reach the share.
-
-    Only texts of documents in pairs move, and their sets are made once.
-    """
-    pairs = written(pairs.distinct(), "pairs")
-    used = written(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(),
-                   "in-pairs")
-
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, members and large sketch of the documents in ``ids`` (doc_id); only their texts move."""
     def run(batches):
         for batch in batches:
             for part in C.slices([batch], "text"):
                 values, offsets = shingles(*C.flat(part.column(1)))
+                _, parity = signatures(values, offsets, LARGE)
                 cut = pa.array(offsets * 8, type=pa.int64())
                 sets = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
                                              [None, cut.buffers()[1], pa.py_buffer(values.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sets.cast(pa.binary()), pa.array(_digests(values, offsets), type=pa.binary())],
-                    names=["id", "members", "digest"])
+                    [part.column(0), sets.cast(pa.binary()), pa.array([p.tobytes() for p in parity]),
+                     pa.array(_digests(values, offsets), type=pa.binary())], names=["id", "members", "sketch", "digest"])
+
+    texts = C.as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(ids, "doc_id", "left_semi")
+    sets = texts.select("doc_id", "text").mapInArrow(run, "id long, members binary, sketch binary, digest binary")
+    return sets.groupBy("id").agg(F.min_by(F.struct("members", "sketch"), "digest").alias("s")).select("id", "s.*")
+
+
+def _paired(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """a, b and ``column`` of both, of pairs (a, b)."""
+    one = values.select(F.col("id").alias("a"), F.col(column).alias("x"))
+    two = values.select(F.col("id").alias("b"), F.col(column).alias("y"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those that their small sketches don't rule out."""
+    def keep(batches):
+        for batch in batches:
+            if batch.num_rows:
+                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SMALL.bits // 64)
+                        for c in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array(np.bitwise_count(a ^ b).sum(axis=1) <= SMALL.most))
+
+    return _paired(pairs, sets, "sketch").mapInArrow(keep, "a long, b long")
 
-    texts = C.as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(used, "doc_id", "left_semi")
-    sets = (texts.select("doc_id", "text").mapInArrow(run, "id long, members binary, digest binary")
-            .groupBy("id").agg(F.min_by("members", "digest").alias("members")))
-    sets = written(sets, "sets")
-    joined = (pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("ma")), "a")
-              .join(sets.select(F.col("id").alias("b"), F.col("members").alias("mb")), "b"))
+
+def confirm(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
+    """Of pairs (a, b) those whose full sets (id, members) reach the share."""
+    pairs = written(pairs.distinct(), "pairs")
+    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    sets = written(sets.select("id", "members").join(used, "id", "left_semi"), "sets-in-pairs")
 
     def check(batches):
         for batch in batches:
@@ -171,11 +191,30 @@ def confirm(pairs: DataFrame, docs: DataFrame, share: int = SHARE) -> DataFrame:
                 good[i] = 100 * both >= share * (len(x) + len(y) - both) and both > 0
             yield batch.select([0, 1]).filter(pa.array(good))
 
-    return joined.select("a", "b", "ma", "mb").mapInArrow(check, "a long, b long")
+    return _paired(pairs, sets, "members").mapInArrow(check, "a long, b long")
+
+
+def _labelled(member: DataFrame, label: DataFrame | None) -> DataFrame:
+    """key, id, label of the members of bands that hold several components still."""
+    if label is None:
+        return member.select("key", "id", F.col("id").alias("label"))
+    both = member.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
+    both = written(both, "labelled")
+    mixed = both.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("key")
+    return both.join(written(mixed, "mixed-bands"), "key")
+
+
+def _star(member: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b) of each member with two members of its band that it isn't joined to."""
+    own = F.struct(F.xxhash64(F.lit(number), "id").alias("h"), "id", "label") if number else F.struct("id", "label")
+    ends = written(member.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")), "star-centres")
+    return (member.join(ends, "key").select("id", "label", F.explode(F.array("low", "high")).alias("to"))
+            .filter("label <> to.label")
+            .select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct())
 
 
 def _across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one band but of different components whose sketches don't rule them out.
+    """Pairs (a, b) of one band but of different components whose large sketches don't rule them out.
 
     ``members`` has key, id, label, sketch, of bands with several labels.  A band's members are dealt to blocks of
     about ``BLOCK``; each pair of blocks is a group of its own, so that no task needs more than two blocks.
@@ -197,7 +236,7 @@ def _across(members: DataFrame) -> DataFrame:
         for at in left.tolist():
             to = right[right > at] if i == j else right
             to = to[labels[to] != labels[at]]
-            near = to[np.bitwise_count(bits[to] ^ bits[at]).sum(axis=1) <= SLACK]
+            near = to[np.bitwise_count(bits[to] ^ bits[at]).sum(axis=1) <= LARGE.most]
             found.append((np.full(len(near), ids[at]), ids[near]))
         a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
         return np.minimum(a, b), np.maximum(a, b)
@@ -231,23 +270,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sets = written(full.join(one, "digest").filter("doc_id = id").dropDuplicates(["digest"])
                    .select("id", "sketch", "bands"), "distinct-sets")
     banded = sets.select("id", F.explode("bands").alias("key"))
-    shared = written(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high"),
-                     "shared-bands")
-    member = written(banded.join(shared, "key"), "band-members")
-    anchored = member.select("id", F.explode(F.array("low", "high")).alias("other")).filter("id <> other").select(
-        F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-    links = written(confirm(_alike(anchored, sets), docs), "links")
-    label = written(components(links), "first-components")
+    shared = written(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+                     .select("key"), "shared-bands")
+    member = written(banded.join(shared, "key").select("key", "id"), "band-members")
+    full_set = written(full_sets(docs, member.select(F.col("id").alias("doc_id")).distinct()), "full-sets")
+    links = tried = label = None
+    for number in range(STARS):
+        pairs = _alike(_star(_labelled(member, label), number), sets)
+        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        more = written(confirm(pairs, full_set), "links")
+        links = more if links is None else links.unionByName(more)
+        label = written(components(links), "star-components")
     # bands that hold several components still: their members are compared across
-    member = (member.select("id", "key").join(label, "id", "left")
-              .select("key", "id", F.coalesce("component", "id").alias("label")))
-    member = written(member, "labelled")
-    mixed = written(member.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h")
-                    .select("key"), "mixed-bands")
-    left = member.join(mixed, "key").join(sets.select("id", "sketch"), "id")
+    left = _labelled(member, label).join(full_set.select("id", "sketch"), "id")
     pairs = written(_across(left), "across")
-    done = anchored.select("a", "b")
-    more = confirm(pairs.join(done, ["a", "b"], "left_anti"), docs)
+    more = confirm(pairs.join(tried, ["a", "b"], "left_anti"), full_set)
     final = written(components(links.unionByName(more).unionByName(same.select("a", "b"))), "components")
     return rows.select("doc_id", "n_shingles").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
