@@ -6,10 +6,10 @@
    bits set twice vanish and the XOR of two sketches holds the samples that differ:
    from its population count follows how many, and so the similarity.
 2. Texts with one digest are one set; its smallest id stands for it from here on.
-3. Sets that share a band are candidates.  In ``STARS`` rounds each set is compared
-   with two members of each of its bands (other ones each round) unless it is
-   joined to them already; that joins most of a group of copies, of any size, by a
-   few comparisons per member and band.  Sets that share a band and aren't joined
+3. Sets that share a band are candidates.  In ``STARS`` rounds, each over its share
+   of the bands, a set is compared with two members of each of its bands unless it
+   is linked to what they are linked to; that joins most of a group of copies, of
+   any size, by two comparisons per member and band.  Sets that share a band and aren't joined
    then are compared with all others of the band, in blocks, by larger sketches.
 4. The sketches drop candidates whose estimate is so low that a similarity at the
    threshold is out of the question (``Sketch.most``); all others are confirmed or
@@ -195,7 +195,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def _labelled(member: DataFrame, label: DataFrame | None) -> DataFrame:
-    """key, id, label of the members of bands that hold several components still."""
+    """key, id, label of the members of bands that hold several labels still."""
     if label is None:
         return member.select("key", "id", F.col("id").alias("label"))
     both = member.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
@@ -204,6 +204,12 @@ def _labelled(member: DataFrame, label: DataFrame | None) -> DataFrame:
     return both.join(written(mixed, "mixed-bands"), "key")
 
 
+def _least_linked(links: DataFrame) -> DataFrame:
+    """(id, component): the smallest id that each linked id is linked to, or itself."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component"))
+
+
 def _star(member: DataFrame, number: int) -> DataFrame:
     """Pairs (a, b) of each member with two members of its band that it isn't joined to."""
     own = F.struct(F.xxhash64(F.lit(number), "id").alias("h"), "id", "label") if number else F.struct("id", "label")
@@ -269,20 +275,22 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("a"), F.col("id").alias("b"))
     sets = written(full.join(one, "digest").filter("doc_id = id").dropDuplicates(["digest"])
                    .select("id", "sketch", "bands"), "distinct-sets")
-    banded = sets.select("id", F.explode("bands").alias("key"))
+    banded = sets.select("id", F.posexplode("bands").alias("band", "key"))
     shared = written(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
                      .select("key"), "shared-bands")
-    member = written(banded.join(shared, "key").select("key", "id"), "band-members")
+    member = written(banded.join(shared, "key").select("key", "band", "id"), "band-members")
     full_set = written(full_sets(docs, member.select(F.col("id").alias("doc_id")).distinct()), "full-sets")
     links = tried = label = None
     for number in range(STARS):
-        pairs = _alike(_star(_labelled(member, label), number), sets)
+        own = member.filter(F.col("band") % STARS == number)
+        pairs = _alike(_star(_labelled(own, label), number), sets)
         pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         more = written(confirm(pairs, full_set), "links")
         links = more if links is None else links.unionByName(more)
-        label = written(components(links), "star-components")
+        label = written(_least_linked(links), "star-labels")
     # bands that hold several components still: their members are compared across
+    label = written(components(links), "star-components")
     left = _labelled(member, label).join(full_set.select("id", "sketch"), "id")
     pairs = written(_across(left), "across")
     more = confirm(pairs.join(tried, ["a", "b"], "left_anti"), full_set)
