@@ -6,6 +6,9 @@ block asks about a sorted set of distinct keys, cut into buckets by key range,
 and every bucket's task answers, key by key: does it occur more than once in
 all blocks, is this the first block that has it, is it frequent.
 
+What a block works out in the first round and needs again (where its samples
+lie) it keeps as an answer to itself.
+
 A key goes once per block, however often the block has it, so a key that half
 of all rows share costs as many entries as there are blocks.  A block's answers
 are a few bits per key.  Blocks are written first, so that a lost task finds
@@ -34,7 +37,11 @@ Keys = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]     # kind -> (keys,
 
 
 class Blocks:
-    """The blocks of a table, kept where later rounds read them without moving them again."""
+    """The blocks of a table, kept on the executors' disks, where later rounds read them without moving them again.
+
+    A lost executor's blocks are read again from the shared folder.  Results are lazy, so what is kept goes with
+    the session or with ``spark.catalog.clearCache()``.
+    """
 
     def __init__(self, df: DataFrame, text: str = "text"):
         def run(batches):
@@ -97,11 +104,19 @@ class Blocks:
                     a, b = at[bucket], at[bucket + 1]
                     out.append((kind, bucket, block, key[a:b].tobytes(), second[a:b].astype(np.uint32).tobytes(),
                                 np.minimum(times[a:b], 255).astype(np.uint8).tobytes()))
+            if known.kept_now is not None:
+                out.append((KEPT, 0, block, known.kept_now, b"", b""))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*out), _ASKED)],
                                                  schema=_ASKED)
 
         asked = self.each(question, "kind int, bucket int, block long, keys binary, seconds binary, times binary")
+        if self.answers is None:
+            # the first round also hands each block what it found, for later rounds
+            asked = written(asked, f"{name}-asked")
+            self.told(asked.filter(F.col("kind") == KEPT).select(
+                "block", "kind", "bucket", F.lit(0).alias("n"), F.col("keys").alias("said")), f"{name}-kept")
+            asked = asked.filter(F.col("kind") != KEPT)
 
         def answer(table: pa.Table) -> pa.Table:
             block = np.array(table["block"])
@@ -128,10 +143,7 @@ class Blocks:
 
         self.told(asked.groupBy("kind", "bucket").applyInArrow(answer, ANSWER), name)
 
-    def free(self) -> None:
-        self.table.unpersist()
-
-
+KEPT = -1
 ANSWER = "block long, kind int, bucket int, n int, said binary"
 _ASKED = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()),
                     ("seconds", pa.binary()), ("times", pa.binary())])
@@ -141,7 +153,15 @@ class Answers:
     """What a block was told, by kind: [bucket, number of keys, bits]."""
 
     def __init__(self, known: dict[int, list]):
-        self.known = known
+        self.known, self.kept_now = known, None
+
+    def keep(self, data: bytes) -> None:
+        """In the first round: what later rounds find as ``kept``."""
+        self.kept_now = data
+
+    @property
+    def kept(self) -> bytes:
+        return self.known[KEPT][0][2]
 
     def bits(self, kind: int, planes: int, n: int) -> np.ndarray:
         """``planes`` bits for each of the block's ``n`` keys of this kind, in the keys' order."""

@@ -19,7 +19,7 @@ from strata.llm.blocks import Answers, Blocks, Keys, distinct
 
 WHOLE, CORE, MIDDLE, FULL, PART = range(5)      # kinds of questions
 
-_U = np.uint64
+_U, _W = np.uint64, np.uint32
 
 
 @dataclass(frozen=True)
@@ -33,47 +33,90 @@ class Sizes:
             raise ValueError("middle runs must fit into every window, on one side of its anchor or the other")
 
 
+def order_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """32 bits for every run of ``n`` symbols, in which the smallest is looked for."""
+    out, size, steps = (h >> _U(32)).astype(np.uint32), 1, []
+    while n > 1:
+        steps.append(n)
+        n = (n + 1) // 2
+    for k, target in enumerate(reversed(steps)):
+        m = len(h) - target + 1
+        if m <= 0:
+            return out[:0]
+        out = out[:m] * _W(0x9E3779B1 + 2 * k) + out[target - size:target - size + m]
+        size = target
+    out ^= out >> _W(15)
+    out *= _W(0x2C1B3C6D)
+    out ^= out >> _W(13)
+    return out
+
+
+def run_keys(h: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """64-bit hashes of the runs of ``n`` symbols at ``starts``."""
+    out = np.empty(len(starts), dtype=np.uint64)
+    powers, within = C.powers(n + 1)[1:][::-1], np.arange(n)
+    step = max(1, (1 << 20) // n)
+    for at in range(0, len(starts), step):
+        out[at:at + step] = (h[starts[at:at + step, None] + within] * powers).sum(axis=1, dtype=np.uint64)
+    return C.mix(out + _U(n))
+
+
 class Windows:
-    """The windows of a flat run of symbols that are still in question.
+    """Ranges of window starts ``lo:hi`` that share a run of symbols at ``run``."""
 
-    ``starts`` are the window starts, ``anchors`` their anchors; ``stop`` is, for every symbol, the end of its
-    document.
-    """
+    def __init__(self, h: np.ndarray, sizes: Sizes, run: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+        self.h, self.sizes, self.run, self.lo, self.hi = h, sizes, run, lo, hi
 
-    def __init__(self, h: np.ndarray, stop: np.ndarray, sizes: Sizes):
-        self.h, self.sizes = h, sizes
-        w, core = sizes.window, sizes.core
-        n = len(h) - w + 1
+    @classmethod
+    def sampled(cls, h: np.ndarray, stop: np.ndarray, sizes: Sizes) -> Windows:
+        """All windows by their anchors; ``stop`` is, for every symbol, the end of its document."""
+        w, n = sizes.window, len(h) - sizes.window + 1
+        none = np.zeros(0, np.int64)
         if n <= 0:
-            self.starts = self.anchors = np.zeros(0, np.int64)
-            self.core_keys = np.zeros(0, np.uint64)
-            return
-        g = C.grams(h, core)
-        least = (g >> _U(32) << _U(32)) | np.arange(len(g), dtype=np.uint64)
-        span, reach = w - core + 1, 1
+            return cls(h, sizes, none, none, none)
+        least = order_hashes(h, sizes.core).astype(np.uint64) << _U(32)
+        least |= np.arange(len(least), dtype=np.uint64)
+        span, reach = w - sizes.core + 1, 1
         while 2 * reach <= span:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         least = np.minimum(least[:n], least[span - reach:][:n])
-        self.starts = np.flatnonzero(np.arange(n) + w <= stop[:n])
-        self.anchors = (least[self.starts] & _U(0xFFFFFFFF)).astype(np.int64)
-        self.core_keys = g
+        starts = np.flatnonzero(np.arange(n) + w <= stop[:n])
+        anchors = (least[starts] & _U(0xFFFFFFFF)).astype(np.int64)
+        if not len(starts):
+            return cls(h, sizes, none, none, none)
+        # windows with one anchor follow one another
+        lead = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
+        last = np.concatenate((lead[1:], [len(starts)])) - 1
+        return cls(h, sizes, anchors[lead], starts[lead], starts[last] + 1)
+
+    def packed(self) -> bytes:
+        return np.concatenate((self.run, self.lo, self.hi)).astype(np.int32).tobytes()
+
+    @classmethod
+    def unpacked(cls, h: np.ndarray, sizes: Sizes, data: bytes) -> Windows:
+        run, lo, hi = np.frombuffer(data, np.int32).astype(np.int64).reshape(3, -1)
+        return cls(h, sizes, run, lo, hi)
+
+    def kept(self, which: np.ndarray) -> Windows:
+        return Windows(self.h, self.sizes, self.run[which], self.lo[which], self.hi[which])
+
+    def widened(self) -> Windows:
+        """The same windows by runs of ``middle`` symbols: left of the anchor where that fits, else right of it."""
+        more = self.sizes.middle - self.sizes.core
+        cut = np.clip(self.run - more + 1, self.lo, self.hi)
+        both = Windows(self.h, self.sizes, np.concatenate((self.run - more, self.run)),
+                       np.concatenate((self.lo, cut)), np.concatenate((cut, self.hi)))
+        return both.kept(both.lo < both.hi)
 
-    def core(self) -> tuple[np.ndarray, np.ndarray]:
-        """(key of every sampled anchor, for every window the place of its anchor among them)."""
-        at, place = np.unique(self.anchors, return_inverse=True)
-        return self.core_keys[at], place
+    def keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(keys of the different runs of ``n`` symbols, the place of each range's run among them)."""
+        at, place = np.unique(self.run, return_inverse=True)
+        return run_keys(self.h, at, n), place
 
-    def keep(self, which: np.ndarray) -> None:
-        self.starts, self.anchors = self.starts[which], self.anchors[which]
-
-    def middle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start and key of the middle runs, for every window the place of its run among them)."""
-        more = self.sizes.middle - self.sizes.core
-        run = np.where(self.anchors - self.starts >= more, self.anchors - more, self.anchors)
-        at, place = np.unique(run, return_inverse=True)
-        keys = C.grams(self.h, self.sizes.middle)[at] if len(at) else np.zeros(0, np.uint64)
-        return at, keys, place
+    def starts(self) -> np.ndarray:
+        size = self.hi - self.lo
+        return np.repeat(self.lo, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
 
 
 def whole_keys(texts: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,33 +149,34 @@ class Search:
         """The windows left after the rounds up to kind ``upto``, with what the block holds."""
         data, offsets, h, stop, doc = self.view(rows)
         _, again, look = self.whole(known, data, offsets)
-        windows = Windows(h, stop, self.sizes)
-        keys, place = windows.core()
-        key, _, _, where = distinct(keys)
-        if upto >= CORE:
-            repeated = known.bits(CORE, 3, len(key))[0][where]
-            windows.keep(repeated[place] & look[doc[windows.starts]] if len(place) else np.zeros(0, bool))
-        frequent = np.zeros(len(windows.starts), dtype=bool)
+        windows = Windows.unpacked(h, self.sizes, known.kept)
+        repeated, place = self._told(known, CORE, windows, self.sizes.core)
+        windows = windows.kept(repeated[0][place] & look[doc[windows.lo]]).widened()
+        often = np.zeros(len(windows.lo), dtype=bool)
         if upto >= MIDDLE:
-            _, keys, place = windows.middle()
-            key, _, _, where = distinct(keys)
-            repeated, _, often = known.bits(MIDDLE, 3, len(key))
-            left = repeated[where][place] if len(place) else np.zeros(0, bool)
-            frequent = often[where][place][left] if len(place) else frequent
-            windows.keep(left)
-        return data, offsets, again, windows, frequent
+            told, place = self._told(known, MIDDLE, windows, self.sizes.middle)
+            left = told[0][place]
+            often, windows = told[2][place][left], windows.kept(left)
+        return data, offsets, again, windows, often
+
+    @staticmethod
+    def _told(known: Answers, kind: int, windows: Windows, n: int):
+        keys, place = windows.keys(n)
+        key, _, _, where = distinct(keys)
+        return known.bits(kind, 3, len(key)), where[place]
 
     def first_rounds(self, blocks: Blocks, symbol_bytes: float, frequent: int) -> None:
         """Asks about whole texts and core runs, then about middle runs."""
         def core(rows, known) -> Keys:
             data, offsets, h, stop, _ = self.view(rows)
             asked, _, _ = self.whole(known, data, offsets)
-            keys, _ = Windows(h, stop, self.sizes).core()
-            return {WHOLE: asked, CORE: distinct(keys)[:3]}
+            windows = Windows.sampled(h, stop, self.sizes)
+            known.keep(windows.packed())
+            return {WHOLE: asked, CORE: distinct(windows.keys(self.sizes.core)[0])[:3]}
 
         def middle(rows, known) -> Keys:
             _, _, _, windows, _ = self.windows(rows, known, CORE)
-            return {MIDDLE: distinct(windows.middle()[1])[:3]}
+            return {MIDDLE: distinct(windows.keys(self.sizes.middle)[0])[:3]}
 
         symbols = blocks.n_bytes / symbol_bytes
         density = 2 / (self.sizes.window - self.sizes.core + 2)

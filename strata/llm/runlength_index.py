@@ -134,37 +134,24 @@ class RunLengthIndex:
 
 # ------------------------------------------------------------------ documents
 
-def _fragments(data: np.ndarray, windows, rare: np.ndarray, window: int):
-    """Runs of windows that share a middle run: (key, first start, last start, the windows' fragment), ordered by key."""
-    run_at, keys, place = windows.middle()
-    starts, run = windows.starts[rare], run_at[place[rare]] if len(place) else np.zeros(0, np.int64)
-    if not len(starts):
-        empty = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), empty, empty, empty
-    new = np.concatenate(([True], (run[1:] != run[:-1]) | (starts[1:] != starts[:-1] + 1)))
-    lead = np.flatnonzero(new)
-    last = np.concatenate((lead[1:], [len(starts)])) - 1
-    key = keys[place[rare]][lead]
-    order = np.argsort(key, kind="stable")
-    number = np.cumsum(new) - 1
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    return key[order], starts[lead][order], starts[last][order], rank[number]
-
+def _fragments(data: np.ndarray, windows, window: int):
+    """(key, text, how often) of the different fragments, ordered by key, and each range's place among them.
 
-def _distinct_fragments(data: np.ndarray, key, first, last, window: int):
-    """(key, texts, windows in each, how often, place of every fragment): equal fragments once, ordered by key."""
+    A fragment is the text of a range of windows; its key is that of the middle run that they share.
+    """
+    keys, place = windows.keys(windows.sizes.middle)
+    key = keys[place] if len(place) else np.zeros(0, np.uint64)
     raw = data.tobytes()
     index: dict[bytes, int] = {}
-    place = np.empty(len(key), dtype=np.int64)
     lead: list[int] = []
-    for i, (a, b) in enumerate(zip(first.tolist(), last.tolist())):
-        text = raw[a:b + window]
-        n = index.setdefault(text, len(index))
+    number = np.empty(len(key), dtype=np.int64)
+    order = np.argsort(key, kind="stable")
+    for i in order.tolist():
+        n = index.setdefault(raw[windows.lo[i]:windows.hi[i] - 1 + window], len(index))
         if n == len(lead):
             lead.append(i)
-        place[i] = n
-    return key[lead], list(index), np.bincount(place, minlength=len(index)), place
+        number[i] = n
+    return key[lead], list(index), np.bincount(number, minlength=len(index)), number
 
 
 def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, prefix: str = "") -> DataFrame:
@@ -180,7 +167,7 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, pref
         return data, offsets, C._BYTE[data], np.repeat(offsets[1:], size), np.repeat(np.arange(len(size)), size)
 
     def full_keys(windows, frequent):
-        starts = windows.starts[frequent]
+        starts = windows.kept(frequent).starts()
         if not len(starts):
             return starts, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         second = C.grams(C.mix(windows.h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), window)[starts]
@@ -203,8 +190,7 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, pref
 
     def fragments(block, rows, known):
         data, _, _, windows, frequent = search.windows(rows, known, MIDDLE)
-        key, first, last, _ = _fragments(data, windows, ~frequent, window)
-        key, texts, times, _ = _distinct_fragments(data, key, first, last, window)
+        key, texts, times, _ = _fragments(data, windows.kept(~frequent), window)
         bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
         for b in np.unique(bucket).tolist():
             own = np.flatnonzero(bucket == b).tolist()
@@ -240,16 +226,14 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, pref
         alone, key, second = full_keys(windows, frequent)
         asked, _, _, where = distinct(key, second)
         hit = alone[known.bits(FULL, 3, len(asked))[0][where]] if len(asked) else alone
-        key, first, last, _ = _fragments(data, windows, ~frequent, window)
-        _, texts, _, at = _distinct_fragments(data, key, first, last, window)
+        rare = windows.kept(~frequent)
+        _, texts, _, at = _fragments(data, rare, window)
         size = np.array([len(t) - window + 1 for t in texts], dtype=np.int64)
         lead = np.cumsum(size) - size
         marks = known.bits(PART, 1, int(size.sum()))[0]
-        own = size[at] if len(at) else size
-        flat = np.repeat(lead[at], own) + np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own) \
-            if len(at) else np.zeros(0, np.int64)
-        starts = np.repeat(first, own) + np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own) \
-            if len(at) else np.zeros(0, np.int64)
+        own = rare.hi - rare.lo
+        flat = np.repeat(lead[at] if len(at) else own, own) + np.arange(int(own.sum())) - np.repeat(np.cumsum(own) - own, own)
+        starts = rare.starts()
         change = np.zeros(len(data) + 1, dtype=np.int64)
         for found in (hit, starts[marks[flat]]):
             np.add.at(change, found, 1)

@@ -42,11 +42,11 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, pref
         return data, offsets, words.hashes(), words.stop, words.doc
 
     def full_keys(windows):
-        h, starts = windows.h, windows.starts
+        h, starts = windows.h, windows.starts()
         if not len(starts):
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+            return starts, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         second = C.grams(C.mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), window)[starts]
-        return C.grams(h, window)[starts], (second >> np.uint64(32)).astype(np.uint32)
+        return starts, C.grams(h, window)[starts], (second >> np.uint64(32)).astype(np.uint32)
 
     blocks = Blocks(df, text)
     search = Search(view, sizes)
@@ -54,15 +54,16 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, pref
 
     def full(rows, known):
         _, _, _, windows, _ = search.windows(rows, known, MIDDLE)
-        return {FULL: distinct(*full_keys(windows))[:3]}
+        return {FULL: distinct(*full_keys(windows)[1:])[:3]}
 
     blocks.ask(full, int(blocks.n_bytes / WORD_BYTES / 4), NEVER, "full-answers")
 
     def apply(block, rows, known):
         data, offsets, again, windows, _ = search.windows(rows, known, MIDDLE)
         words = C.Words(data, offsets)
-        key, _, _, where = distinct(*full_keys(windows))
-        starts = windows.starts[known.bits(FULL, 3, len(key))[0][where]] if len(key) else windows.starts[:0]
+        starts, key, second = full_keys(windows)
+        key, _, _, where = distinct(key, second)
+        starts = starts[known.bits(FULL, 3, len(key))[0][where]] if len(key) else starts
         change = np.zeros(len(words) + 1, dtype=np.int64)
         np.add.at(change, starts, 1)
         np.subtract.at(change, starts + window, 1)
