@@ -14,9 +14,12 @@ that the walk made counts.  Walks of alike length thus sample the same steps.
 Each sample is four bits, a hash of step and character.  Likeness is the share
 of equal samples, less what chance gives.
 
-Near documents: bands of sampled fingerprint positions give candidates; each
-document is compared with the smallest document of each of its bands, and
-likeness of at least ``near`` confirms.
+Near documents: bands of sampled fingerprint positions give candidates, and
+likeness of at least ``near`` of two fingerprints links them.  In ``STARS``
+rounds, each over its share of the bands, a fingerprint is compared with two
+members of each of its bands; members of a band that aren't joined then are
+compared with all others of the band, in blocks.  ``near_id`` is the smallest
+id of the component.
 
 Results: null and empty text have the fingerprint of no steps (all zero);
 equal texts have equal fingerprints.  Walks read whole texts.
@@ -31,12 +34,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import common as C
+from strata.llm import near_dedup
+from strata.llm.components import components, written
 from strata.session import scratch_path
 
 SAMPLES = 128
 WAVE = 8 << 20            # characters that walk together
 BLOCK = 2048              # steps whose random bits are drawn together
 BANDS, BAND_SAMPLES = 16, 8
+STARS = 4
+BLOCK_MEMBERS = 4096      # members of a band that are compared as one block
 SEED = 7919
 
 _records: list[np.ndarray] | None = None
@@ -133,13 +140,6 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip((same - 1 / 16) / (15 / 16), 0.0, 1.0)
 
 
-def _samples_of(hexes: list[str]) -> np.ndarray:
-    packed = np.frombuffer(bytes.fromhex("".join(hexes)), dtype=np.uint8).reshape(-1, SAMPLES // 2)
-    out = np.empty((len(packed), SAMPLES), dtype=np.uint8)
-    out[:, 0::2], out[:, 1::2] = packed >> 4, packed & 15
-    return out
-
-
 def fingerprint(df: DataFrame, keep: list[str], text: str = "text", out: str = "fingerprint") -> DataFrame:
     """Columns ``keep`` with each text's fingerprint."""
     keep = C.without(df.select(*keep), [out]).columns
@@ -261,34 +261,121 @@ def band_places() -> list[list[int]]:
 
 
 def near_documents(marks: DataFrame, near: float = 0.8) -> DataFrame:
-    """(fingerprint, near_id) of each fingerprint: the smallest id that it is near to by its bands, or its own.
+    """(fingerprint, near_id) of each fingerprint: the smallest id of its component.
 
     ``marks`` has doc_id and fingerprint.  Equal fingerprints are one, with their
-    smallest id.  In each band a fingerprint is compared with the band's smallest
-    id alone, so that a band of any size costs its rows, not their pairs.
+    smallest id.  Two that share a band and are alike by at least ``near`` are
+    linked; every such pair is compared, unless it is in one component already.
     """
     spark = marks.sparkSession
     one = marks.groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
-    path = scratch_path(spark, "fingerprints")
-    one.write.parquet(path)
-    one = spark.read.parquet(path)
-    keys = F.array(*[F.struct(F.lit(b).alias("band"), F.concat(*[F.substring("fingerprint", p + 1, 1) for p in places])
-                              .alias("key")) for b, places in enumerate(band_places())])
-    banded = one.select("id", F.explode(keys).alias("b")).select("id", "b.band", "b.key")
-    least = banded.groupBy("band", "key").agg(F.min("id").alias("anchor"), F.count("*").alias("n")).filter("n > 1")
-    path = scratch_path(spark, "anchors")
-    least.drop("n").write.parquet(path)
-    least = spark.read.parquet(path)
-    pairs = banded.join(least, ["band", "key"]).filter("id > anchor").select("id", "anchor").distinct()
-    pairs = (pairs.join(one.select("id", F.col("fingerprint").alias("a")), "id")
-             .join(one.select(F.col("id").alias("anchor"), F.col("fingerprint").alias("b")), "anchor"))
+    one = written(one.withColumn("node", F.monotonically_increasing_id()), "fingerprints")
+    values = one.select(F.col("node").alias("id"), F.unhex("fingerprint").alias("mark"))
+    links = spark.createDataFrame([], "a long, b long")
+    label = spark.createDataFrame([], "id long, component long")
+    for number in range(STARS):
+        pairs = _star(_banded(one, label, range(number, BANDS, STARS)), number)
+        links = links.unionByName(written(_alike(near_dedup._paired(pairs, values, "mark"), near), "links"))
+        label = written(near_dedup._least_linked(links), "star-labels")
+    # bands that hold several components still: their members are compared across
+    label = written(components(links), "star-components")
+    left = written(_mixed(_banded(one, label, range(BANDS))), "mixed-members")
+    more = written(_across(left.join(values.withColumnRenamed("id", "node"), "node"), near), "across")
+    final = written(components(links.unionByName(more)), "components")
+    known = one.join(final.withColumnRenamed("id", "node"), "node", "left").select(
+        "fingerprint", "id", F.coalesce("component", "node").alias("component"))
+    least = known.groupBy("component").agg(F.min("id").alias("near_id"))
+    return known.join(least, "component").select("fingerprint", "near_id")
+
+
+def _banded(one: DataFrame, label: DataFrame, bands: range) -> DataFrame:
+    """key, node, label of each fingerprint in each of ``bands``; a key is the band and its samples."""
+    places = band_places()
+    key = lambda b: F.conv(F.concat(*[F.substring("fingerprint", p + 1, 1) for p in places[b]]), 16, 10)
+    keys = F.array(*[key(b).cast("long") + F.lit(b << 4 * BAND_SAMPLES) for b in bands])
+    return (one.join(label.withColumnRenamed("id", "node"), "node", "left")
+            .select("node", F.coalesce("component", "node").alias("label"), F.explode(keys).alias("key")))
+
+
+def _mixed(member: DataFrame) -> DataFrame:
+    """The members of bands that hold several labels, with the band's size."""
+    several = member.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count("*").alias("n"))
+    return member.join(written(several.filter("l < h").select("key", "n"), "mixed-bands"), "key")
+
+
+def _star(member: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b) of each member with two members of its band that have other labels."""
+    own = F.struct(F.xxhash64(F.lit(number), "node").alias("h"), "node", "label")
+    ends = member.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")).filter("low.node <> high.node")
+    return (member.join(written(ends, "star-centres"), "key")
+            .select("node", "label", F.explode(F.array("low", "high")).alias("to")).filter("label <> to.label")
+            .select(F.least("node", "to.node").alias("a"), F.greatest("node", "to.node").alias("b")).distinct())
+
+
+def _unpacked(marks: list[bytes]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(marks), dtype=np.uint8).reshape(-1, SAMPLES // 2)
+    out = np.empty((len(packed), SAMPLES), dtype=np.uint8)
+    out[:, 0::2], out[:, 1::2] = packed >> 4, packed & 15
+    return out
+
 
+def _alike(pairs: DataFrame, near: float) -> DataFrame:
+    """Of pairs (a, b, x, y) those whose fingerprints x and y are alike."""
     def verify(batches):
         for batch in batches:
             if batch.num_rows:
-                a, b = (_samples_of(batch.column(c).to_pylist()) for c in (2, 3))
-                yield batch.select([0, 1]).filter(pa.array(likeness(a, b) >= near))
+                x, y = (_unpacked(batch.column(c).to_pylist()) for c in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array(likeness(x, y) >= near))
 
-    linked = (pairs.select("id", "anchor", "a", "b").mapInArrow(verify, "id long, anchor long")
-              .groupBy("id").agg(F.min("anchor").alias("anchor")))
-    return one.join(linked, "id", "left").select("fingerprint", F.coalesce("anchor", "id").alias("near_id"))
+    return pairs.mapInArrow(verify, "a long, b long")
+
+
+def join_unlike(nodes: np.ndarray, labels: np.ndarray, marks: np.ndarray, left: np.ndarray, right: np.ndarray,
+                near: float) -> tuple[list[int], list[int]]:
+    """Links (a, b) that join all labels with a pair of ``left`` x ``right`` that is alike, one link for each join."""
+    labels = labels.copy()
+    a, b = [], []
+    for at in left.tolist():
+        to = right[labels[right] != labels[at]]
+        to = to[likeness(marks[to], marks[at][None]) >= near]
+        joined, first = np.unique(labels[to], return_index=True)
+        if len(joined):
+            a += [int(nodes[at])] * len(joined)
+            b += nodes[to[first]].tolist()
+            labels[np.isin(labels, joined)] = labels[at]
+    return a, b
+
+
+def _across(members: DataFrame, near: float) -> DataFrame:
+    """Links (a, b) between labels of one band, from all pairs of its members.
+
+    ``members`` has key, node, label, n, mark.  A band's members are dealt to blocks of about ``BLOCK_MEMBERS``;
+    each pair of blocks is a group of its own, so that no task needs more than two blocks at a time.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
+    dealt = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = dealt.withColumn("other", other).select(
+        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "mark")
+
+    def links(key, rows):
+        own, nodes, labels = (np.array([r[c] for r in rows], dtype=np.int64) for c in (3, 4, 5))
+        left, right = np.flatnonzero(own == key[1]), np.flatnonzero(own == key[2])
+        a, b = join_unlike(nodes, labels, _unpacked([r[6] for r in rows]), left, right, near)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        """Rows come sorted by group; one group is held at a time."""
+        now, rows = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(7))):
+                if row[:3] != now:
+                    if rows:
+                        yield links(now, rows)
+                    now, rows = row[:3], []
+                rows.append(row)
+        if rows:
+            yield links(now, rows)
+
+    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+            .mapInArrow(run, "a long, b long").distinct())

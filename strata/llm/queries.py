@@ -89,7 +89,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's fingerprint, its likeness to its edit and to the next document, and its nearest band anchor."""
+    """Every document's fingerprint, its likeness to its edit and to the next document, and its component's smallest id."""
     found = edit_embedding.compare_neighbours(C.documents(spark, sf_dir))
     path = scratch_path(spark, "compared")
     found.write.parquet(path)
