@@ -5,7 +5,8 @@ besides, a host of four labels or more and its parent (without the first
 label) are linked both ways.  Trust is personalised PageRank from the trusted
 seeds along the edges, distrust the same from the blocked seeds along the
 reversed edges: who links to blocked hosts shares their distrust.  Seeds are
-the hosts most of whose pages a rule allows or blocks, weighted by that share.
+all hosts with pages that a rule allows or blocks, weighted by the share of
+these pages; a host with both is a seed of both.
 A host is blocked if its distrust is over ``ratio`` times its trust and at
 least ``least`` times the mean host's.
 
@@ -121,8 +122,8 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, ratio: float = RATIO, lea
     out = both.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
     both = _written(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total"))
                                                            .alias("share")), "shares")
-    seeds = hosts.filter("allow > 0.5").select(F.lit("trust").alias("kind"), "host", F.col("allow").alias("w")).unionByName(
-        hosts.filter("block > 0.5").select(F.lit("distrust").alias("kind"), "host", F.col("block").alias("w")))
+    seeds = hosts.filter("allow > 0").select(F.lit("trust").alias("kind"), "host", F.col("allow").alias("w")).unionByName(
+        hosts.filter("block > 0").select(F.lit("distrust").alias("kind"), "host", F.col("block").alias("w")))
     sums = seeds.groupBy("kind").agg(F.sum("w").alias("total"))                      # two rows
     seeds = _written(seeds.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("w") / F.col("total"))
                                                                   .alias("share")), "seeds")

@@ -77,3 +77,18 @@ def test_trust_and_distrust(spark):
 def test_no_python_in_the_plan(spark, folder):
     plan = QUERIES["op9_link_graph"](spark, f"{folder[0]}/messy")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_hosts_with_mixed_pages_are_seeds(spark):
+    """Any share of pages under a rule counts, as distrust, as trust, or as both."""
+    pages = [(1, "http://example.com/de/", ""), (2, "http://example.com/x", ""),
+             (3, "http://m.example.com/de/", ""), *((i, f"http://m.example.com/{i}", "") for i in (4, 5, 6)),
+             (7, "http://a.org/fr/", ""), *((i, f"http://a.org/{i}", "") for i in (8, 9, 10)),
+             (11, "http://example.net/en/", ""), (12, "http://example.net/x", ""),
+             (13, "http://plain.com/", ""), (14, "http://lone.com/", "")]
+    got = {r.page_id: r for r in G.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {i for i, r in got.items() if r.verdict == "block"} == {1, 2, 3, 4, 5, 6, 12}
+    trust = plain_rank({}, {"a.org": 0.25, "example.net": 0.5})
+    distrust = plain_rank({}, {"example.com": 0.5, "m.example.com": 0.25, "example.net": 0.5})
+    for r in got.values():
+        assert abs(r.trust - trust.get(r.host, 0)) < 1e-12 and abs(r.distrust - distrust.get(r.host, 0)) < 1e-12
