@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 from strata.llm import common as C
 
 RUNS = (3, 5, 7, 10)
-# Largest shares (percent of word characters) inside repeated runs of so many words, and repeated lines.
-MOST_SHARE = {5: 45, 7: 40, 10: 35}
-MOST_LINES = 45
+# Largest shares (percent of word characters) inside repeated runs of so many words, and repeated lines: the limits
+# of Rae et al. 2021 (Gopher, MassiveText, table A1) for duplicate n-grams and the character share of duplicate lines.
+# They name none for repeated runs of three; those are limited by the base rule.
+MOST_SHARE = {5: 15, 7: 13, 10: 10}
+MOST_LINES = 20
 # Symbols per 100 words.
 MOST_SYMBOLS = 20
 

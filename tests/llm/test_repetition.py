@@ -39,3 +39,27 @@ def test_empty_table_and_equal_names(spark, folder):
     assert QUERIES["op7_quality_rules"](spark, f"{folder[0]}/empty").count() == 0
     df = spark.createDataFrame([("a b", 7)], "text string, n_words long")
     assert R.measure_repetition(df).first().n_words == 2
+
+
+def test_each_limit_alone(spark):
+    """Texts of words of one length that go beyond one limit and no other, and one that is within all."""
+    unique = iter(f"w{k:04d}" for k in range(10000))
+    some = lambda n: [next(unique) for _ in range(n)]
+
+    def twice(passages, length, total):
+        out = []
+        for own in [some(length) for _ in range(passages)] * 2:
+            out += own + some(1)
+        return " ".join(out + some(total - len(out)))
+
+    texts = {
+        "dup_chars_5": twice(4, 5, 200), "dup_chars_7": twice(1, 7, 100), "dup_chars_10": twice(1, 10, 180),
+        "dup_line_chars": "\n".join(f"again again2\n{' '.join(some(4))}" for _ in range(25)),
+        "n_symbols": " ".join(w + "#" * (k % 4 == 0) for k, w in enumerate(some(60))), "none": twice(1, 10, 220)}
+    df = spark.createDataFrame(list(texts.items()), "name string, text string")
+    found = R.measure_repetition(df).withColumn("failed", R.method_failed()).withColumn("base", R.base_failed())
+    most = {**{f"dup_chars_{n}": share for n, share in R.MOST_SHARE.items()}, "dup_line_chars": R.MOST_LINES}
+    for r in found.collect():
+        over = {c for c, share in most.items() if 100 * r[c] > share * r.word_chars}
+        over |= {"n_symbols"} if 100 * r.n_symbols > R.MOST_SYMBOLS * r.n_words else set()
+        assert over == {r["name"]} - {"none"} and r.failed == bool(over) and not r.base
