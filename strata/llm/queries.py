@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import edit_embedding, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, warc
+from strata.llm import edit_embedding, filter_audit, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, warc
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,63 @@ def op6_runlength_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 200-byte strings that occur elsewhere."""
     return runlength_index.remove_repeats(C.documents(spark, sf_dir)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes after every prefix of all their orders, per source."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(
+        C.documents(spark, sf_dir, "doc_id", "text", "source"), filter_audit.base_filters(),
+        {"good": labels.filter("quality = 1").select("doc_id"), "toxic": labels.filter("toxic = 1").select("doc_id")})
+
+
+ORACLE["op11_filter_audit"] = """
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         [x FOR x IN string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w
+  FROM documents),
+d AS (
+  SELECT part,
+         len(w) < 50 AS a,
+         100 * len(list_distinct(w)) < 65 * len(w) AS b,
+         100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL), false) AS good,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL), false) AS toxic
+  FROM t),
+g AS (
+  SELECT part,
+         (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+         || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+         good, toxic, count(*) AS n
+  FROM d GROUP BY ALL),
+f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT p.x || q.x || r.x || s.x || u.x AS filter_order
+  FROM f p, f q, f r, f s, f u
+  WHERE p.x NOT IN (q.x, r.x, s.x, u.x) AND q.x NOT IN (r.x, s.x, u.x) AND r.x NOT IN (s.x, u.x) AND s.x <> u.x),
+k AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS x, substr(filter_order, 1, step - 1) AS before
+  FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+m AS (
+  SELECT part, filter_order, step, x, n, good, toxic, fails,
+         contains(fails, x) AS own, translate(before, fails, '') <> before AS gone
+  FROM k, g),
+c AS (
+  SELECT part, filter_order, step, x,
+         sum(n) FILTER (WHERE NOT own AND NOT gone) AS kept,
+         sum(n) FILTER (WHERE own AND NOT gone) AS removed,
+         sum(n) FILTER (WHERE own AND gone) AS redundant,
+         sum(n) FILTER (WHERE fails = x) AS unique_fails,
+         sum(n) FILTER (WHERE own AND NOT gone AND good) AS good_lost,
+         sum(n) FILTER (WHERE own AND NOT gone AND toxic) AS toxic_lost
+  FROM m GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley
+FROM c
+"""
