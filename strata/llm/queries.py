@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import edit_embedding, filter_audit, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, warc
+from strata.llm import edit_embedding, embedding_dedup, filter_audit, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, warc
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,11 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step,
        CAST(coalesce(sum(removed) OVER (PARTITION BY part, x), 0) AS BIGINT) AS shapley
 FROM c
 """
+
+
+@query
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links at a cosine of 0.93 within its label, and its component; its smallest id is kept."""
+    found = embedding_dedup.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
+    return found.select("vec_id", "n_links", "component_id",
+                        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
