@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
-from strata.llm import edit_embedding, embedding_dedup, filter_audit, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, warc
+from strata.llm import edit_embedding, embedding_dedup, filter_audit, license_scan, link_graph, near_dedup, packing, piece_bpe, repetition, runlength_index, substring_dedup, token_alignment, warc
 from strata.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -238,3 +238,9 @@ def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embedding_dedup.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 0.93)
     return found.select("vec_id", "n_links", "component_id",
                         F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's groups of tokens of two tokenizers, and the corpus-wide counts of its linked ids."""
+    return token_alignment.align(C.documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
