@@ -44,12 +44,17 @@ def to_int(c: ColumnOrName) -> Column:
 
 
 def to_id(c: ColumnOrName) -> Column:
-    """Text or number to a 64-bit id: whole numbers only (``'5'``, ``'5.0'``), anything else null.
+    """Text or number to a 64-bit id: whole numbers only (``'5'``, ``'5.0'``, ``'5e3'``), anything else null.
 
-    Never rounds: ``'5.2'`` is no id, and an id beyond 32 bits stays what it is.
+    Never rounds: the text is tested, so ``'5.2'`` and ``'5.0000001'`` are no ids however long the fraction,
+    and an id beyond 32 bits stays what it is.  Exponents are read up to 15 digits, which a double holds exactly.
     """
-    exact = F.trim(_col(c).cast("string")).try_cast("decimal(38,6)")
-    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    text = F.trim(_col(c).cast("string"))
+    whole = F.regexp_extract(text, r"^([+-]?\d+)(?:\.0*)?$", 1).try_cast("bigint")
+    power = text.rlike(r"^[+-]?\d(?:\.\d{1,14})?[eE][+-]?\d{1,3}$")
+    number = text.try_cast("double")
+    return F.when(power, F.when((number == F.floor(number)) & (F.abs(number) < 2.0 ** 53), number.try_cast("bigint"))) \
+        .otherwise(whole)
 
 
 def to_float(c: ColumnOrName) -> Column:

@@ -97,7 +97,7 @@ def check_constraints(df: DataFrame, rules: Sequence[Rule], flag_col: str = "fai
         flag = f"__strata_dup{i}"
         dups = (_non_null_keys(df, keys).groupBy(*keys).count().filter(F.col("count") > 1)
                 .select(*keys, F.lit(True).alias(flag)))
-        flagged = skew_join(flagged, dups, keys, "left", hot_fraction, hot_rows, right_unique=True)
+        flagged = skew_join(flagged, dups, keys, "left", hot_fraction, hot_rows, right_unique=True, measured=df)
         dup_flags.append((r.name, flag))
     names = [F.when(_fails(r), F.lit(r.name)) for r in row_rules]
     names += [F.when(F.col(flag), F.lit(name)) for name, flag in dup_flags]

@@ -5,7 +5,8 @@ Scale notes
 -----------
 * ``latest_per_key`` is a ranking window filtered to rank 1, which Spark
   turns into a partial ``WindowGroupLimit`` below the shuffle; a hot key only
-  moves its top rows, never its whole history.
+  moves its top rows, never its whole history.  Hot keys whose rows may all
+  tie are kept out of the window.
 * ``activity_stats`` is a plain ``groupBy().agg()`` with partial (map-side)
   aggregation, so a hot key is summed before it is shuffled.
 * ``lookup_join`` leaves the strategy to Spark's size check (broadcast
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import ratio
@@ -49,10 +50,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
     ``tie_break`` (``row_number() == 1``).  Null order values sort last, so a
     null wins only for a key that has nothing else.
 
-    With ``ties='all'`` a key may keep very many rows, which a window would
-    gather in one task.  So there is none: the latest value and the number of
-    non-null values per key come from partial aggregates, and rows are kept by
-    semi-joins that leave hot keys where they are (``skew_join``).
+    Either way it is one window whose partial limit cuts a key before the
+    shuffle.  With ``ties='all'`` a key may keep very many rows, all of which
+    would meet in one task: keys that are measured to be hot (``hot_keys``)
+    are compared with their latest value where their rows lie.
     """
     if ties == "all":
         return _latest_all(df, list(keys), order_col, hot_fraction, hot_rows)
@@ -67,30 +68,21 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
 
 def _latest_all(df: DataFrame, keys: list[str], order_col: str,
                 hot_fraction: float, hot_rows: int) -> DataFrame:
-    some_null = ~_all([F.col(k).isNotNull() for k in keys])
-    plain = _latest_by_semi_join(df.filter(~some_null), keys, order_col, hot_fraction, hot_rows)
-    if not any(df.schema[k].nullable for k in keys):
-        return plain
-    # a null key part is a value of its own here, as in a window, but matches nothing in a join
-    text = "__strata_key"
-    rest = df.filter(some_null).withColumn(text, F.to_json(F.struct(*keys)))
-    rest = _latest_by_semi_join(rest, [text], order_col, hot_fraction, hot_rows)
-    return plain.unionByName(rest.drop(text))
-
-
-def _latest_by_semi_join(df: DataFrame, keys: list[str], order_col: str,
-                         hot_fraction: float, hot_rows: int) -> DataFrame:
-    mx, nn = "__strata_max", "__strata_nonnull"
-    per_key = df.groupBy(*keys).agg(F.max(order_col).alias(mx), F.count(order_col).alias(nn))
-    # keys with at least one value: rows on the maximum
-    dated = skew_join(df.filter(F.col(order_col).isNotNull()),
-                      per_key.filter(F.col(nn) > 0).select(*keys, F.col(mx).alias(order_col)),
-                      keys + [order_col], "left_semi", hot_fraction, hot_rows, right_unique=True)
-    # keys with no value at all: every (null) row ties at rank 1
-    undated = skew_join(df.filter(F.col(order_col).isNull()),
-                        per_key.filter(F.col(nn) == 0).select(*keys),
-                        keys, "left_semi", hot_fraction, hot_rows, right_unique=True)
-    return dated.unionByName(undated)
+    rk = "__strata_rank"
+    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc_nulls_last())
+    found = hot_keys(df, keys, hot_fraction, hot_rows, nulls=True)
+    if not found:
+        return df.withColumn(rk, F.rank().over(w)).filter(F.col(rk) == 1).drop(rk)
+    # a null key part is a value of its own here, as in a window
+    names = [f"__strata_k{i}" for i in range(len(keys))]
+    same = _all([F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(*keys).schema).toDF(*names))
+    cold = df.join(hot, same, "left_anti")
+    cold = cold.withColumn(rk, F.rank().over(w)).filter(F.col(rk) == 1).drop(rk)
+    mx = "__strata_max"
+    top = df.join(hot, same, "inner").groupBy(*names).agg(F.max(order_col).alias(mx))     # a row per hot key
+    kept = df.join(F.broadcast(top), same & F.col(order_col).eqNullSafe(F.col(mx)), "left_semi")
+    return kept.unionByName(cold)
 
 
 def latest_by_max_join(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -171,20 +163,27 @@ def enrich(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     return joined.select(*[_c(c) for c in columns])
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a frame's size, from its plan; no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = HOT_FRACTION,
-             hot_rows: int = HOT_ROWS) -> list:
-    """Keys (without nulls) holding more than ``hot_fraction`` of the rows and more than ``hot_rows``.
+             hot_rows: int = HOT_ROWS, nulls: bool = False) -> list:
+    """Keys holding more than ``hot_fraction`` of the rows and more than ``hot_rows``, the largest first.
 
-    At most ``1 / hot_fraction`` rows come to the driver.  Frames of up to
-    ``hot_rows`` rows have none, which costs one count; others one partial
-    aggregate.
+    At most ``1 / hot_fraction`` rows come to the driver.  A frame that Spark estimates at
+    no more than 8 bytes for each of ``hot_rows`` isn't measured; others cost one partial aggregate,
+    which observes its total.  With ``nulls`` a null key part counts as a value, else such rows aren't measured.
     """
-    total = df.count()
-    if total <= hot_rows:
+    if _estimated_bytes(df) <= 8 * hot_rows:
         return []
-    present = [F.col(k).isNotNull() for k in keys]
-    counts = df.filter(_all(present)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__strata_n"))
-    return counts.filter(F.col("__strata_n") > max(hot_rows, int(total * hot_fraction))).select(*keys).collect()
+    rows = df if nulls else df.filter(_all([F.col(f"`{k}`").isNotNull() for k in keys]))
+    n, seen = "__strata_n", Observation()
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).observe(seen, F.sum(n).alias("total"))
+    top = counts.filter(F.col(n) > hot_rows).orderBy(F.desc(n)).limit(max(1, int(1 / hot_fraction))).collect()
+    total = seen.get["total"] if top else 0
+    return [tuple(r[k] for k in keys) for r in top if r[n] > total * hot_fraction]
 
 
 def _all(conditions: list[Column]) -> Column:
@@ -200,7 +199,7 @@ _SKEW_HOWS = ("inner", "left", "left_outer", "left_semi", "left_anti")
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
               hot_fraction: float = HOT_FRACTION, hot_rows: int = HOT_ROWS,
               max_hot_right_bytes: int = 64 << 20, buckets: int = 64,
-              right_unique: bool = False) -> DataFrame:
+              right_unique: bool = False, measured: DataFrame | None = None) -> DataFrame:
     """Equi-join that keeps hot keys out of the shuffle (split, salting as fallback).
 
     1. keys holding more than ``hot_fraction`` of the left rows (and more than
@@ -217,14 +216,16 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
     Allowed for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
 
-    Cost: a count of ``left``, one aggregate pass when it has more than
-    ``hot_rows`` rows, and ``left`` is read twice if hot keys exist.  When
-    ``left`` is expensive to derive, write it to a table first.
+    Cost: one aggregate over ``left`` unless Spark estimates it to be small
+    (``hot_keys``), and ``left`` is read twice if hot keys exist.  ``measured``
+    is a cheaper frame with the same keys to measure instead, such as the one
+    that ``left`` was derived from.  When ``left`` is expensive to derive,
+    write it to a table first.
     """
     if how not in _SKEW_HOWS:
         raise ValueError(f"skew_join does not support how={how!r}")
     keys = list(keys)
-    found = hot_keys(left, keys, hot_fraction, hot_rows)
+    found = hot_keys(left if measured is None else measured, keys, hot_fraction, hot_rows)
     if not found:
         return left.join(right, keys, how)
     schema = left.select(*keys).schema
