@@ -12,11 +12,12 @@ its lineage.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.scalar import (clean_code, clean_text, is_positive, to_date, to_double,
@@ -30,6 +31,7 @@ from strata.sinks.files import write_parquet
 from strata.sinks.publish import Published, publish, read_published
 from strata.sources import fs
 from strata.sources.files import read_csv, read_parquet
+from strata.sources.multiline import read_multiline_csv
 
 # Fixed values that must equal the reference's: raw file locations under the
 # bronze root, the raw files the readiness check requires, the silver
@@ -66,7 +68,7 @@ class PipelineConfig:
     # gold rules (C1-C10): "report" publishes a violation report next to the
     # tables, "raise" also refuses any table that breaks a rule, "off" skips both
     rules: str = "report"
-    # datasets that hold quoted line breaks: such a file cannot be split, one task reads it
+    # datasets that hold quoted line breaks: read by many tasks all the same, but twice
     multiline: frozenset[str] = frozenset()
     # independent datasets / tables written at the same time (driver threads)
     concurrency: int = 4
@@ -95,7 +97,7 @@ def _text(c: str) -> Column:
 
 
 # What makes a raw row unusable, by dataset: (reason, condition).  Such rows are left out of silver and
-# counted in the reject report; nothing is dropped without a count.
+# counted in the reject report; rows that dedupe removes are counted in the duplicates report.
 REJECTS: dict[str, list[tuple[str, Callable[[], Column]]]] = {
     "players": [("player_id unreadable", lambda: to_id("player_id").isNull())],
     "player_valuations": [
@@ -104,7 +106,8 @@ REJECTS: dict[str, list[tuple[str, Callable[[], Column]]]] = {
         ("value not positive", lambda: ~F.coalesce(is_positive(to_double("market_value_in_eur")), F.lit(False)))],
     "clubs": [("club_id unreadable", lambda: to_id("club_id").isNull())],
     "competitions": [("competition_id missing", lambda: F.col("competition_id").isNull())],
-    "appearances": [("player_id unreadable", lambda: to_id("player_id").isNull())],
+    "appearances": [("player_id unreadable", lambda: to_id("player_id").isNull()),
+                    ("appearance_id missing", lambda: F.col("appearance_id").isNull())],
     "fifa_players": [
         ("player_id unreadable", lambda: to_id("player_id").isNull()),
         ("date unreadable", lambda: _text("fifa_update_date").isNotNull() & to_date("fifa_update_date").isNull())],
@@ -124,8 +127,16 @@ def usable(raw: DataFrame, name: str) -> DataFrame:
     return raw.filter(_reason(name).isNull())
 
 
+def observed(raw: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``raw`` with its rows and reasons to reject them counted by whatever job reads it; no pass of its own."""
+    seen = Observation(f"raw_{name}_{uuid.uuid4().hex[:8]}")
+    why = _reason(name)
+    counts = [F.count_if(F.coalesce(why == reason, F.lit(False))).alias(f"r{i}") for i, (reason, _) in enumerate(REJECTS[name])]
+    return raw.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), seen
+
+
 def reject_counts(raw: DataFrame, name: str) -> DataFrame:
-    """dataset, reason, n_rows of the raw rows that are left out (one partial aggregate)."""
+    """dataset, reason, n_rows of the raw rows that would be left out: a look at a file before it is cleaned."""
     return (raw.select(_reason(name).alias("reason")).filter("reason is not null").groupBy("reason")
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .select(F.lit(name).alias("dataset"), "reason", "n_rows"))
@@ -225,36 +236,39 @@ def _raise_if_not_ready(found: list[Presence], what: str) -> None:
 def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
     """Job 1: clean the six raw files into silver Parquet; returns rows written per dataset.
 
-    Rows that are left out are counted by reason in ``<silver>/rejected``.
+    Rows that are left out are counted by reason in ``<silver>/rejected``, those that dedupe removes in
+    ``<silver>/duplicates``.  Both counts come out of the cleaning jobs: each raw file is read once (one with
+    line breaks in fields twice, by many tasks).  As any metric of a job that shuffles, they count the rows
+    of a task again that has to be repeated after its executor is lost.
     """
     _raise_if_not_ready(bronze_readiness(spark, cfg.bronze), "bronze")
 
     def raw(name):
-        return read_csv(spark, f"{cfg.bronze.rstrip('/')}/{cfg.raw_files[name]}", glob=None,
-                        recursive=False, multiline=name in cfg.multiline)
-
+        path = f"{cfg.bronze.rstrip('/')}/{cfg.raw_files[name]}"
+        if name in cfg.multiline:
+            return read_multiline_csv(spark, path, glob=None, recursive=False)
+        return read_csv(spark, path, glob=None, recursive=False)
+
+    clean = {"players": lambda r: clean_players(r, cfg.as_of), "player_valuations": clean_valuations,
+             "clubs": clean_clubs, "competitions": clean_competitions, "appearances": clean_appearances,
+             "fifa_players": clean_ratings}
     silver = cfg.silver.rstrip("/")
-    jobs = {
-        "players": lambda: write_parquet(clean_players(raw("players"), cfg.as_of),
-                                         f"{silver}/players"),
-        "player_valuations": lambda: write_parquet(clean_valuations(raw("player_valuations")),
-                                                   f"{silver}/player_valuations",
-                                                   partition_by=["valuation_year"]),
-        "clubs": lambda: write_parquet(clean_clubs(raw("clubs")), f"{silver}/clubs"),
-        "competitions": lambda: write_parquet(clean_competitions(raw("competitions")),
-                                              f"{silver}/competitions"),
-        "appearances": lambda: write_parquet(clean_appearances(raw("appearances")),
-                                             f"{silver}/appearances"),
-        "fifa_players": lambda: write_parquet(clean_ratings(raw("fifa_players")),
-                                              f"{silver}/fifa_players"),
-    }
-    written = run_concurrently(jobs, cfg.concurrency)
-    counts = [reject_counts(raw(name), name) for name in REJECTS]
-    rejected = counts[0]
-    for c in counts[1:]:
-        rejected = rejected.unionByName(c)
-    write_parquet(rejected, f"{silver}/rejected")
-    return written
+
+    def job(name):
+        frame, seen = observed(raw(name), name)
+        rows = write_parquet(clean[name](frame), f"{silver}/{name}",
+                             partition_by=["valuation_year"] if name == "player_valuations" else None)
+        return rows, seen.get
+
+    done = run_concurrently({name: (lambda n=name: job(n)) for name in clean}, cfg.concurrency)
+    rejected, duplicates = [], []
+    for name, (rows, counts) in done.items():
+        bad = [(name, reason, int(counts[f"r{i}"])) for i, (reason, _) in enumerate(REJECTS[name])]
+        rejected += [r for r in bad if r[2]]
+        duplicates.append((name, int(counts["rows"]) - sum(r[2] for r in bad) - rows))
+    write_parquet(spark.createDataFrame(rejected, "dataset string, reason string, n_rows long"), f"{silver}/rejected")
+    write_parquet(spark.createDataFrame(duplicates, "dataset string, n_rows long"), f"{silver}/duplicates")
+    return {name: rows for name, (rows, _) in done.items()}
 
 
 # ================================================================ gold
@@ -358,7 +372,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", default=_dt.date.today().isoformat(), help="default: the day of the run")
     ap.add_argument("--rules", choices=["report", "raise", "off"], default="report")
     ap.add_argument("--multi-line", nargs="*", default=[], choices=sorted(RAW_FILES),
-                    help="datasets with line breaks inside fields (one task per file)")
+                    help="datasets with line breaks inside fields")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"strata-{a.step}").getOrCreate()
     cfg = PipelineConfig(a.bronze, a.silver, a.gold, _dt.date.fromisoformat(a.as_of),

@@ -10,8 +10,8 @@ guarantees come from immutable versions plus one numbered commit marker:
 1. the frame is written to a new version folder; the row count is observed
    in the same job (W5, W6, W9);
 2. an empty result raises before anything becomes visible (W5);
-3. the staged folder is re-read and its count must equal the observed one
-   (W8);
+3. the staged folder is re-read: its count and the sum of its rows' hashes
+   must equal those observed in the write (W8);
 4. the marker with the next free number is created with ``overwrite=false``
    -- the one atomic step (W7).  Of two writers that try the same number one
    gets it and the other takes the next, so commits are ordered by when they
@@ -33,13 +33,18 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strata.sinks.files import write_parquet_observed
 from strata.sources import fs
 from strata.sources.files import read_parquet
 
 
+_CONTENT = "content of the rows"        # a metric beside the rules'
+
+
 class PublishError(RuntimeError):
     pass
 
@@ -58,6 +63,19 @@ class Published:
         return f"{self.target}/_versions/{self.version}"
 
 
+def content_sum(df: DataFrame) -> Column:
+    """Sum of the rows' 64-bit hashes, exact and without regard to their order: what a frame holds.
+
+    Maps can't be hashed and are left out, in structs and arrays, too.
+    """
+    def has_map(t) -> bool:
+        return isinstance(t, MapType) or any(has_map(x) for x in (
+            [f.dataType for f in t.fields] if hasattr(t, "fields") else [t.elementType] if hasattr(t, "elementType") else []))
+
+    cols = [F.col(f"`{f.name}`") for f in df.schema if not has_map(f.dataType)]
+    return F.coalesce(F.sum((F.xxhash64(*cols) if cols else F.lit(0)).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
+
+
 def _numbers(spark: SparkSession, target: str) -> list[int]:
     """Commit numbers taken so far, ascending."""
     return sorted(int(n) for n in fs.list_names(spark, f"{target}/_commits") if n.isdigit())
@@ -126,14 +144,17 @@ def _stage(df: DataFrame, target: str, staged: str, min_rows: int, rules: list,
     from strata.operators.quality import row_rule_metrics, violation_report
 
     spark = df.sparkSession
-    # row count and row-rule violations come out of the write job itself
-    observed, metrics = write_parquet_observed(df, staged, row_rule_metrics(rules))
+    # row count, content and row-rule violations come out of the write job itself
+    observed, metrics = write_parquet_observed(df, staged, row_rule_metrics(rules) | {_CONTENT: content_sum(df)})
     if observed < min_rows:
         raise PublishError(f"{target}: {observed} rows staged, at least {min_rows} required; "
                            "nothing published")
-    stored = read_parquet(spark, staged).count()
-    if stored != observed:
-        raise PublishError(f"{target}: wrote {observed} rows but staged copy has {stored}")
+    copy = read_parquet(spark, staged)
+    stored = copy.agg(F.count(F.lit(1)).alias("n"), content_sum(copy).alias("content")).first()
+    if stored.n != observed:
+        raise PublishError(f"{target}: wrote {observed} rows but staged copy has {stored.n}")
+    if stored.content != metrics[_CONTENT]:
+        raise PublishError(f"{target}: the staged copy has other rows than were written")
     if not rules:
         return observed, ()
     # key rules need a grouping: one pass over the staged copy, a row per rule back

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.plans import pipeline as P
 from strata.sinks.publish import read_published
@@ -302,3 +303,26 @@ def test_rules_on_table_derived_raw_files(spark, tmp_dir):
     P.bronze_to_silver(spark, cfg2)
     with pytest.raises(PublishError, match="age_14_50"):
         P.silver_to_gold(spark, cfg2)
+
+
+def test_ids_are_never_rounded(spark):
+    from strata.functions.scalar import to_id
+
+    texts = ["5", " 5 ", "+5", "-5", "5.", "5.000", "5.0000001", "5.00000000000000000001", "5e3", "1.5E1", "1.55E1", "9" * 18, "9" * 20,
+             "1e400", "", "x", None, "0005", "1e-1"]
+    got = [r.i for r in spark.createDataFrame([(t,) for t in texts], "t string").select(to_id("t").alias("i")).collect()]
+    assert got == [5, 5, 5, -5, 5, 5, None, None, 5000, 15, None, 10**18 - 1, None, None, None, None, None, 5, None]
+    numbers = spark.createDataFrame([(5.0,), (5.5,), (1e10,), (None,)], "d double").select(to_id("d").alias("i"))
+    assert [r.i for r in numbers.collect()] == [5, None, 10**10, None]
+
+
+def test_raw_files_are_read_once_and_losses_counted(spark, tmp_path):
+    """Rejected and duplicate rows come out of the cleaning job; a null appearance id is a reason."""
+    df = spark.createDataFrame([("1", "7"), ("1", "7"), (None, "7"), (None, "8"), ("2", "x"), ("3", "9")],
+                               "appearance_id string, player_id string")
+    for c in ("game_id", "competition_id", "date", "goals", "assists", "minutes_played", "yellow_cards", "red_cards"):
+        df = df.withColumn(c, F.lit("1"))
+    frame, seen = P.observed(df, "appearances")
+    P.clean_appearances(frame).write.parquet(str(tmp_path / "a"))
+    assert seen.get == {"rows": 6, "r0": 1, "r1": 2}
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 2
