@@ -159,6 +159,11 @@ def without(df: DataFrame, added: list[str]) -> DataFrame:
     return df.drop(*added)
 
 
+def free_name(df: DataFrame) -> str:
+    """A column name that ``df`` does not have."""
+    return "_" * (1 + max(map(len, df.columns), default=0)) + "text"
+
+
 def types_of(df: DataFrame) -> str:
     """The columns of ``df`` as a schema string."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)

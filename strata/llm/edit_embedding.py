@@ -144,15 +144,15 @@ def fingerprint(df: DataFrame, keep: list[str], text: str = "text", out: str = "
     """Columns ``keep`` with each text's fingerprint."""
     keep = C.without(df.select(*keep), [out]).columns
     fields = C.types_of(df.select(*keep))
-    n = len(keep)
+    n, own = len(keep), C.free_name(df)
 
     def run(batches):
         for batch in batches:
-            for part in C.slices([batch], "__text", WAVE):
+            for part in C.slices([batch], own, WAVE):
                 marks = embed([classes(t or "") for t in part.column(n).to_pylist()])
                 yield pa.RecordBatch.from_arrays(part.columns[:n] + [pa.array(as_text(marks))], names=[*keep, out])
 
-    return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, f"{fields}, `{out}` string")
+    return df.select(*keep, F.col(text).alias(own)).mapInArrow(run, f"{fields}, `{out}` string")
 
 
 # ------------------------------------------------------------------ a document, its edit and its neighbour

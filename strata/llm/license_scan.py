@@ -248,5 +248,6 @@ def scan_licenses(df: DataFrame, keep: list[str], text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays(batch.columns[:len(keep)] + added.columns,
                                              names=keep + _ADDED.names)
 
-    source = C.as_bytes(df.select(*keep, df[text].alias("__text")), "__text")
+    own = C.free_name(df)
+    source = C.as_bytes(df.select(*keep, df[text].alias(own)), own)
     return source.mapInArrow(run, schema)

@@ -10,7 +10,12 @@
    of the bands, a set is compared with two members of each of its bands unless it
    is linked to what they are linked to; that joins most of a group of copies, of
    any size, by two comparisons per member and band.  Sets that share a band and aren't joined
-   then are compared with all others of the band, in blocks, by larger sketches.
+   then are compared with all others of the band, in blocks, by larger sketches: first
+   a block gives the pairs of a forest that joins its sets by the most similar pairs,
+   which leaves what is joined by any chain of copies as one; then, of sets that are
+   apart still, a block gives its remaining pairs if they are few, and if not its
+   sets are sent there and compared in place, giving a spanning forest of the links.
+   So the rows that are made grow with the sets of a block, not with its pairs.
 4. The sketches drop candidates whose estimate is so low that a similarity at the
    threshold is out of the question (``Sketch.most``); all others are confirmed or
    dropped by their full sets.
@@ -19,8 +24,8 @@ At a similarity of 0.8 a pair shares no band with probability
 (1 - 0.8**ROWS)**BANDS, 2e-6 here.
 
 Results: empty and null texts have no shingles and link with nothing.  Rows that
-repeat an id are one document; if their texts differ, the text whose set has the
-smallest digest makes its links.  A null id takes part in no link.
+repeat an id with equal shingles are one document; if their shingles differ, each is linked
+by its own.  A component's id is the smallest id in it.  A null id takes part in no link.
 """
 
 from __future__ import annotations
@@ -29,11 +34,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import common as C
+from strata.llm import salted
 from strata.llm.components import components, written
+from strata.llm.embedding_dedup import _roots
 
 SHINGLE = 4
 SHARE = 80                       # percent of the union that two linked sets have in common, at least
@@ -112,12 +119,12 @@ def _digests(values: np.ndarray, offsets: np.ndarray) -> list[bytes | None]:
             for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-_SKETCHED = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
+_SKETCHED = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("text_sha", pa.binary()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
                        ("sketch", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest, sketch and band keys of each row (doc_id, text)."""
+    """doc_id, row number, text_sha, n_shingles, digest, sketch and band keys of each row (doc_id, text)."""
     def run(batches):
         for batch in batches:
             for part in C.slices([batch], "text"):
@@ -130,16 +137,23 @@ def sketch(docs: DataFrame) -> DataFrame:
                     key = C.mix(key * np.uint64(0xD6E8FEB86659FD93) + grouped[:, :, r])
                 keys = key.view(np.int64)
                 size = np.diff(offsets)
-                yield C.batch_of(_SKETCHED, doc_id=part.column(0), n_shingles=size, digest=_digests(values, offsets),
-                                 sketch=[p.tobytes() for p in parity],
+                yield C.batch_of(_SKETCHED, doc_id=part.column(0), row=part.column(2), text_sha=part.column(3),
+                                 n_shingles=size, digest=_digests(values, offsets), sketch=[p.tobytes() for p in parity],
                                  bands=[k.tolist() if n else [] for k, n in zip(keys, size)])
 
-    source = C.as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return source.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch binary, bands array<long>")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
+                         F.monotonically_increasing_id().alias("row"), text_sha("text").alias("text_sha"))
+    return source.mapInArrow(run, "doc_id long, row long, text_sha binary, n_shingles long, digest binary, "
+                                  "sketch binary, bands array<long>")
+
+
+def text_sha(text: str) -> Column:
+    """What tells texts apart; null for a null text."""
+    return F.unhex(F.sha2(F.col(text), 256))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, members and large sketch of the documents in ``ids`` (doc_id); only their texts move."""
+    """id, members and large sketch of the sets in ``ids`` (id, doc_id, digest); only their documents' texts move."""
     def run(batches):
         for batch in batches:
             for part in C.slices([batch], "text"):
@@ -150,11 +164,12 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                                              [None, cut.buffers()[1], pa.py_buffer(values.tobytes())])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), sets.cast(pa.binary()), pa.array([p.tobytes() for p in parity]),
-                     pa.array(_digests(values, offsets), type=pa.binary())], names=["id", "members", "sketch", "digest"])
+                     pa.array(_digests(values, offsets), type=pa.binary())], names=["doc_id", "members", "sketch", "digest"])
 
-    texts = C.as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(ids, "doc_id", "left_semi")
-    sets = texts.select("doc_id", "text").mapInArrow(run, "id long, members binary, sketch binary, digest binary")
-    return sets.groupBy("id").agg(F.min_by(F.struct("members", "sketch"), "digest").alias("s")).select("id", "s.*")
+    texts = C.as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(
+        ids.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, members binary, sketch binary, digest binary")
+    return sets.join(ids, ["doc_id", "digest"]).select("id", "members", "sketch").dropDuplicates(["id"])
 
 
 def _paired(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
@@ -219,67 +234,168 @@ def _star(member: DataFrame, number: int) -> DataFrame:
             .select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct())
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one band but of different components whose large sketches don't rule them out.
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of bands in pairs of blocks: key, i, j, own (the member's block), id, label, sketch.
 
-    ``members`` has key, id, label, sketch, of bands with several labels.  A band's members are dealt to blocks of
-    about ``BLOCK``; each pair of blocks is a group of its own, so that no task needs more than two blocks.
+    A band's members are dealt to blocks of about ``BLOCK``; each pair of blocks is a group of its own, so that no
+    task needs more than two blocks.
     """
-    blocks = written(members.groupBy("key").agg(F.count("*").alias("n"))
-                     .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "band-sizes")
-    dealt = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = salted.with_salt(members, F.col("id"))
+    blocks = salted.totals(rows, ["key"], [F.count("*").alias("n")], [F.sum("n").alias("n")]).select(
+        "key", salted.SALT, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, ["key", salted.SALT]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = dealt.withColumn("other", other).select(
+    return dealt.withColumn("other", other).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "sketch")
 
-    def pairs(group):
-        own = np.array(group["own"])
-        ids, labels = np.array(group["id"]), np.array(group["label"])
-        bits = np.frombuffer(b"".join(group["sketch"]), np.uint64).reshape(len(ids), -1)
-        i, j = group["i"][0], group["j"][0]
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
-        for at in left.tolist():
-            to = right[right > at] if i == j else right
-            to = to[labels[to] != labels[at]]
-            near = to[np.bitwise_count(bits[to] ^ bits[at]).sum(axis=1) <= LARGE.most]
-            found.append((np.full(len(near), ids[at]), ids[near]))
-        a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
-        return np.minimum(a, b), np.maximum(a, b)
+
+def _grouped(dealt: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn`` over the rows of each (key, i, j), one group in memory at a time; it gives a record batch."""
+    names = dealt.columns
 
     def run(batches):
-        """Rows come sorted by group; one group is held at a time."""
-        names, group, now = ["key", "i", "j", "own", "id", "label", "sketch"], None, None
+        kept, now = [], None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in range(7))):
-                if row[:3] != now:
-                    if group:
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(group)], names=["a", "b"])
-                    now, group = row[:3], {n: [] for n in names}
-                for name, value in zip(names, row):
-                    group[name].append(value)
-        if group:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in pairs(group)], names=["a", "b"])
-
-    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, "a long, b long").distinct())
-
-
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row of ``docs`` (doc_id, text)."""
+            keys = [batch.column(c).to_numpy() for c in range(3)]
+            cut = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1 if batch.num_rows else []
+            for a, b in zip([0, *cut], [*cut, batch.num_rows]):
+                if a == b:
+                    continue
+                key = tuple(int(k[a]) for k in keys)
+                if key != now and kept:
+                    yield fn(pa.Table.from_batches(kept).combine_chunks())
+                    kept = []
+                now = key
+                kept.append(batch.slice(int(a), int(b - a)))
+        if kept:
+            yield fn(pa.Table.from_batches(kept).combine_chunks())
+
+    return dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select(*names).mapInArrow(run, schema)
+
+
+def _candidates(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, a, b, distance): the group's pairs of other labels that their large sketches don't rule out."""
+    own, ids, labels = (t[c].to_numpy() for c in ("own", "id", "label"))
+    bits = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint64).reshape(len(ids), -1)
+    i, j = t["i"][0].as_py(), t["j"][0].as_py()
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    found = [(np.zeros(0, np.int64),) * 3]
+    for at in left.tolist():
+        to = right[right > at] if i == j else right
+        to = to[labels[to] != labels[at]]
+        apart = np.bitwise_count(bits[to] ^ bits[at]).sum(axis=1, dtype=np.int64)
+        near = apart <= LARGE.most
+        found.append((np.full(int(near.sum()), at), to[near], apart[near]))
+    return ids, *(np.concatenate(x) for x in zip(*found))
+
+
+def _forest(t: pa.Table) -> pa.RecordBatch:
+    """Pairs that join the group's labels wherever candidates do, by the most similar ones (rounds of Boruvka)."""
+    ids, a, b, apart = _candidates(t)
+    _, comp = np.unique(t["label"].to_numpy(), return_inverse=True)
+    n = int(comp.max()) + 1
+    rank = np.empty(len(a), dtype=np.int64)
+    rank[np.lexsort((b, a, apart))] = np.arange(len(a))
+    out, now = [], np.arange(n)
+    while True:
+        x, y = now[comp[a]], now[comp[b]]
+        open_ = np.flatnonzero(x != y)
+        if not len(open_):
+            break
+        best = np.full(n, len(a))
+        np.minimum.at(best, x[open_], rank[open_])
+        np.minimum.at(best, y[open_], rank[open_])
+        by_rank = np.empty(len(a), dtype=np.int64)
+        by_rank[rank] = np.arange(len(a))
+        chosen = by_rank[np.unique(best[best < len(a)])]
+        out.append(chosen)
+        now = _roots(n, x[chosen], y[chosen])[now]
+    at = np.concatenate(out or [np.zeros(0, np.int64)])
+    p, q = ids[a[at]], ids[b[at]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+
+
+#: a group's pairs are emitted while they are no more than so many times its members
+FEW = 4
+
+
+def _rest(few: int):
+    """The group's pairs (a, b) if they are few; else its members that have one (a, with a null b), and the group."""
+    def run(t: pa.Table) -> pa.RecordBatch:
+        ids, a, b, _ = _candidates(t)
+        if len(a) <= few * len(ids):
+            p, q, own = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b]), np.zeros(len(a), np.int32)
+            none = np.zeros(len(a), bool)
+        else:
+            at = np.unique(np.concatenate((a, b)))
+            p, q, own = ids[at], ids[at], t["own"].to_numpy()[at].astype(np.int32)
+            none = np.ones(len(at), bool)
+        same = lambda c, kind: pa.array(np.full(len(p), t[c][0].as_py()), kind)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(p), pa.array(q, mask=none), same("key", pa.int64()), same("i", pa.int32()), same("j", pa.int32()),
+             pa.array(own)], names=["a", "b", "key", "i", "j", "own"])
+
+    return run
+
+
+def _in_place(share: int):
+    """Links within a group by full sets: a spanning forest of them."""
+    def run(t: pa.Table) -> pa.RecordBatch:
+        ids, own = t["id"].to_numpy(), t["own"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in t["members"].to_pylist()]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), size)
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        first = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        times = np.diff(np.concatenate((first, [len(flat)])))
+        column = np.repeat(np.arange(len(first)), times)
+        shared = np.repeat(times > 1, times)                       # a shingle of one member adds to no pair
+        owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+        both = np.zeros((len(sets), len(sets)), dtype=np.float32)   # counts below 2**24 are exact
+        lead = np.searchsorted(column, np.arange(0, (int(column[-1]) if len(column) else -1) + 1 + STEP, STEP))
+        for a, b in zip(lead[:-1], lead[1:]):
+            if a < b:
+                holds = np.zeros((len(sets), STEP), dtype=np.float32)
+                holds[owner[a:b], column[a:b] - column[a] // STEP * STEP] = 1
+                both += holds @ holds.T
+        i, j = t["i"][0].as_py(), t["j"][0].as_py()
+        whole = both.astype(np.int64)
+        linked = (100 * whole >= share * (size[:, None] + size[None, :] - whole)) & (whole > 0)
+        x, y = np.nonzero(np.triu(linked, 1))
+        meet = ((own[x] == i) & (own[y] == j)) | ((own[x] == j) & (own[y] == i))
+        root = _roots(len(ids), x[meet], y[meet])
+        child = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[root[child]]), pa.array(ids[child])], names=["a", "b"])
+
+    return run
+
+
+STEP = 4096
+
+
+def near_groups(docs: DataFrame, few: int = FEW) -> DataFrame:
+    """doc_id, n_shingles, component_id, text_sha and first of each row of ``docs`` (doc_id, text).
+
+    ``first`` marks the rows that stand for their component: those of its smallest id, of one text if that id has several.
+    Rows that link with nothing are all first, repeated ones too.
+    """
     rows = written(sketch(docs), "sketched")
-    full = rows.filter("n_shingles > 0 and doc_id is not null")
-    ids = written(full.groupBy("doc_id").agg(F.min("digest").alias("digest")), "digests")
-    one = written(ids.groupBy("digest").agg(F.min("doc_id").alias("id")), "sets-by-digest")
-    same = ids.join(one, "digest").filter("doc_id <> id").select(
-        F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    sets = written(full.join(one, "digest").filter("doc_id = id").dropDuplicates(["digest"])
-                   .select("id", "sketch", "bands"), "distinct-sets")
+    full = salted.with_salt(rows.filter("n_shingles > 0 and doc_id is not null"), F.col("row"))
+    # equal sets are one; ``least`` is its smallest id and the text that stands for it
+    groups = written(salted.totals(
+        full, ["digest"], [F.min("row").alias("id"), F.min(F.struct("doc_id", "text_sha")).alias("least")],
+        [F.min("id").alias("id"), F.min("least").alias("least")]), "sets-by-digest")
+    distinct = groups.select("id", "digest", "least").distinct()
+    sets = written(full.join(distinct.select("id"), full["row"] == distinct["id"]).select("id", "doc_id", "digest", "sketch", "bands"),
+                   "distinct-sets")
     banded = sets.select("id", F.posexplode("bands").alias("band", "key"))
     shared = written(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
                      .select("key"), "shared-bands")
     member = written(banded.join(shared, "key").select("key", "band", "id"), "band-members")
-    full_set = written(full_sets(docs, member.select(F.col("id").alias("doc_id")).distinct()), "full-sets")
+    full_set = written(full_sets(docs, sets.select("id", "doc_id", "digest").join(
+        member.select("id").distinct(), "id", "left_semi")), "full-sets")
     links = tried = label = None
     for number in range(STARS):
         own = member.filter(F.col("band") % STARS == number)
@@ -289,11 +405,30 @@ def near_groups(docs: DataFrame) -> DataFrame:
         more = written(confirm(pairs, full_set), "links")
         links = more if links is None else links.unionByName(more)
         label = written(_least_linked(links), "star-labels")
-    # bands that hold several components still: their members are compared across
+    # bands that hold several components still: a forest of the most similar pairs, then what is left
+    sketches = full_set.select("id", "sketch")
     label = written(components(links), "star-components")
-    left = _labelled(member, label).join(full_set.select("id", "sketch"), "id")
-    pairs = written(_across(left), "across")
-    more = confirm(pairs.join(tried, ["a", "b"], "left_anti"), full_set)
-    final = written(components(links.unionByName(more).unionByName(same.select("a", "b"))), "components")
-    return rows.select("doc_id", "n_shingles").join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    pairs = _grouped(_dealt(_labelled(member, label).join(sketches, "id")), _forest, "a long, b long").distinct()
+    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "forest-pairs")
+    tried = tried.unionByName(pairs)
+    links = links.unionByName(written(confirm(pairs, full_set), "links"))
+    label = written(components(links), "forest-components")
+    rest = written(_grouped(_dealt(_labelled(member, label).join(sketches, "id")), _rest(few),
+                            "a long, b long, key long, i int, j int, own int"), "rest")
+    few = confirm(rest.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), full_set)
+    many = rest.filter("b is null").select("key", "i", "j", "own", F.col("a").alias("id")).join(
+        full_set.select("id", "members"), "id").select("key", "i", "j", "own", "id", "members")
+    many = _grouped(many, _in_place(SHARE), "a long, b long")
+    final = components(links.unionByName(few).unionByName(many)).select("id", "component").distinct()
+
+    found = distinct.select("id", "least").join(final, "id", "left").select(
+        "id", "least", F.coalesce("component", "id").alias("component"))
+    found = salted.with_salt(written(found, "components"), F.col("id"))
+    least = salted.totals(found, ["component"], [F.min("least").alias("top")], [F.min("top").alias("top")])
+    found = found.join(least, ["component", salted.SALT]).select("id", "top")
+    found = groups.select("digest", salted.SALT, "id").join(found, "id").drop("id")
+    linked = full.select("doc_id", "n_shingles", "text_sha", "digest", salted.SALT).join(found, ["digest", salted.SALT]).select(
+        "doc_id", "n_shingles", F.col("top.doc_id").alias("component_id"), "text_sha",
+        ((F.col("doc_id") == F.col("top.doc_id")) & (F.col("text_sha") == F.col("top.text_sha"))).alias("first"))
+    return linked.unionByName(rows.filter("n_shingles = 0 or doc_id is null").select(
+        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_sha", F.lit(True).alias("first")))

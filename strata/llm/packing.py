@@ -30,8 +30,8 @@ _tables: dict[str, WordTable] = {}
 def load(path: str) -> WordTable:
     """The ids of chunks without spaces and line ends, by the tokenizers library.
 
-    The tokenizer drops white space and parts a letter or digit from a stop, so a chunk is its stem's ids
-    and those of the stops that end it.  A run of lower-case ASCII letters is one word to it, and the last
+    The tokenizer drops white space and parts an ASCII letter or digit from a stop, so a chunk that has one
+    before its last stops is its stem's ids and theirs.  A run of lower-case ASCII letters is one word to it, and the last
     token of a word ends with ``</w>``: many such runs go to the library as one text, the rest one by one.
     """
     if path not in _tables:
@@ -66,7 +66,8 @@ def load(path: str) -> WordTable:
             parts = []
             for chunk in chunks:
                 stem = chunk.rstrip(STOPS)
-                if stem and stem[-1].isalnum():
+                # other letters may end in a mark once normalised, which a stop would join
+                if stem and stem[-1].isascii() and stem[-1].isalnum():
                     parts += (stem, chunk[len(stem):])
                 else:
                     parts += (chunk, "")
@@ -118,11 +119,11 @@ def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int =
               end_id: int = END_ID) -> DataFrame:
     """A row per piece: every column of ``df`` but the text, and ``PIECE`` (ids: little-endian unsigned 32-bit)."""
     rest = C.without(df.drop(text), ["start", "length", "doc_tokens", "ids"])
-    n_kept = len(rest.columns)
+    n_kept, own = len(rest.columns), C.free_name(rest)
 
     def run(batches):
         for batch in batches:
-            for part in C.slices([batch], "__text"):
+            for part in C.slices([batch], own):
                 ids, offsets = tokenize(part.column(n_kept).to_pylist(), tokenizer, end_id)
                 n = np.diff(offsets)
                 doc, start, length = binary_pieces(n, sequence)
@@ -137,7 +138,7 @@ def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int =
                     names=part.schema.names[:n_kept] + ["start", "length", "doc_tokens", "ids"])
 
     types = ", ".join(filter(None, [C.types_of(rest), PIECE]))
-    return df.select(*rest.columns, F.col(text).alias("__text")).mapInArrow(run, types)
+    return df.select(*rest.columns, F.col(text).alias(own)).mapInArrow(run, types)
 
 
 def number(pieces: DataFrame, order: list[str]) -> DataFrame:

@@ -252,17 +252,17 @@ def encode_texts(texts: list[str | None], path: str) -> tuple[np.ndarray, np.nda
 def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
     """Every column of ``df`` but the text, and the text's ids."""
     rest = C.without(df.drop(text), [out])
-    n = len(rest.columns)
+    n, own = len(rest.columns), C.free_name(rest)
 
     def run(batches):
         for batch in batches:
-            for part in C.slices([batch], "__text"):
+            for part in C.slices([batch], own):
                 ids, offsets = encode_texts(part.column(n).to_pylist(), path)
                 added = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), pa.array(ids, type=pa.int32()))
                 yield pa.RecordBatch.from_arrays(part.columns[:n] + [added], names=part.schema.names[:n] + [out])
 
     types = ", ".join(filter(None, [C.types_of(rest), f"`{out}` array<int>"]))
-    return df.select(*rest.columns, F.col(text).alias("__text")).mapInArrow(run, types)
+    return df.select(*rest.columns, F.col(text).alias(own)).mapInArrow(run, types)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

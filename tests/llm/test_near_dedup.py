@@ -65,6 +65,40 @@ def test_chains_of_near_copies(spark, monkeypatch, block):
     assert got == plain_components(rows)[0]
 
 
+@pytest.mark.parametrize("few", [0, 4])
+def test_families_near_the_threshold(spark, monkeypatch, few):
+    """A family that its base alone holds together, one just under the threshold, and one of exact copies."""
+    monkeypatch.setattr(N, "BLOCK", 24)
+    rng = random.Random(few)
+    rows = []
+
+    def edited(text, n):
+        text = list(text)
+        for at in rng.sample(range(0, len(text), 5), n):
+            text[at] = f"w{rng.random()}"
+        return " ".join(text)
+
+    base = words(71, 200).split()
+    rows += [(i, edited(base, 4)) for i in range(60)] + [(60, " ".join(base))]
+    base = words(72, 200).split()
+    rows += [(100 + i, edited(base, 3 + i % 4)) for i in range(60)]
+    rows += [(300 + i, words(73, 40)) for i in range(50)]
+    got = {r.doc_id: r.component_id for r in N.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), few).collect()}
+    want = plain_components(rows)[0]
+    assert got == want
+    assert len({want[i] for i in range(61)}) == 1 and len({want[100 + i] for i in range(60)}) > 5
+
+
+def test_texts_of_one_id(spark):
+    """Rows of one id with different texts are linked each by its own; ``first`` marks one text of a component."""
+    a, b, c = words(81, 50), words(82, 50), words(83, 50)
+    rows = [(7, a), (7, b), (7, a), (8, b + " end"), (9, c), (3, a + " end"), (10, None), (10, "")]
+    got = sorted((r.doc_id, r.component_id, r.n_shingles, r.first)
+                 for r in N.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(3, 3, 48, True), (7, 3, 47, False), (7, 3, 47, False), (7, 7, 47, True), (8, 7, 48, False), (9, 9, 47, True),
+                   (10, 10, 0, True), (10, 10, 0, True)]
+
+
 @pytest.mark.parametrize("sketch", [N.SMALL, N.LARGE])
 def test_odd_sketch_counts_samples_that_differ(sketch):
     rng = np.random.default_rng(1)

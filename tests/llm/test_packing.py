@@ -43,3 +43,25 @@ def test_query(spark, folder, messy):
     by_length = [r.length for r in sorted(got, key=lambda r: r.sequence_id)]
     assert by_length == sorted(by_length)                     # equal lengths are numbered together
     assert QUERIES["op5_packing"](spark, f"{folder[0]}/empty").count() == 0
+
+
+def test_every_letter_before_each_stop():
+    """Letters whose normalised form ends in a mark are not parted from a stop."""
+    import unicodedata
+
+    lib = Tokenizer.from_file(PATH)
+    letters = [chr(c) for c in range(33, 0x110000) if not 0xD800 <= c < 0xE000
+               and unicodedata.category(chr(c))[0] in "LMN"]
+    for stop in K.STOPS:
+        chunks = [f"a{c}{stop}" for c in letters if c.isprintable()]
+        for at in range(0, len(chunks), 20000):
+            part = chunks[at:at + 20000]
+            found, size = K.load(PATH).ids(part)
+            want = [e.ids for e in lib.encode_batch_fast(part, add_special_tokens=False)]
+            assert size.tolist() == [len(x) for x in want]
+            assert found.tolist() == [i for x in want for i in x]
+
+
+def test_clashing_names(spark):
+    df = spark.createDataFrame([(1, "one two", "x", "y")], "doc_id long, text string, __text string, _text string")
+    assert K.decompose(df, PATH).drop("ids").collect()[0][:3] == (1, "x", "y")

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -33,10 +35,17 @@ def test_run_against_plain_stages(spark, tmp_path, messy):
     lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = []
     for i, text in texts:
-        n = len(lib.encode(text, add_special_tokens=False).ids) + 1
-        _, start, length = binary_pieces(np.array([n]))
-        want += [(str(i), s, k, n) for s, k in zip(start.tolist(), length.tolist())]
-    assert sorted((str(r.doc_id), r.start, r.length, r.doc_tokens) for r in got.collect()) == sorted(want)
+        ids = np.array(lib.encode(text, add_special_tokens=False).ids + [2], dtype="<u4")
+        _, start, length = binary_pieces(np.array([len(ids)]))
+        want += [(str(i), s, k, len(ids), zlib.crc32(ids[s:s + k].tobytes())) for s, k in zip(start.tolist(), length.tolist())]
+    assert sorted((str(r.doc_id), r.start, r.length, r.doc_tokens, r.ids_crc32) for r in got.collect()) == sorted(want)
+
+
+def test_texts_that_share_an_id_all_stay(spark):
+    a, b = words(91, 80), words(92, 80)
+    docs = frame(spark, [(7, a), (7, b), (7, a), (8, b + " end"), (None, a), (9, "")])
+    got = P.near(spark, docs, "")
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted([("7", a), ("7", b), ("None", a), ("9", "")])
 
 
 def test_stages_keep_the_columns_and_survive_an_empty_table(spark, tmp_path):
