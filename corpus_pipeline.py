@@ -25,15 +25,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the smallest id; rows that repeat an id are one document."""
+    """One document of each group of near duplicates: its smallest id's.
+
+    Rows that repeat an id and its text are one document; an id's other texts are documents of their own.
+    Documents with a null id or without words stay, all of them.
+    """
     common.on_workers(spark)
-    groups = written(near_dedup.near_groups(docs), "groups")
-    others = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    repeated = groups.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    repeated = written(repeated.select("doc_id"), "repeated")
-    left = docs.select(*COLUMNS).join(others, "doc_id", "left_anti")
-    return left.join(repeated, "doc_id", "left_anti").unionByName(
-        left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    sha = near_dedup.text_sha("text").alias("text_sha")
+    groups = written(near_dedup.near_groups(docs).filter("doc_id is not null and n_shingles > 0"), "groups")
+    texts = groups.groupBy("doc_id", "text_sha").agg(F.count("*").alias("n"), F.max("first").alias("first"))
+    texts = written(texts.filter("not first or n > 1"), "not-once")
+    marked = docs.select(*COLUMNS, sha)
+    left = marked.join(texts.filter("not first"), ["doc_id", "text_sha"], "left_anti")
+    repeated = texts.filter("first").select("doc_id", "text_sha")
+    return left.join(repeated, ["doc_id", "text_sha"], "left_anti").unionByName(
+        left.join(repeated, ["doc_id", "text_sha"], "left_semi").dropDuplicates(["doc_id", "text_sha"])).select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
