@@ -6,12 +6,14 @@ as Parquet and read again as the next stage's docs.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import common, near_dedup, queries, repetition, substring_dedup
 from strata.llm.components import written
-from strata.session import scratch_path
+from strata.session import scratch_path, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -62,7 +64,26 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.packed(docs)
 
 
-STAGES = [("quality rules", quality), ("near dedup", near), ("substring dedup", substrings), ("packing", pack)]
+_left: dict[str, list] = {}      # by application: what removes the last stage's scratch tables
+
+
+def _alone(stage):
+    """``stage`` whose scratch tables go when the next stage starts: its output is written then."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        app = spark.sparkContext.applicationId
+        for end in _left.pop(app, ()):
+            end()
+        with scratch_scope() as ends:
+            out = stage(spark, docs, sf_dir)
+        _left[app] = ends
+        return out
+
+    return run
+
+
+STAGES = [(name, _alone(stage)) for name, stage in (
+    ("quality rules", quality), ("near dedup", near), ("substring dedup", substrings), ("packing", pack))]
 
 # Near-dedup's components and the tokenizer's ids are beyond SQL; tests/llm holds the
 # result against a brute-force version.

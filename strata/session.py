@@ -11,6 +11,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -64,11 +67,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_scope: ContextVar[list[Callable[[], object]] | None] = ContextVar("strata_scratch", default=None)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[Callable[[], object]]]:
+    """Collects what removes the scratch folders taken, and frames kept, inside: call each once their results are consumed."""
+    ends: list[Callable[[], object]] = []
+    token = _scope.set(ends)
+    try:
+        yield ends
+    finally:
+        _scope.reset(token)
+
+
+def at_scope_end(end: Callable[[], object]) -> None:
+    """Adds to the scope, if there is one."""
+    ends = _scope.get()
+    if ends is not None:
+        ends.append(end)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder path under the shared checkpoint root."""
+    from strata.sources.fs import delete
+
     root = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = "-".join(p for p in parts if p) or "scratch"
-    return f"{root}/strata/{spark.sparkContext.applicationId}/{leaf}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/strata/{spark.sparkContext.applicationId}/{leaf}-{uuid.uuid4().hex[:12]}"
+    at_scope_end(lambda: delete(spark, path))
+    return path
 
 
 def clear_scratch(spark: SparkSession) -> bool:
