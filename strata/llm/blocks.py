@@ -29,8 +29,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from strata.llm import common as C
 from strata.llm.components import written
+from strata.session import at_scope_end
 
 BLOCK_BYTES = 1 << 20
+LEVEL = 5                             # of compression: a block lies on disk more than once
 KEYS_A_BUCKET = 250_000
 
 Keys = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]     # kind -> (keys, second keys, how often each)
@@ -51,7 +53,7 @@ class Blocks:
             for part in C.slices(batches, text, BLOCK_BYTES):
                 sink = pa.BufferOutputStream()
                 part = pa.RecordBatch.from_arrays(part.columns, schema=part.schema)
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", LEVEL))) as out:
                     out.write_batch(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([number]), pa.array([C.flat(part.column(part.schema.get_field_index(text)))[0].size]),
@@ -61,6 +63,7 @@ class Blocks:
         stored = written(df.mapInArrow(run, "block long, n_bytes long, rows binary"), "blocks")
         self.n_bytes = stored.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
         self.table = stored.select("block", "rows").repartition("block").persist(StorageLevel.DISK_ONLY)
+        at_scope_end(self.table.unpersist)
         self.answers: DataFrame | None = None
 
     def each(self, fn: Callable[[int, pa.RecordBatch, Answers], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -167,11 +167,18 @@ def remove_repeats(df: DataFrame, text: str = "text", window: int = WINDOW, pref
         return data, offsets, C._BYTE[data], np.repeat(offsets[1:], size), np.repeat(np.arange(len(size)), size)
 
     def full_keys(windows, frequent):
-        starts = windows.kept(frequent).starts()
+        own = windows.kept(frequent)
+        starts = own.starts()
         if not len(starts):
             return starts, np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-        second = C.grams(C.mix(windows.h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), window)[starts]
-        return starts, C.grams(windows.h, window)[starts], (second >> np.uint64(32)).astype(np.uint32)
+        # only what these windows cover is hashed, put side by side
+        change = np.zeros(len(own.h) + 1, dtype=np.int32)
+        np.add.at(change, own.lo, 1)
+        np.subtract.at(change, own.hi - 1 + window, 1)
+        covered = np.cumsum(change[:-1]) > 0
+        h, at = own.h[covered], (np.cumsum(covered) - 1)[starts]
+        second = C.grams(C.mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)), window)[at]
+        return starts, C.grams(h, window)[at], (second >> np.uint64(32)).astype(np.uint32)
 
     blocks = Blocks(df, text)
     search = Search(view, sizes)
