@@ -32,10 +32,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
                 now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large.filter("u > v").distinct(), "large-star")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         now = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
                       .unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")

@@ -192,8 +192,7 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
-    """Of pairs (a, b) those whose full sets (id, members) reach the share."""
-    pairs = written(pairs.distinct(), "pairs")
+    """Of written, distinct pairs (a, b) those whose full sets (id, members) reach the share."""
     used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = written(sets.select("id", "members").join(used, "id", "left_semi"), "sets-in-pairs")
 
@@ -216,7 +215,7 @@ def _labelled(member: DataFrame, label: DataFrame | None) -> DataFrame:
     both = member.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
     both = written(both, "labelled")
     mixed = both.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("key")
-    return both.join(written(mixed, "mixed-bands"), "key")
+    return both.join(mixed, "key")
 
 
 def _least_linked(links: DataFrame) -> DataFrame:
@@ -405,9 +404,8 @@ def near_groups(docs: DataFrame, few: int = FEW) -> DataFrame:
         more = written(confirm(pairs, full_set), "links")
         links = more if links is None else links.unionByName(more)
         label = written(_least_linked(links), "star-labels")
-    # bands that hold several components still: a forest of the most similar pairs, then what is left
+    # bands that hold several labels still: a forest of the most similar pairs, then what is left
     sketches = full_set.select("id", "sketch")
-    label = written(components(links), "star-components")
     pairs = _grouped(_dealt(_labelled(member, label).join(sketches, "id")), _forest, "a long, b long").distinct()
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "forest-pairs")
     tried = tried.unionByName(pairs)
@@ -415,7 +413,8 @@ def near_groups(docs: DataFrame, few: int = FEW) -> DataFrame:
     label = written(components(links), "forest-components")
     rest = written(_grouped(_dealt(_labelled(member, label).join(sketches, "id")), _rest(few),
                             "a long, b long, key long, i int, j int, own int"), "rest")
-    few = confirm(rest.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), full_set)
+    few = confirm(written(rest.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"),
+                          "last-pairs"), full_set)
     many = rest.filter("b is null").select("key", "i", "j", "own", F.col("a").alias("id")).join(
         full_set.select("id", "members"), "id").select("key", "i", "j", "own", "id", "members")
     many = _grouped(many, _in_place(SHARE), "a long, b long")
