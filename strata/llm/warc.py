@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import datasource as D
 
+from strata.llm import salted
 from strata.session import scratch_path
 
 FORMAT = "strata_warc"
@@ -386,14 +387,19 @@ def page_records(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     digest = F.when(F.octet_length("html") >= LEAST_SHARED, F.unhex(F.sha2(payload, 256)))
-    shared = (pages.select(F.col("page_id").cast("long").alias("page_id"), digest.alias("same"))
-              .filter("same is not null").groupBy("same")
-              .agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).filter("n > 1 and keeper is not null"))
+    number, uri = F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri")
+    salt = F.struct("page_id", "target_uri")        # a payload that a third of all pages share is spread over tasks
+    shared = salted.totals(
+        salted.with_salt(pages.select(number, uri, digest.alias("same")).filter("same is not null"), salt), ["same"],
+        [F.max("page_id").alias("keeper"), F.count("*").alias("n")],
+        [F.max("keeper").alias("keeper"), F.sum("n").alias("n")], keep=F.expr("n > 1 and keeper is not null")).drop("n")
     path = scratch_path(spark, "shared-payloads")
-    shared.select("same", "keeper").write.parquet(path)
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"),
-                        payload.alias("payload"), digest.alias("same"))
-    rows = rows.join(spark.read.parquet(path), "same", "left")
+    shared.write.parquet(path)
+    rows = pages.select(number, uri, payload.alias("payload"), digest.alias("same"))
+    # smaller payloads are all responses, and stay where they are
+    small = rows.filter("same is null").withColumn("keeper", F.lit(None).cast("long"))
+    rows = salted.with_salt(rows.filter("same is not null"), salt).join(
+        spark.read.parquet(path), ["same", salted.SALT], "left").drop(salted.SALT).unionByName(small)
     revisit = F.coalesce(F.col("keeper") != F.coalesce("page_id", F.col("keeper") - 1), F.lit(False))
     name = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(c.cast("string"), F.lit("none")))
     return rows.select(
