@@ -4,8 +4,12 @@ The automaton holds every run of words of every template.  A document's words
 stream through it and give matching statistics: after each word, the length of
 the longest run that ends there and stands in some template.  Maximal matches
 of at least ``seed`` words are chained per template when both sides advance
-with gaps of at most ``gap`` words.  A chain that covers ``cover`` of its
-template is a span and gives the template's label.
+with gaps of at most ``gap`` words.  A run may stand at several places of a
+template; each is a link of its own, put to the chain that covers most among
+those within the gap, and chains stay open to other links until the text is
+past them.  A chain that covers ``cover`` of its
+template is a span and gives the template's label; of overlapping ones of a
+template the one that covers most is kept.
 
 Base phrases are templates too.  A phrase stands at a place exactly if the
 current match is at least as long as the phrase and the phrase's state is on
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,19 +80,19 @@ class Automaton:
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.size = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]        # template -> the end of its first occurrence
+        self.ends: list[dict[int, list[int]]] = [{}]  # template -> the ends of all occurrences, ascending
         self.lengths = [len(t) for t in templates]
         self.whole: list[int] = []                    # the state that holds each whole template
         for number, template in enumerate(templates):
             last = 0
             for place, word in enumerate(template):
                 last = self._extend(last, self.vocab.setdefault(word.encode(), len(self.vocab)))
-                self.ends[last].setdefault(number, place + 1)
+                self.ends[last].setdefault(number, []).append(place + 1)
             self.whole.append(last)
         for state in sorted(range(1, len(self.size)), key=self.size.__getitem__, reverse=True):
             up = self.ends[self.link[state]]
-            for number, place in self.ends[state].items():
-                up[number] = min(place, up.get(number, place))
+            for number, places in self.ends[state].items():
+                up[number] = sorted({*places, *up.get(number, ())})
 
     def _extend(self, last: int, c: int) -> int:
         known = self.next[last].get(c)
@@ -127,6 +132,15 @@ class Automaton:
             state = self.link[state]
 
 
+@dataclass(frozen=True)
+class Chain:
+    """Matches of one template, one after the other: words of the text, the last place in the template, words covered."""
+    first: int
+    end: int
+    place: int
+    covered: int
+
+
 class Scanner:
     def __init__(self, seed: int = 3, gap: int = 6, cover: float = 0.6):
         self.seed, self.gap, self.cover = seed, gap, cover
@@ -175,26 +189,33 @@ class Scanner:
         return n, places, self._chains(matches)
 
     def _chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        open_: dict[int, list[int]] = {}              # template -> [first, end, template end, words covered]
-        spans = []
+        live: dict[int, list[Chain]] = {}
+        done: dict[int, list[Chain]] = {}
         for end, length, state in matches:
-            for template, place in self.auto.ends[state].items():
+            for template, places in self.auto.ends[state].items():
                 if template >= self.n_templates:
                     continue
-                chain = open_.get(template)
-                if chain and end - length <= chain[1] + self.gap and place > chain[2] \
-                        and abs((place - chain[2]) - (end - chain[1])) <= self.gap:
-                    chain[3] += min(length, place - chain[2], end - chain[1])
-                    chain[1], chain[2] = end, place
-                else:
-                    if chain:
-                        spans.append((template, *chain))
-                    open_[template] = [end - length, end, place, length]
-        spans += [(template, *chain) for template, chain in open_.items()]
-        total = self.auto.lengths
-        return sorted((first, end, template, min(1.0, covered / total[template]))
-                      for template, first, end, _, covered in spans
-                      if covered >= self.cover * total[template])
+                near = []
+                for chain in live.get(template, ()):
+                    (near if end - length <= chain.end + self.gap else done.setdefault(template, [])).append(chain)
+                fresh = []
+                for place in places:
+                    best, covered = None, length
+                    for chain in near:
+                        on, off = end - chain.end, place - chain.place
+                        if off > 0 and abs(off - on) <= self.gap and chain.covered + min(length, off, on) > covered:
+                            best, covered = chain, chain.covered + min(length, off, on)
+                    fresh.append(Chain(best.first if best else end - length, end, place, covered))
+                live[template] = near + fresh
+        spans = []
+        for template, chains in live.items():
+            total = self.auto.lengths[template]
+            taken: list[Chain] = []
+            for c in sorted(chains + done.get(template, []), key=lambda c: (-c.covered, c.first, c.end)):
+                if c.covered >= self.cover * total and all(c.end <= t.first or c.first >= t.end for t in taken):
+                    taken.append(c)
+            spans += [(c.first, c.end, template, min(1.0, c.covered / total)) for c in taken]
+        return sorted(spans)
 
 
 def _words(text: bytes) -> Iterator[list[bytes]]:

@@ -55,7 +55,48 @@ def test_spans_chain_over_gaps_and_pieces(monkeypatch):
     assert scan.scan(text.encode()) == (n, [], spans)
 
 
+def test_disturbed_templates_are_found():
+    """Words replaced in place, or a few of the template's own words put in again; runs stand in it more than once."""
+    scan = L.scanner()
+    rng = random.Random(8)
+    tried = 0
+    for label, texts in L.TEMPLATES.items():
+        for text in texts:
+            words = re.findall("[0-9a-z]+", text)
+            for _ in range(150 if len(words) >= 12 else 0):
+                own = list(words)
+                for at in rng.sample(range(len(own)), rng.randint(1, 5)):
+                    own[at] = "qqq"
+                # runs of the seed or more that stand where they stood, linked over small gaps
+                runs, at = [], 0
+                while at < len(own):
+                    to = at
+                    while to < len(own) and own[to] != "qqq":
+                        to += 1
+                    if to - at >= scan.seed:
+                        runs.append((at, to))
+                    at = to + 1
+                chained = all(b[0] - a[1] <= scan.gap for a, b in zip(runs, runs[1:]))
+                if not chained or sum(b - a for a, b in runs) < scan.cover * len(own):
+                    continue
+                tried += 1
+                if rng.random() < 0.3:
+                    at, k = rng.randrange(len(words) - 5), rng.randrange(3)
+                    own = words[at:at + 5] + ["zzz"] * k + own
+                found = {scan.labels[s[2]] for s in scan.scan(" ".join(["lead", "in", *own, "rest"]).encode())[2]}
+                assert label in found, " ".join(own)
+    assert tried > 500
+
+
+def test_a_template_twice_is_two_spans():
+    scan = L.scanner()
+    text = L.TEMPLATES["mit"][0]
+    spans = [s for s in scan.scan(f"{text} some other words between them here now and more {text}".encode())[2] if scan.labels[s[2]] == "mit"]
+    assert len(spans) >= 2 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]) if a[2] == b[2])
+
+
 def test_empty_table_and_equal_names(spark, folder):
     assert QUERIES["op1_license_scan"](spark, f"{folder[0]}/empty").count() == 0
-    df = spark.createDataFrame([(1, "cc by", "x")], "doc_id long, text string, spans string")
+    df = spark.createDataFrame([(1, "cc by", "x", "y")], "doc_id long, text string, spans string, __text string")
     assert L.scan_licenses(df, ["doc_id", "spans"]).first().n_words == 2
+    assert L.scan_licenses(df, ["doc_id", "__text"]).first()["__text"] == "y"
