@@ -68,7 +68,7 @@ class PipelineConfig:
     # gold rules (C1-C10): "report" publishes a violation report next to the
     # tables, "raise" also refuses any table that breaks a rule, "off" skips both
     rules: str = "report"
-    # datasets that hold quoted line breaks: read by many tasks all the same, but twice
+    # datasets that hold quoted line breaks: read by many tasks all the same, but three times
     multiline: frozenset[str] = frozenset()
     # independent datasets / tables written at the same time (driver threads)
     concurrency: int = 4
@@ -238,7 +238,7 @@ def bronze_to_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]
 
     Rows that are left out are counted by reason in ``<silver>/rejected``, those that dedupe removes in
     ``<silver>/duplicates``.  Both counts come out of the cleaning jobs: each raw file is read once (one with
-    line breaks in fields twice, by many tasks).  As any metric of a job that shuffles, they count the rows
+    line breaks in fields three times, by many tasks).  As any metric of a job that shuffles, they count the rows
     of a task again that has to be repeated after its executor is lost.
     """
     _raise_if_not_ready(bronze_readiness(spark, cfg.bronze), "bronze")

@@ -14,7 +14,8 @@ size.  Here a file is read as lines, which can be cut anywhere:
 
 The quote parity decides, so quotes inside a field must be doubled and fields
 with quotes, separators or line breaks quoted (RFC 4180).  A file is read
-twice.  A record must fit in a task's memory; one quote without its partner
+three times, by as many tasks as it has ranges: for the counts (when the frame
+is made), for whole records and for pieces.  A record must fit in a task's memory; one quote without its partner
 makes the rest of its file one record, as in any reader.
 
 Results equal ``spark.read.csv(multiLine=True, escape='"')``: the first line end
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.operators.star import bytes_of
+from strata.session import scratch_path
 from strata.sources.files import CSV_GLOB, read_csv
 
 MAX_BROADCAST_BYTES = 32 << 20
@@ -134,7 +136,9 @@ def records(spark: SparkSession, path: str | Sequence[str], glob: str | None = C
             max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """(file, first, record): the records of CSV files as text; ``first`` marks the first of its file."""
     lines = _lines(spark, path, glob, recursive)
-    parity = range_parity(lines)
+    ranges = scratch_path(spark, "csv-ranges")
+    range_parity(lines).write.parquet(ranges)
+    parity = spark.read.parquet(ranges)
     if bytes_of(parity) <= max_broadcast_bytes:          # a row per byte range
         known = lines.join(F.broadcast(parity), ["file", "block"], "left")
     else:
