@@ -55,9 +55,6 @@ def file_manifest(spark, d):
     return A.size_summary(files, "folder").select("folder", "total_bytes", "empty_files")
 
 
-_LATEST = [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc()]
-
-
 @query("incremental_latest", """
 SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders
 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) = 1
@@ -70,8 +67,8 @@ def incremental_latest(spark, d):
     """
     o = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus")
     status, rows = F.coalesce("o_orderstatus", F.lit("")), ["o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"]
-    target = scratch_path(spark, "latest-state")
-    put = lambda n, b: I.update_latest(spark, target, n, b.select(*rows), ["o_custkey"], _LATEST)
+    target, latest = scratch_path(spark, "latest-state"), [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc()]
+    put = lambda n, b: I.update_latest(spark, target, n, b.select(*rows), ["o_custkey"], latest)
     put(1, o.filter(status == "O"))
     put(2, o.filter(status.isin("O", "F")))
     if put(2, o.filter(status.isin("O", "F"))):
