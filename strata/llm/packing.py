@@ -23,6 +23,7 @@ from strata.session import scratch_path
 SEQUENCE = 4096
 END_ID = 2
 STOPS = ",.;:!?"
+MEMO = 300_000                        # words that each of the two tables of a worker holds before it starts afresh
 
 _tables: dict[str, WordTable] = {}
 
@@ -60,7 +61,7 @@ def load(path: str) -> WordTable:
             flat[~which] = [i for ids in rest for i in ids]
             return flat, size
 
-        stems = WordTable(encode_parts)
+        stems = WordTable(encode_parts, MEMO)
 
         def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
             parts = []
@@ -74,7 +75,7 @@ def load(path: str) -> WordTable:
             flat, size = stems.ids(parts)
             return flat, size[0::2] + size[1::2]
 
-        _tables[path] = WordTable(encode)
+        _tables[path] = WordTable(encode, MEMO)
     return _tables[path]
 
 
