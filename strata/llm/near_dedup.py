@@ -41,6 +41,7 @@ from strata.llm import common as C
 from strata.llm import salted
 from strata.llm.components import components, written
 from strata.llm.embedding_dedup import _roots
+from strata.operators.bloom import flagged
 
 SHINGLE = 4
 SHARE = 80                       # percent of the union that two linked sets have in common, at least
@@ -152,8 +153,13 @@ def text_sha(text: str) -> Column:
     return F.unhex(F.sha2(F.col(text), 256))
 
 
+def _maybe(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` isn't in ``wanted``, so that a join after it moves little else."""
+    return flagged(df, wanted, key, "__maybe").filter("__maybe").drop("__maybe")
+
+
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, members and large sketch of the sets in ``ids`` (id, doc_id, digest); only their documents' texts move."""
+    """id, members and large sketch of the sets in written ``ids`` (id, doc_id, text_sha); only their texts move, once."""
     def run(batches):
         for batch in batches:
             for part in C.slices([batch], "text"):
@@ -163,13 +169,14 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 sets = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
                                              [None, cut.buffers()[1], pa.py_buffer(values.tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), sets.cast(pa.binary()), pa.array([p.tobytes() for p in parity]),
-                     pa.array(_digests(values, offsets), type=pa.binary())], names=["doc_id", "members", "sketch", "digest"])
+                    [part.column(0), sets.cast(pa.binary()), pa.array([p.tobytes() for p in parity])],
+                    names=["id", "members", "sketch"])
 
-    texts = C.as_bytes(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(
-        ids.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = texts.select("doc_id", "text").mapInArrow(run, "doc_id long, members binary, sketch binary, digest binary")
-    return sets.join(ids, ["doc_id", "digest"]).select("id", "members", "sketch").dropDuplicates(["id"])
+    texts = _maybe(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id")
+    # rows that repeat an id and its text are one; the join needs no other exchange of the texts
+    once = texts.withColumn("text_sha", text_sha("text")).groupBy("doc_id", "text_sha").agg(
+        F.first(F.col("text").cast("binary")).alias("text"))
+    return once.join(ids, ["doc_id", "text_sha"]).select("id", "text").mapInArrow(run, "id long, members binary, sketch binary")
 
 
 def _paired(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
@@ -193,14 +200,15 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def confirm(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
     """Of written, distinct pairs (a, b) those whose full sets (id, members) reach the share."""
-    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = written(sets.select("id", "members").join(used, "id", "left_semi"), "sets-in-pairs")
+    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    sets = _maybe(sets.select("id", "members"), used, "id")
 
     def check(batches):
         for batch in batches:
             good = np.zeros(batch.num_rows, dtype=bool)
-            for i, (a, b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            (one, first), (two, second) = C.flat(batch.column(2)), C.flat(batch.column(3))     # views: nothing is copied
+            for i in range(batch.num_rows):
+                x, y = one[first[i]:first[i + 1]].view(np.uint64), two[second[i]:second[i + 1]].view(np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good[i] = 100 * both >= share * (len(x) + len(y) - both) and both > 0
             yield batch.select([0, 1]).filter(pa.array(good))
@@ -233,8 +241,8 @@ def _star(member: DataFrame, number: int) -> DataFrame:
             .select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct())
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Members of bands in pairs of blocks: key, i, j, own (the member's block), id, label, sketch.
+def _dealt(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Members (key, id, label) of bands in pairs of blocks: key, i, j, own (the member's block), id, label, sketch.
 
     A band's members are dealt to blocks of about ``BLOCK``; each pair of blocks is a group of its own, so that no
     task needs more than two blocks.
@@ -243,6 +251,7 @@ def _dealt(members: DataFrame) -> DataFrame:
     blocks = salted.totals(rows, ["key"], [F.count("*").alias("n")], [F.sum("n").alias("n")]).select(
         "key", salted.SALT, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     dealt = rows.join(blocks, ["key", salted.SALT]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.join(sketches, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return dealt.withColumn("other", other).select(
         "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "label", "sketch")
@@ -387,14 +396,14 @@ def near_groups(docs: DataFrame, few: int = FEW) -> DataFrame:
         full, ["digest"], [F.min("row").alias("id"), F.min(F.struct("doc_id", "text_sha")).alias("least")],
         [F.min("id").alias("id"), F.min("least").alias("least")]), "sets-by-digest")
     distinct = groups.select("id", "digest", "least").distinct()
-    sets = written(full.join(distinct.select("id"), full["row"] == distinct["id"]).select("id", "doc_id", "digest", "sketch", "bands"),
+    sets = written(full.join(distinct.select("id"), full["row"] == distinct["id"]).select("id", "doc_id", "text_sha", "sketch", "bands"),
                    "distinct-sets")
     banded = sets.select("id", F.posexplode("bands").alias("band", "key"))
     shared = written(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
                      .select("key"), "shared-bands")
     member = written(banded.join(shared, "key").select("key", "band", "id"), "band-members")
-    full_set = written(full_sets(docs, sets.select("id", "doc_id", "digest").join(
-        member.select("id").distinct(), "id", "left_semi")), "full-sets")
+    in_bands = written(sets.select("id", "doc_id", "text_sha").join(member.select("id").distinct(), "id", "left_semi"), "sets-in-bands")
+    full_set = written(full_sets(docs, in_bands), "full-sets")
     links = tried = label = None
     for number in range(STARS):
         own = member.filter(F.col("band") % STARS == number)
@@ -406,17 +415,17 @@ def near_groups(docs: DataFrame, few: int = FEW) -> DataFrame:
         label = written(_least_linked(links), "star-labels")
     # bands that hold several labels still: a forest of the most similar pairs, then what is left
     sketches = full_set.select("id", "sketch")
-    pairs = _grouped(_dealt(_labelled(member, label).join(sketches, "id")), _forest, "a long, b long").distinct()
+    pairs = _grouped(_dealt(_labelled(member, label), sketches), _forest, "a long, b long").distinct()
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "forest-pairs")
     tried = tried.unionByName(pairs)
     links = links.unionByName(written(confirm(pairs, full_set), "links"))
     label = written(components(links), "forest-components")
-    rest = written(_grouped(_dealt(_labelled(member, label).join(sketches, "id")), _rest(few),
+    rest = written(_grouped(_dealt(_labelled(member, label), sketches), _rest(few),
                             "a long, b long, key long, i int, j int, own int"), "rest")
     few = confirm(written(rest.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"),
                           "last-pairs"), full_set)
-    many = rest.filter("b is null").select("key", "i", "j", "own", F.col("a").alias("id")).join(
-        full_set.select("id", "members"), "id").select("key", "i", "j", "own", "id", "members")
+    many = rest.filter("b is null").select("key", "i", "j", "own", F.col("a").alias("id"))
+    many = many.join(_maybe(full_set.select("id", "members"), many, "id"), "id").select("key", "i", "j", "own", "id", "members")
     many = _grouped(many, _in_place(SHARE), "a long, b long")
     final = components(links.unionByName(few).unionByName(many)).select("id", "component").distinct()
 

@@ -19,6 +19,7 @@ from strata.operators.star import HOT_FRACTION, HOT_ROWS, missing_keys
 
 HASHES = 2
 PART_BITS = 32_768
+PIECE_BITS = 2_048                # a test copies a piece of the map for its row
 
 
 def _places(keys: Sequence[str], bits: int) -> list[Column]:
@@ -32,15 +33,15 @@ def key_filter(existing: DataFrame, keys: Sequence[str], bits: int) -> DataFrame
         F.bitmap_construct_agg(F.col("place") % PART_BITS).alias("bitmap"))
 
 
-def maybe_in(df: DataFrame, found: DataFrame, keys: Sequence[str], bits: int, flag: str) -> DataFrame:
+def maybe_in(df: DataFrame, found: DataFrame, keys: Sequence[str], bits: int, flag: str, part_bits: int = PART_BITS) -> DataFrame:
     """``df`` with ``flag``: false where no key of the filter is equal, for sure.  No shuffle: the filter is broadcast."""
     out = df
     tests = []
     for n, place in enumerate(_places(keys, bits)):
         part, bitmap, at = f"__part{n}", f"__bitmap{n}", f"__at{n}"
-        out = out.withColumn(at, place).withColumn(part, F.floor(F.col(at) / PART_BITS))
+        out = out.withColumn(at, place).withColumn(part, F.floor(F.col(at) / part_bits))
         out = out.join(F.broadcast(found.select(F.col("part").alias(part), F.col("bitmap").alias(bitmap))), part, "left")
-        byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(F.col(at) % PART_BITS / 8) + 1).cast("int"), F.lit(1))), 16, 10)
+        byte = F.conv(F.hex(F.substring(F.col(bitmap), (F.floor(F.col(at) % part_bits / 8) + 1).cast("int"), F.lit(1))), 16, 10)
         tests.append(F.coalesce(F.call_function("shiftright", byte.cast("int"), (F.col(at) % 8).cast("int")).bitwiseAND(1) == 1, F.lit(False)))
     both = tests[0]
     for t in tests[1:]:
@@ -48,6 +49,23 @@ def maybe_in(df: DataFrame, found: DataFrame, keys: Sequence[str], bits: int, fl
     return out.select(*[F.col(f"`{c}`") for c in df.columns], both.alias(flag))
 
 
+def flagged(df: DataFrame, existing: DataFrame, on: str | Sequence[str], flag: str, bits_per_key: int = 10,
+            max_filter_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` with ``flag``: false where ``existing`` has no equal key, for sure; equal keys are of one type on both sides.
+
+    The filter grows with the keys up to ``max_filter_bytes``; with more keys, more rows are flagged than need be.
+    ``existing`` is read three times.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    n = existing.agg(F.approx_count_distinct(F.struct(*keys))).first()[0]
+    parts = min(-(-max(1, n * bits_per_key) // PART_BITS), max(1, max_filter_bytes * 8 // PART_BITS))
+    piece = F.explode(F.sequence(F.lit(0), F.lit(PART_BITS // PIECE_BITS - 1))).alias("piece")
+    pieces = key_filter(existing, keys, parts * PART_BITS).select("part", "bitmap", piece).select(
+        (F.col("part") * (PART_BITS // PIECE_BITS) + F.col("piece")).alias("part"),
+        F.substring(F.col("bitmap"), F.col("piece") * (PIECE_BITS // 8) + 1, F.lit(PIECE_BITS // 8)).alias("bitmap"))
+    return maybe_in(df, pieces, keys, parts * PART_BITS, flag, PIECE_BITS)
+
+
 def missing_keys_filtered(required: DataFrame, existing: DataFrame, on: str | Sequence[str], bits_per_key: int = 10,
                           max_filter_bytes: int = 64 << 20, hot_fraction: float = HOT_FRACTION,
                           hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -122,3 +122,53 @@ def test_components_of_paths_and_stars(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(30)}}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def shuffles_with(df, column):
+    """The plans, as text, of what goes through a shuffle with ``column`` in it; plan ``df`` without adaptive execution."""
+    def walk(node):
+        if node.nodeName() == "Exchange" and any(node.output().apply(i).name() == column for i in range(node.output().size())):
+            yield node.toString()
+        for i in range(node.children().size()):
+            yield from walk(node.children().apply(i))
+
+    return list(walk(df._jdf.queryExecution().executedPlan()))
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """Joins as for large tables, in plans that don't change while they run."""
+    put = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in put}
+    for k, v in put.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def test_only_texts_of_shared_bands_move_and_only_once(spark, tmp_path, plain_plans):
+    texts = [(i, words(i, 30)) for i in range(60)] + [(7, words(7, 30)), (None, words(9, 30)), (8, words(900, 30))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    keyed = docs.filter("doc_id in (7, 8)").select(
+        "doc_id", N.text_sha("text").alias("text_sha")).distinct().selectExpr("xxhash64(text_sha) id", "*")
+    keyed.write.parquet(f"{tmp_path}/ids")
+    ids = spark.read.parquet(f"{tmp_path}/ids")
+    found = N.full_sets(docs, ids)
+    moved = shuffles_with(found, "text") + shuffles_with(found, "first")
+    assert len(moved) == 1 and "BroadcastExchange" in moved[0]           # behind the filter of the ids
+    assert not shuffles_with(found, "members")
+    got = {r.id: len(r.members) // 8 for r in found.collect()}
+    assert got == {r.id: 27 for r in ids.collect()} and len(got) == 3 and found.count() == 3
+
+
+def test_confirmed_sets_move_behind_a_filter_and_links_stay(spark, tmp_path, plain_plans):
+    base = np.arange(100, dtype=np.uint64)
+    sets = {1: base, 2: base[:80], 3: base[:79], 4: base + np.uint64(1000)}
+    spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in sets.items()], "id long, members binary").write.parquet(f"{tmp_path}/sets")
+    spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 3)], "a long, b long").write.parquet(f"{tmp_path}/pairs")
+    found = N.confirm(spark.read.parquet(f"{tmp_path}/pairs"), spark.read.parquet(f"{tmp_path}/sets"))
+    assert all("BroadcastExchange" in x for x in shuffles_with(found, "members") + shuffles_with(found, "x"))
+    assert sorted(map(tuple, found.collect())) == [(1, 2), (2, 3)]

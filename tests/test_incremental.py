@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import incremental as I
-from strata.operators.bloom import key_filter, maybe_in, missing_keys_filtered
+from strata.operators.bloom import flagged, key_filter, maybe_in, missing_keys_filtered
 from strata.operators.star import missing_keys
 from strata.plans.explain import plan_text
 from strata.sinks import partitions as P
@@ -186,3 +186,15 @@ def test_join_driven_pruning(spark, tmp_path):
     joined = facts.join(dim, F.col("y") == F.col("year"))
     assert "dynamicpruning" in plan_text(joined).lower()
     assert joined.count() == 100
+
+
+@pytest.mark.parametrize("most", [4096, 32 << 20])
+def test_flag_never_misses_a_key(spark, most):
+    """Also with a filter that is too small for its keys, and next to rows without a key."""
+    have = spark.range(0, 30_000, 3).withColumnRenamed("id", "k")
+    df = spark.range(60_000).select(F.when(F.col("id") < 59_990, F.col("id")).alias("k"), F.col("id").alias("flagless"))
+    got = flagged(df, have, "k", "maybe", max_filter_bytes=most).cache()
+    assert got.count() == 60_000 and got.columns == ["k", "flagless", "maybe"] and got.filter("maybe is null").count() == 0
+    assert got.filter("maybe").join(have, "k").count() == 10_000
+    if most > 4096:
+        assert got.filter("maybe").count() < 16_000
