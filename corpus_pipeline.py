@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import common, near_dedup, queries, repetition, substring_dedup
 from strata.llm.components import written
+from strata.operators.bloom import flagged
 from strata.session import scratch_path, scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,15 +34,14 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents with a null id or without words stay, all of them.
     """
     common.on_workers(spark)
-    sha = near_dedup.text_sha("text").alias("text_sha")
     groups = written(near_dedup.near_groups(docs).filter("doc_id is not null and n_shingles > 0"), "groups")
-    texts = groups.groupBy("doc_id", "text_sha").agg(F.count("*").alias("n"), F.max("first").alias("first"))
-    texts = written(texts.filter("not first or n > 1"), "not-once")
-    marked = docs.select(*COLUMNS, sha)
-    left = marked.join(texts.filter("not first"), ["doc_id", "text_sha"], "left_anti")
-    repeated = texts.filter("first").select("doc_id", "text_sha")
-    return left.join(repeated, ["doc_id", "text_sha"], "left_anti").unionByName(
-        left.join(repeated, ["doc_id", "text_sha"], "left_semi").dropDuplicates(["doc_id", "text_sha"])).select(*COLUMNS)
+    texts = groups.groupBy(F.col("doc_id").alias("__id"), "text_sha").agg(F.count("*").alias("n"), F.max("first").alias("first"))
+    texts = written(texts.filter("not first or n > 1").drop("n"), "not-once")
+    # rows of other ids stay where they are
+    marked = flagged(docs.select(*COLUMNS, F.col("doc_id").cast("long").alias("__id")), texts, "__id", "__maybe")
+    maybe = marked.filter("__maybe").withColumn("text_sha", near_dedup.text_sha("text")).join(texts, ["__id", "text_sha"], "left")
+    return marked.filter("not __maybe").unionByName(maybe.filter("first is null").select(*marked.columns)).unionByName(
+        maybe.filter("first").dropDuplicates(["__id", "text_sha"]).select(*marked.columns)).select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

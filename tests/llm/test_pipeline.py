@@ -8,7 +8,7 @@ import corpus_pipeline as P
 from strata.llm.packing import binary_pieces
 
 from .conftest import frame, words
-from .test_near_dedup import plain_components
+from .test_near_dedup import plain_components, plain_plans, shuffles_with  # noqa: F401
 from .test_repeats import plain_words
 from .test_repetition import plain as plain_quality
 
@@ -58,3 +58,16 @@ def test_stages_keep_the_columns_and_survive_an_empty_table(spark, tmp_path):
             out.write.parquet(f"{tmp_path}/{k}")
             docs = spark.read.parquet(f"{tmp_path}/{k}")
         assert out.count() == 0
+
+
+def test_texts_without_near_copies_stay_where_they_are(spark, tmp_path, plain_plans):  # noqa: F811
+    a, b, c = words(93, 80), words(94, 80), words(95, 80)
+    rows = [(1, a), (1, a), (2, a + " end"), (3, b), (3, c), (4, b + " end"), (5, c), (None, c), (6, None), (6, None), (7, "")]
+    rows += [(100 + i, words(1000 + i, 60)) for i in range(40)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/docs")
+    found = P.near(spark, spark.read.parquet(f"{tmp_path}/docs"), "")
+    moved = shuffles_with(found, "text")
+    assert moved and all("BroadcastExchange" in x for x in moved)
+    want = [("1", a), ("3", b), ("3", c), ("None", c), ("6", None), ("6", None), ("7", "")]
+    want += [(str(i), t) for i, t in rows[11:]]
+    assert sorted(((str(r.doc_id), r.text) for r in found.collect()), key=str) == sorted(want, key=str)
