@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.session import scratch_path
@@ -22,21 +22,26 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     neighbours and itself to the smallest of them (small star), until the edges don't change; they then lead
     from each id straight to its component's smallest.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(),
-                  "edges")
-    before = None
+    now, state = _counted(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(),
+                          "edges")
     for _ in range(most_rounds):
-        state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if state == before:
-            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-                now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.filter("u > v").distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        now = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v")
-                      .unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
+        large = large.filter("u > v")
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        # the row of u's smallest neighbour leads u there, and the others their neighbours
+        now, state = _counted(small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                           F.col("m").alias("v")).distinct(), "stars")
+        if state == before:
+            return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+                now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
     raise RuntimeError("components did not settle")
+
+
+def _counted(edges: DataFrame, name: str) -> tuple[DataFrame, dict]:
+    """``edges`` written, and their count and the sum of their hashes, taken while they are written."""
+    seen = Observation()
+    out = written(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), name)
+    return out, seen.get

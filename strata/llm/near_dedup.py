@@ -200,7 +200,7 @@ def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def confirm(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
     """Of written, distinct pairs (a, b) those whose full sets (id, members) reach the share."""
-    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    used = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     sets = _maybe(sets.select("id", "members"), used, "id")
 
     def check(batches):
@@ -217,13 +217,16 @@ def confirm(pairs: DataFrame, sets: DataFrame, share: int = SHARE) -> DataFrame:
 
 
 def _labelled(member: DataFrame, label: DataFrame | None) -> DataFrame:
-    """key, id, label of the members of bands that hold several labels still."""
+    """key, id, label of the members of bands."""
     if label is None:
         return member.select("key", "id", F.col("id").alias("label"))
-    both = member.join(label, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
-    both = written(both, "labelled")
-    mixed = both.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("key")
-    return both.join(mixed, "key")
+    both = member.select("key", "id").join(label, "id", "left")
+    return written(both.select("key", "id", F.coalesce("component", "id").alias("label")), "labelled")
+
+
+def _mixed(labelled: DataFrame, *more: Column) -> DataFrame:
+    """key and ``more`` aggregates of the bands that hold several labels."""
+    return labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), *more).filter("l < h").drop("l", "h")
 
 
 def _least_linked(links: DataFrame) -> DataFrame:
@@ -232,25 +235,28 @@ def _least_linked(links: DataFrame) -> DataFrame:
     return both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component"))
 
 
-def _star(member: DataFrame, number: int) -> DataFrame:
+def _star(labelled: DataFrame, number: int) -> DataFrame:
     """Pairs (a, b) of each member with two members of its band that it isn't joined to."""
     own = F.struct(F.xxhash64(F.lit(number), "id").alias("h"), "id", "label") if number else F.struct("id", "label")
-    ends = written(member.groupBy("key").agg(F.min(own).alias("low"), F.max(own).alias("high")), "star-centres")
-    return (member.join(ends, "key").select("id", "label", F.explode(F.array("low", "high")).alias("to"))
+    ends = _mixed(labelled, F.min(own).alias("low"), F.max(own).alias("high"))
+    return (labelled.join(ends, "key").select("id", "label", F.explode(F.array("low", "high")).alias("to"))
             .filter("label <> to.label")
             .select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct())
 
 
+def _apart(labelled: DataFrame) -> DataFrame:
+    """The members of bands that hold several labels still, and n, their band's members."""
+    return labelled.join(_mixed(labelled, F.count("*").alias("n")), "key")
+
+
 def _dealt(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Members (key, id, label) of bands in pairs of blocks: key, i, j, own (the member's block), id, label, sketch.
+    """Members (key, id, label, n) of bands in pairs of blocks: key, i, j, own (the member's block), id, label, sketch.
 
     A band's members are dealt to blocks of about ``BLOCK``; each pair of blocks is a group of its own, so that no
     task needs more than two blocks.
     """
-    rows = salted.with_salt(members, F.col("id"))
-    blocks = salted.totals(rows, ["key"], [F.count("*").alias("n")], [F.sum("n").alias("n")]).select(
-        "key", salted.SALT, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = rows.join(blocks, ["key", salted.SALT]).withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = members.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+        "own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     dealt = dealt.join(sketches, "id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return dealt.withColumn("other", other).select(
@@ -399,35 +405,34 @@ def near_groups(docs: DataFrame, few: int = FEW) -> DataFrame:
     sets = written(full.join(distinct.select("id"), full["row"] == distinct["id"]).select("id", "doc_id", "text_sha", "sketch", "bands"),
                    "distinct-sets")
     banded = sets.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = written(banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
-                     .select("key"), "shared-bands")
+    shared = banded.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("key")
     member = written(banded.join(shared, "key").select("key", "band", "id"), "band-members")
     in_bands = written(sets.select("id", "doc_id", "text_sha").join(member.select("id").distinct(), "id", "left_semi"), "sets-in-bands")
     full_set = written(full_sets(docs, in_bands), "full-sets")
     links = tried = label = None
     for number in range(STARS):
         own = member.filter(F.col("band") % STARS == number)
-        pairs = _alike(_star(_labelled(own, label), number), sets)
-        pairs = written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+        pairs = _star(_labelled(own, label), number)
+        pairs = written(_alike(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), sets), "star-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         more = written(confirm(pairs, full_set), "links")
         links = more if links is None else links.unionByName(more)
-        label = written(_least_linked(links), "star-labels")
+        label = _least_linked(links)
     # bands that hold several labels still: a forest of the most similar pairs, then what is left
     sketches = full_set.select("id", "sketch")
-    pairs = _grouped(_dealt(_labelled(member, label), sketches), _forest, "a long, b long").distinct()
+    pairs = _grouped(_dealt(_apart(_labelled(member, label)), sketches), _forest, "a long, b long").distinct()
     pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "forest-pairs")
     tried = tried.unionByName(pairs)
-    links = links.unionByName(written(confirm(pairs, full_set), "links"))
-    label = written(components(links), "forest-components")
-    rest = written(_grouped(_dealt(_labelled(member, label), sketches), _rest(few),
+    label = components(links.unionByName(confirm(pairs, full_set)))
+    rest = written(_grouped(_dealt(_apart(_labelled(member, label)), sketches), _rest(few),
                             "a long, b long, key long, i int, j int, own int"), "rest")
     few = confirm(written(rest.filter("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"),
                           "last-pairs"), full_set)
     many = rest.filter("b is null").select("key", "i", "j", "own", F.col("a").alias("id"))
     many = many.join(_maybe(full_set.select("id", "members"), many, "id"), "id").select("key", "i", "j", "own", "id", "members")
     many = _grouped(many, _in_place(SHARE), "a long, b long")
-    final = components(links.unionByName(few).unionByName(many)).select("id", "component").distinct()
+    known = label.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    final = components(known.unionByName(few).unionByName(many))
 
     found = distinct.select("id", "least").join(final, "id", "left").select(
         "id", "least", F.coalesce("component", "id").alias("component"))

@@ -6,6 +6,7 @@ import pytest
 from strata.llm import near_dedup as N
 from strata.llm.components import components
 from strata.llm.queries import QUERIES
+from strata.session import scratch_scope
 
 from .conftest import words
 
@@ -172,3 +173,25 @@ def test_confirmed_sets_move_behind_a_filter_and_links_stay(spark, tmp_path, pla
     found = N.confirm(spark.read.parquet(f"{tmp_path}/pairs"), spark.read.parquet(f"{tmp_path}/sets"))
     assert all("BroadcastExchange" in x for x in shuffles_with(found, "members") + shuffles_with(found, "x"))
     assert sorted(map(tuple, found.collect())) == [(1, 2), (2, 3)]
+
+
+def test_filter_takes_each_set_once(spark, monkeypatch):
+    """The rows made for the filter grow with the sets of the pairs, not with the pairs."""
+    seen, plain = [], N.flagged
+    monkeypatch.setattr(N, "flagged", lambda df, wanted, *more: seen.append(wanted) or plain(df, wanted, *more))
+    members = np.arange(20, dtype=np.uint64).tobytes()
+    sets = spark.createDataFrame([(i, bytearray(members)) for i in range(12)], "id long, members binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(10) for b in range(a + 1, 10)], "a long, b long")
+    assert N.confirm(pairs, sets).count() == 45
+    assert [x.count() for x in seen] == [10]
+
+
+def test_components_write_once_a_round(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    edges = spark.createDataFrame([(b, a) for a, b in chain[::2]] + chain[1::2] + [(7, 7), (50, 60), (60, 50), (50, 70)], "a long, b long")
+    got = {r.id: r.component for r in components(edges).collect()}
+    assert got == {i: 0 for i in range(41)} | {i: 50 for i in (50, 60, 70)}
+    with scratch_scope() as ends:
+        assert components(spark.createDataFrame([(1, i) for i in range(2, 9)], "a long, b long")).count() == 8
+    assert len(ends) == 2
+    assert components(edges.limit(0)).count() == 0
