@@ -34,7 +34,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents with a null id or without words stay, all of them.
     """
     common.on_workers(spark)
-    groups = written(near_dedup.near_groups(docs).filter("doc_id is not null and n_shingles > 0"), "groups")
+    groups = near_dedup.near_groups(docs).filter("doc_id is not null and n_shingles > 0")
     texts = groups.groupBy(F.col("doc_id").alias("__id"), "text_sha").agg(F.count("*").alias("n"), F.max("first").alias("first"))
     texts = written(texts.filter("not first or n > 1").drop("n"), "not-once")
     # rows of other ids stay where they are

@@ -6,6 +6,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from strata.llm.packing import binary_pieces
+from strata.session import scratch_scope
 
 from .conftest import frame, words
 from .test_near_dedup import plain_components, plain_plans, shuffles_with  # noqa: F401
@@ -71,3 +72,14 @@ def test_texts_without_near_copies_stay_where_they_are(spark, tmp_path, plain_pl
     want = [("1", a), ("3", b), ("3", c), ("None", c), ("6", None), ("6", None), ("7", "")]
     want += [(str(i), t) for i, t in rows[11:]]
     assert sorted(((str(r.doc_id), r.text) for r in found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_near_writes_few_tables(spark):
+    """Each file of a table is a risk of its own on an executor: it takes children of the JVM to write it."""
+    text = words(3, 40)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate((text, text + " more", words(4, 40)))],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    with scratch_scope() as ends:
+        found = P.near(spark, docs, "")
+    assert sorted(r.doc_id for r in found.collect()) == [0, 2]
+    assert len(ends) <= 28
