@@ -24,7 +24,7 @@ SEQUENCE = 4096
 END_ID = 2
 STOPS = ",.;:!?"
 
-_tables: dict[str, WordTable] = {}
+_tables: dict[str, tuple[WordTable, WordTable]] = {}       # of chunks, and of their stems
 
 
 def load(path: str) -> WordTable:
@@ -74,8 +74,14 @@ def load(path: str) -> WordTable:
             flat, size = stems.ids(parts)
             return flat, size[0::2] + size[1::2]
 
-        _tables[path] = WordTable(encode)
-    return _tables[path]
+        _tables[path] = WordTable(encode), stems
+    return _tables[path][0]
+
+
+def forget(path: str) -> None:
+    """Empties the tables; the tokenizer stays."""
+    for table in _tables.get(path, ()):
+        table.clear()
 
 
 def tokenize(texts: list[str | None], path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -121,7 +127,7 @@ def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int =
     rest = C.without(df.drop(text), ["start", "length", "doc_tokens", "ids"])
     n_kept, own = len(rest.columns), C.free_name(rest)
 
-    def run(batches):
+    def pieces(batches):
         for batch in batches:
             for part in C.slices([batch], own):
                 ids, offsets = tokenize(part.column(n_kept).to_pylist(), tokenizer, end_id)
@@ -137,6 +143,12 @@ def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int =
                     columns + [pa.array(start), pa.array(length), pa.array(n[doc]), body.cast(pa.binary())],
                     names=part.schema.names[:n_kept] + ["start", "length", "doc_tokens", "ids"])
 
+    def run(batches):
+        try:
+            yield from pieces(batches)
+        finally:
+            forget(tokenizer)
+
     types = ", ".join(filter(None, [C.types_of(rest), PIECE]))
     return df.select(*rest.columns, F.col(text).alias(own)).mapInArrow(run, types)
 

@@ -1,7 +1,8 @@
 """Token ids of words that are met again and again, kept as flat numpy arrays.
 
 A memo, not a limit: once it holds ``most`` words it starts afresh.  Results
-don't depend on it.
+don't depend on it.  A worker outlives its task, so what a table holds is
+missing in later stages until it is cleared.
 """
 
 from __future__ import annotations
@@ -17,13 +18,12 @@ class WordTable:
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 800_000):
         self.encode, self.most = encode, most
-        self._clear()
+        self.clear()
 
-    def _clear(self) -> None:
+    def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, dtype=np.int32)
-        self.start = np.zeros(1 << 12, dtype=np.int64)
-        self.size = np.zeros(1 << 12, dtype=np.int64)
+        self.start = np.zeros(1 << 12, dtype=np.int64)      # a word's ids end where the next one's start
         self.n = self.used = 0
 
     def _add(self, words: list[str]) -> None:
@@ -31,12 +31,10 @@ class WordTable:
         n, used = self.n + len(words), self.used + len(ids)
         if used > len(self.flat):
             self.flat = np.concatenate((self.flat, np.zeros(max(used, len(self.flat)), dtype=np.int32)))
-        if n > len(self.start):
-            more = np.zeros(max(n, len(self.start)), dtype=np.int64)
-            self.start, self.size = np.concatenate((self.start, more)), np.concatenate((self.size, more))
+        if n >= len(self.start):
+            self.start = np.concatenate((self.start, np.zeros(max(n + 1, len(self.start)), dtype=np.int64)))
         self.flat[self.used:used] = ids
-        self.size[self.n:n] = sizes
-        self.start[self.n:n] = self.used + np.cumsum(sizes) - sizes
+        self.start[self.n + 1:n + 1] = self.used + np.cumsum(sizes)
         self.index.update(zip(words, range(self.n, n)))
         self.n, self.used = n, used
 
@@ -46,11 +44,12 @@ class WordTable:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             if self.n > self.most or self.used > 8 * self.most:
-                self._clear()
+                self.clear()
                 missing = np.arange(len(words))
             absent = [words[i] for i in missing.tolist()]
             self._add(list(dict.fromkeys(absent)))
             at[missing] = np.fromiter(map(self.index.__getitem__, absent), dtype=np.int64, count=len(absent))
-        size = self.size[at]
+        start = self.start[at]
+        size = self.start[at + 1] - start
         lead = np.cumsum(size) - size
-        return self.flat[np.repeat(self.start[at] - lead, size) + np.arange(int(size.sum()))], size
+        return self.flat[np.repeat(start - lead, size) + np.arange(int(size.sum()))], size

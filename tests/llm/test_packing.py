@@ -65,3 +65,29 @@ def test_every_letter_before_each_stop():
 def test_clashing_names(spark):
     df = spark.createDataFrame([(1, "one two", "x", "y")], "doc_id long, text string, __text string, _text string")
     assert K.decompose(df, PATH).drop("ids").collect()[0][:3] == (1, "x", "y")
+
+
+def test_workers_keep_no_words_after_a_task(spark):
+    """Python workers are used again; what a task's tables held is free for the next stage."""
+    rows = spark.range(400).selectExpr("id", "concat_ws(' ', 'word', hex(id * 7919), hex(id * 104729)) as text").repartition(8)
+    assert K.decompose(rows, PATH).count() > 400
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        tables = [t for pair in K._tables.values() for t in pair]
+        yield pa.RecordBatch.from_pydict({"tables": [len(tables)], "words": [sum(t.n for t in tables)]})
+
+    found = rows.mapInArrow(held, "tables long, words long").groupBy().sum("tables", "words").first()
+    assert found[0] > 0 and found[1] == 0
+
+
+def test_forgotten_words_come_back():
+    lib = Tokenizer.from_file(PATH)
+    texts = ["one, two. three", "one two; four"]
+    K.tokenize(texts[:1], PATH)
+    K.forget(PATH)
+    ids, at = K.tokenize(texts, PATH)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [lib.encode(t, add_special_tokens=False).ids + [2] for t in texts]
