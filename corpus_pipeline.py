@@ -59,9 +59,12 @@ def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The binary pieces of the documents that are left."""
+    """The binary pieces of the documents that are left.
+
+    Executors have run the other stages before, and workers are used again: none keeps words for later.
+    """
     common.on_workers(spark)
-    return queries.packed(docs)
+    return queries.packed(docs, keep_words=False)
 
 
 _left: dict[str, list] = {}      # by application: what removes the last stage's scratch tables

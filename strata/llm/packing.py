@@ -122,8 +122,12 @@ PIECE = "start long, length long, doc_tokens long, ids binary"
 
 
 def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int = SEQUENCE,
-              end_id: int = END_ID) -> DataFrame:
-    """A row per piece: every column of ``df`` but the text, and ``PIECE`` (ids: little-endian unsigned 32-bit)."""
+              end_id: int = END_ID, keep_words: bool = True) -> DataFrame:
+    """A row per piece: every column of ``df`` but the text, and ``PIECE`` (ids: little-endian unsigned 32-bit).
+
+    A worker keeps its tables for the tasks that follow; without ``keep_words`` a task empties them at its end, which
+    takes more time and leaves the memory to what else the executors run.
+    """
     rest = C.without(df.drop(text), ["start", "length", "doc_tokens", "ids"])
     n_kept, own = len(rest.columns), C.free_name(rest)
 
@@ -147,7 +151,8 @@ def decompose(df: DataFrame, tokenizer: str, text: str = "text", sequence: int =
         try:
             yield from pieces(batches)
         finally:
-            forget(tokenizer)
+            if not keep_words:
+                forget(tokenizer)
 
     types = ", ".join(filter(None, [C.types_of(rest), PIECE]))
     return df.select(*rest.columns, F.col(text).alias(own)).mapInArrow(run, types)

@@ -73,9 +73,9 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, keep_words: bool = True) -> DataFrame:
     """The pieces of ``docs`` (doc_id, text), numbered."""
-    pieces = packing.decompose(docs.select("doc_id", "text"), _tokenizer("word_bpe_49k.json"))
+    pieces = packing.decompose(docs.select("doc_id", "text"), _tokenizer("word_bpe_49k.json"), keep_words=keep_words)
     pieces = pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return packing.number(pieces, ["doc_id", "start", "ids_crc32"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -83,3 +83,11 @@ def test_near_writes_few_tables(spark):
         found = P.near(spark, docs, "")
     assert sorted(r.doc_id for r in found.collect()) == [0, 2]
     assert len(ends) <= 28
+
+
+def test_packing_leaves_no_words_in_workers(spark, monkeypatch):
+    seen = []
+    plain = P.queries.packing.decompose
+    monkeypatch.setattr(P.queries.packing, "decompose", lambda *a, **b: seen.append(b.get("keep_words", True)) or plain(*a, **b))
+    assert P.pack(spark, frame(spark, [(1, "one two three")]), "").count() > 0
+    assert seen == [False]
